@@ -99,27 +99,28 @@ def clean_column_name(name: str | None) -> str:
 
 
 @cache
-def _ascii_folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Character folds from the Unicode tables: one-to-one pairs, and one-to-many ones."""
-    singles, longer = {}, []
-    for code in range(0x80, 0x10000):
+def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that decompose to one ASCII character, and to several, by the Unicode tables."""
+    one, several = {}, {}
+    for code in range(0x80, 0x20000):
         char = chr(code)
         plain = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
-        if len(plain) == 1:
-            singles[char] = plain
-        elif len(plain) > 1 and (code < 0x250 or 0x2000 <= code < 0x2150 or 0xFB00 <= code < 0xFB07):
-            longer.append((char, plain))
-    return "".join(singles), "".join(singles.values()), tuple(longer)
+        if plain:
+            (one if len(plain) == 1 else several)[char] = plain
+    return one, several
 
 
 def clean_name(c: Column) -> Column:
-    """FN-21 over values of a column. Accents go by a translation built from the Unicode tables."""
-    source, target, longer = _ascii_folds()
+    """FN-21 over values of a column, with translations built from the Unicode tables."""
+    one, several = _ascii_folds()
     text = strip_ws(c)
-    spelled = text
-    for char, plain in longer:
-        spelled = F.replace(spelled, F.lit(char), F.lit(plain))
-    text = F.when(text.rlike("[" + "".join(char for char, _ in longer) + "]"), spelled).otherwise(text)
+    # Few texts hold characters such as ligatures; only those are taken apart.
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spelled = F.array_join(
+        F.transform(F.split(text, ""), lambda char: F.coalesce(table[char], char)), ""
+    )
+    text = F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
+    source, target = "".join(one), "".join(one.values())
     plain = F.lower(F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]", ""))
     words = F.regexp_replace(plain, r"[^\w\s\x1c-\x1f]", "")
     out = F.regexp_replace(F.regexp_replace(words, r"[\s\x1c-\x1f]+", "_"), r"^\d+", "")
