@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from botiquin.contracts import BLANK_TOKENS, OPEN_ENDED_PHRASE
-from botiquin.functions.text import blank_to_null
+from botiquin.contracts import OPEN_ENDED_PHRASE
+from botiquin.functions.text import strip_ws
 
 # Formats in order of preference, for columns and for single values.
 COLUMN_FORMATS = (
@@ -17,12 +17,21 @@ COLUMN_FORMATS = (
 VALUE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
 
 
+
 def parse_date(c: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
-    """The first format that fits each value, null when none does. (FN-9)"""
-    text = blank_to_null(c, BLANK_TOKENS)
-    return F.coalesce(
-        *[F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in formats]
-    )
+    """The date in whichever format fits each value, null when none does. (FN-9)
+
+    The formats are optional sections of one pattern, so a value is read once and those that
+    do not fit cost nothing; texts without a separator are not tried, as failing is dear.
+    """
+    return read_date(strip_ws(c), formats)
+
+
+def read_date(stripped: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
+    # A longer format has to come before the one it starts with.
+    sections = "".join(f"[{fmt}]" for fmt in sorted(formats, key=len, reverse=True))
+    dated = stripped.contains("/") | stripped.contains("-")
+    return F.when(dated, F.try_to_timestamp(stripped, F.lit(sections))).cast("date")
 
 
 def pick_formats(
@@ -33,7 +42,7 @@ def pick_formats(
     Only one row of counts comes back to the driver.
     """
     hits = [
-        F.count(F.try_to_timestamp(blank_to_null(F.col(name)), F.lit(fmt))).alias(f"{i}_{j}")
+        F.count(parse_date(F.col(name), (fmt,))).alias(f"{i}_{j}")
         for i, name in enumerate(columns)
         for j, fmt in enumerate(formats)
     ]
@@ -53,12 +62,13 @@ def parse_dates(df: DataFrame, columns: list[str], strict_first_format: bool = F
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
+    chosen: dict[str, str | None] = pick_formats(df, columns) if strict_first_format else {}
+    df = df.withColumns({c: strip_ws(F.col(c)) for c in columns})
     if not strict_first_format:
-        return df.withColumns({c: parse_date(F.col(c)) for c in columns})
-    chosen = pick_formats(df, columns)
+        return df.withColumns({c: read_date(F.col(c)) for c in columns})
     return df.withColumns(
         {
-            c: parse_date(F.col(c), (fmt,)) if fmt else F.lit(None).cast("date")
+            c: read_date(F.col(c), (fmt,)) if fmt else F.lit(None).cast("date")
             for c, fmt in chosen.items()
         }
     )

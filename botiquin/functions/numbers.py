@@ -9,13 +9,16 @@ from botiquin.functions.text import strip_ws
 
 # A plain decimal number. Spark's casts also take Java suffixes ('1d') and 'nan', so texts are
 # checked first.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMBER = r"^[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\z"
 
 
 def to_number(c: Column, dtype: str = "decimal(18,2)") -> Column:
     """The text as a number, null where it is none. (FN-7)"""
-    text = strip_ws(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast(dtype))
+    return read_number(strip_ws(c), dtype)
+
+
+def read_number(stripped: Column, dtype: str) -> Column:
+    return F.when(stripped.rlike(_NUMBER), stripped.try_cast(dtype))
 
 
 def to_number_or_zero(c: Column, dtype: str = "decimal(18,2)") -> Column:
@@ -35,7 +38,7 @@ def normalize_id(c: Column, dtype: str = "bigint") -> Column:
     """An id from text: read as a number, decimals cut off, null where it is none. (FN-23)"""
     text = strip_ws(c.cast("string"))
     # Whole texts go straight to the integer type: a double would blur ids above 2^53.
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast(dtype)).when(
+    return F.when(text.rlike(r"^[+-]?+\d++\z"), text.try_cast(dtype)).when(
         text.rlike(_NUMBER), text.try_cast("double").try_cast(dtype)
     )
 

@@ -26,10 +26,13 @@ def strip_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def blank_to_null(c: Column, tokens: tuple[str, ...] = BLANK_TOKENS) -> Column:
+def blank_to_null(c: Column) -> Column:
     """Trimmed text; the missing-value tokens and empty text become null. (FN-1, FN-3)"""
-    text = strip_ws(c)
-    return F.when(~text.isin(*tokens, ""), text)
+    return tokens_to_null(strip_ws(c))
+
+
+def tokens_to_null(stripped: Column) -> Column:
+    return F.when(~stripped.isin(*BLANK_TOKENS, ""), stripped)
 
 
 def blank_to_empty(c: Column) -> Column:
@@ -119,7 +122,8 @@ def clean_name(c: Column) -> Column:
     spelled = F.array_join(
         F.transform(F.split(text, ""), lambda char: F.coalesce(table[char], char)), ""
     )
-    text = F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
+    rare = F.translate(text, "".join(several), "") != text
+    text = F.when(rare, spelled).otherwise(text)
     source, target = "".join(one), "".join(one.values())
     plain = F.lower(F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]", ""))
     words = F.regexp_replace(plain, r"[^\w\s\x1c-\x1f]", "")

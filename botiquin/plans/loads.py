@@ -28,8 +28,8 @@ from botiquin.contracts import (
     STOCK_HEADERS,
 )
 from botiquin.functions.dates import date_text, parse_dates
-from botiquin.functions.numbers import normalize_id, to_number, to_number_or_zero
-from botiquin.functions.text import blank_to_empty, blank_to_null, strip_ws
+from botiquin.functions.numbers import normalize_id, read_number
+from botiquin.functions.text import strip_ws, tokens_to_null
 from botiquin.operators.dedupe import keep_first, keep_newest_date
 from botiquin.sources.csv import ROW, find_files, read_extract
 from botiquin.sources.headers import add_missing, clean_headers, quoted, select_mapped
@@ -81,18 +81,28 @@ def _apply(df: DataFrame, columns: Sequence[str], fn: Callable[[Column], Column]
     return df.withColumns({c: fn(F.col(c)) for c in present}) if present else df
 
 
-def _numbers(
-    df: DataFrame, table: str, columns: Sequence[str], fn: Callable[[Column, str], Column]
+def _texts(
+    df: DataFrame, columns: Sequence[str], but: Sequence[str] = (), empty: bool = False
 ) -> DataFrame:
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: _number(F.col(c), _type(table, c), fn) for c in present})
+    """Blank to null, or to empty text. Stripping is a step of its own, so it is done once."""
+    columns = [c for c in columns if c not in but]
+    df = _apply(_apply(df, columns, strip_ws), columns, tokens_to_null)
+    return _apply(df, columns, lambda c: F.coalesce(c, F.lit(""))) if empty else df
+
+
+def _numbers(df: DataFrame, table: str, columns: Sequence[str], zero: bool) -> DataFrame:
+    """Numbers of the table's types; what is none becomes zero or null."""
+    df = _apply(df, columns, strip_ws)
 
+    def number(name: str) -> Column:
+        dtype = _type(table, name)
+        # Whole-number columns: read as a number first, then cut to the column's type.
+        wide = dtype if "decimal" in dtype else "decimal(38,6)"
+        c = read_number(F.col(name), wide)
+        c = c if wide == dtype else c.try_cast(dtype)
+        return F.coalesce(c, F.lit(0).cast(dtype)) if zero else c
 
-def _number(c: Column, dtype: str, fn: Callable[[Column, str], Column]) -> Column:
-    if "decimal" in dtype:
-        return fn(c, dtype)
-    # Whole-number columns: read as a number first, then cut to the column's type.
-    return fn(c, "decimal(38,6)").try_cast(dtype)
+    return df.withColumns({c: number(c) for c in columns if c in df.columns})
 
 
 def _trimmed_headers(df: DataFrame) -> DataFrame:
@@ -101,34 +111,44 @@ def _trimmed_headers(df: DataFrame) -> DataFrame:
 
 def clean_orders(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
     """Texts never null, numbers never null, dates as dd/mm/yyyy text, newest order date kept.
-    (FN-2, FN-6, FN-9, FN-11, WIN-4)"""
+    (FN-2, FN-6, FN-9, FN-11, WIN-4)
+
+    Only keys and order date are cleaned ahead of the dedupe; the other cells wait until their
+    row is known to stay.
+    """
+    keys = KEYS["ordenes"]
     df = select_mapped(_trimmed_headers(raw), ORDERS_HEADERS, ROW)
-    df = _apply(df, _ORDERS_TEXT, blank_to_empty)
-    df = _numbers(df, "ordenes", _ORDERS_NUMBERS, to_number_or_zero)
-    df = parse_dates(df, list(_ORDERS_DATES), strict_first_format)
-    date = F.col("fecha_oc") if "fecha_oc" in df.columns else None
-    df = keep_newest_date(df, KEYS["ordenes"], date, ROW)
-    return _apply(df, _ORDERS_DATES, date_text).drop(ROW)
+    dates = [c for c in _ORDERS_DATES if c in df.columns]
+    # A column's format shows in all its rows, so the strict rule looks at them before the dedupe.
+    early = dates if strict_first_format else [c for c in dates if c == "fecha_oc"]
+    df = _texts(df, keys, empty=True)
+    df = parse_dates(df, early, strict_first_format)
+    df = keep_newest_date(df, keys, F.col("fecha_oc") if "fecha_oc" in dates else None, ROW)
+    df = _texts(df.drop(ROW), _ORDERS_TEXT, but=keys, empty=True)
+    df = _numbers(df, "ordenes", _ORDERS_NUMBERS, zero=True)
+    df = parse_dates(df, [c for c in dates if c not in early])
+    return _apply(df, dates, date_text)
 
 
 def clean_execution(raw: DataFrame) -> DataFrame:
     """Texts blank to null, then the first row per item, numbers never null.
     (FN-1, WIN-5, FN-6)"""
+    keys = KEYS["ejecucion"]
     df = select_mapped(_trimmed_headers(raw), EXECUTION_HEADERS, ROW)
-    df = _apply(df, _EXECUTION_TEXT, blank_to_null)
-    df = keep_first(df, KEYS["ejecucion"], ROW)
-    return _numbers(df, "ejecucion", _EXECUTION_NUMBERS, to_number_or_zero).drop(ROW)
+    df = keep_first(_texts(df, keys), keys, ROW).drop(ROW)
+    df = _texts(df, _EXECUTION_TEXT, but=keys)
+    return _numbers(df, "ejecucion", _EXECUTION_NUMBERS, zero=True)
 
 
 def clean_stock(raw: DataFrame) -> DataFrame:
     """Code never null, first row per code, missing columns added, the rest blank to null.
     (FN-2, WIN-6, PRJ-5, FN-3, FN-7)"""
+    keys = KEYS["stock_critico"]
     df = select_mapped(_trimmed_headers(raw), STOCK_HEADERS, ROW)
-    df = _apply(df, ["codigo"], blank_to_empty)
-    df = keep_first(df, KEYS["stock_critico"], ROW)
+    df = keep_first(_texts(df, keys, empty=True), keys, ROW).drop(ROW)
     df = add_missing(df, {"stock_hosp": "string", "oc": "string"})
-    df = _apply(df, _STOCK_TEXT, blank_to_null)
-    return _numbers(df, "stock_critico", _STOCK_NUMBERS, to_number).drop(ROW)
+    df = _texts(df, _STOCK_TEXT)
+    return _numbers(df, "stock_critico", _STOCK_NUMBERS, zero=False)
 
 
 def clean_requests(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
@@ -137,9 +157,9 @@ def clean_requests(raw: DataFrame, strict_first_format: bool = False) -> DataFra
     df = select_mapped(_trimmed_headers(raw), REQUESTS_HEADERS, ROW)
     if {"nro_pedido", "codigo"} <= set(df.columns):
         df = keep_first(df, KEYS["pedidos"], ROW)
-    df = _apply(df, _REQUESTS_TEXT, blank_to_null)
-    df = _numbers(df, "pedidos", _REQUESTS_NUMBERS, to_number)
-    return parse_dates(df, ["fecha_pedido", "fecha_oc"], strict_first_format).drop(ROW)
+    df = _texts(df.drop(ROW), _REQUESTS_TEXT)
+    df = _numbers(df, "pedidos", _REQUESTS_NUMBERS, zero=False)
+    return parse_dates(df, ["fecha_pedido", "fecha_oc"], strict_first_format)
 
 
 def keep_measure(raw: DataFrame) -> DataFrame:
@@ -157,10 +177,10 @@ def clean_expiry(raw: DataFrame, strict_first_format: bool = False) -> DataFrame
     null. (FIL-1, WIN-8, FN-1, FN-6, FN-9)"""
     df = keep_measure(_trimmed_headers(raw))
     df = select_mapped(df, EXPIRY_HEADERS, ROW)
-    df = keep_first(df, KEYS["vencimientos_parques"], ROW)
-    df = _apply(df, _EXPIRY_TEXT, blank_to_null)
-    df = _numbers(df, "vencimientos_parques", ["stock_disponible"], to_number_or_zero)
-    return parse_dates(df, ["fec_vencimiento"], strict_first_format).drop(ROW)
+    df = keep_first(df, KEYS["vencimientos_parques"], ROW).drop(ROW)
+    df = _texts(df, _EXPIRY_TEXT)
+    df = _numbers(df, "vencimientos_parques", ["stock_disponible"], zero=True)
+    return parse_dates(df, ["fec_vencimiento"], strict_first_format)
 
 
 @dataclass(frozen=True)

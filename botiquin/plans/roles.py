@@ -70,8 +70,10 @@ def execution(t: Tables, names: bool = True, dirty: bool = False) -> DataFrame:
             .otherwise(code)
         )
     closed = F.col("l_linestatus") == "F"
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    unit = F.floor(cents.cast("decimal(20,0)") / F.col("l_quantity").cast("int"))
+    units = F.col("l_quantity").cast("int")
+    quantity = units.cast("decimal(18,2)")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    price = (cents - cents % units) / units / 100
     return df.select(
         age_order().alias("id"),
         F.col("l_orderkey").alias("id_llamado"),
@@ -80,13 +82,11 @@ def execution(t: Tables, names: bool = True, dirty: bool = False) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("item"),
         *([F.col("s_name").alias("proveedor"), F.col("p_name").alias("medicamento")] if names
           else []),
-        money("l_quantity").alias("cantidad_maxima"),
-        F.when(closed, money("l_quantity")).otherwise(0).alias("cantidad_emitida"),
+        quantity.alias("cantidad_maxima"),
+        F.when(closed, quantity).otherwise(0).alias("cantidad_emitida"),
         F.when(closed, 100).otherwise(0).cast("decimal(18,2)").alias("porcentaje_emitido"),
-        F.when(F.col("l_returnflag") != "N", (unit / 100).cast("decimal(18,4)")).alias(
-            "precio_unitario"
-        ),
-        F.when(closed, money("l_quantity")).alias("cantidad_ejecutada"),
+        F.when(F.col("l_returnflag") != "N", price.cast("decimal(18,4)")).alias("precio_unitario"),
+        F.when(closed, quantity).alias("cantidad_ejecutada"),
         money("l_extendedprice").alias("monto_total"),
         F.col("l_shipdate").cast("date").alias("fecha_ejecucion"),
     )
