@@ -2,10 +2,10 @@
 
 Shape of the plan. Every right side is reduced to one row per join key first, with partial
 aggregation on the map side, so no join multiplies rows and no hot key survives to the shuffle on
-that side. Stock and unexpired lots share the code as key and are brought together before they
-meet the large side, which saves one shuffle of it. Sides are not hinted: a small one is broadcast
-by its measured size, a large one is sort-merged, and a hot key on the execution side is split by
-adaptive skew handling, which a left join allows on its left side.
+that side. Stock and unexpired lots, which share the code as key, become one side. Sides are not
+hinted: a small one is broadcast by its measured size, a large one is sort-merged. Each join has
+a stage of its own, so adaptive skew handling can split a hot key of the execution side there,
+which a left join allows on its left side.
 
 Only the joins that the asked columns need are made, which is safe because each right side has
 one row per key.
@@ -80,28 +80,43 @@ def pending_delivery(orders: DataFrame) -> DataFrame:
 def stock_by_code(
     stock: DataFrame | None, lots: DataFrame | None, as_of: dt.date, row: str | None = None
 ) -> DataFrame | None:
-    """Stock, demand and unexpired lots in one row per code."""
-    if stock is not None:
-        coded = stock.where(has_code()).select(
-            trimmed("codigo").alias("codigo"),
-            or_zero(F.col("stock_disponible")).alias("stock_disponible"),
-            (or_zero(F.col("stock_actual")) if "stock_actual" in stock.columns else F.lit(0)).alias(
-                "stock_fisico"
-            ),
-            or_zero(F.col("dmp")).alias("dmp"),
-            *([row] if row else []),
-        )
-        # A second row of a code would double every board row of it.
-        order = [row] if row else ["stock_disponible", "stock_fisico", "dmp"]
-        stock = (
-            keep_first(coded, ["codigo"], row).drop(row)
-            if row
-            else keep_latest(coded, ["codigo"], order)
+    """Stock, demand and unexpired lots in one row per code.
+
+    Both kinds of rows go through one aggregation by code, whose partitions the board join can
+    use as they are. ``row`` names the input order that says which stock row of a code counts;
+    without it the one with the most stock does, as a second row would double board rows.
+    """
+    if stock is None:
+        return None if lots is None else unexpired_stock(lots, as_of)
+    coded = stock.where(has_code()).select(
+        trimmed("codigo").alias("codigo"),
+        or_zero(F.col("stock_disponible")).alias("stock_disponible"),
+        (F.col("stock_actual") if "stock_actual" in stock.columns else F.lit(None))
+        .cast("decimal(18,2)")
+        .alias("stock_fisico"),
+        or_zero(F.col("dmp")).alias("dmp"),
+        *([row] if row else []),
+    )
+    if row:
+        single = keep_first(coded, ["codigo"], row).drop(row)
+    else:
+        single = keep_latest(coded, ["codigo"], ["stock_disponible", "stock_fisico", "dmp"])
+    single = single.withColumn("stock_fisico", or_zero(F.col("stock_fisico")))
+    if lots is None:
+        return single
+    fresh = lots.where(F.col("codigo").isNotNull() & unexpired(F.col("fec_vencimiento"), as_of))
+    fresh = fresh.select(
+        trimmed("codigo").alias("codigo"), or_zero(F.col("stock_disponible")).alias("_lote")
+    )
+    # At most one stock row per code is left, so its maximum is that row.
+    return (
+        single.unionByName(fresh, allowMissingColumns=True)
+        .groupBy("codigo")
+        .agg(
+            *[F.max(c).alias(c) for c in ("stock_disponible", "stock_fisico", "dmp")],
+            F.sum("_lote").alias("stock_sin_vencidos"),
         )
-    unexp = None if lots is None else unexpired_stock(lots, as_of)
-    if stock is None or unexp is None:
-        return unexp if stock is None else stock
-    return stock.join(unexp, "codigo", "full_outer")
+    )
 
 
 def board(

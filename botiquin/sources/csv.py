@@ -57,6 +57,7 @@ def read_extract(
     path: str | list[str],
     sep: str | None = None,
     multiline: bool = False,
+    encoding: str | None = None,
     encoding_per_file: bool = False,
 ) -> DataFrame:
     """All columns as text under cleaned headers, plus the row's place in the extract. (SRC-1)
@@ -64,7 +65,8 @@ def read_extract(
     The bytes are read once as Latin-1, which never fails and keeps them all. Cells of a row are
     then decoded as UTF-8 when the whole row is valid UTF-8 and left as Latin-1 otherwise, so a
     stray file or row in the other encoding needs no second read. ``encoding_per_file`` decides
-    per file instead, at the price of one more scan.
+    per file instead, at the price of one more scan. A known ``encoding`` (UTF-8 or Latin-1) is
+    taken as given, and then only the columns a job uses are looked at.
 
     ``_row`` orders rows as they stand in the files: file, start of the split, then the running
     number inside the split. Its values are relative to the split only, so unlike a bare running
@@ -99,7 +101,9 @@ def read_extract(
         ).alias(ROW),
     )
     row_valid = _has_valid_utf8(F.concat_ws("\x1f", *raw_names))
-    if encoding_per_file:
+    if encoding is not None:
+        raw = raw.withColumn("_utf8", F.lit(encoding.lower() in ("utf-8", "utf8")))
+    elif encoding_per_file:
         verdict = raw.groupBy("_file").agg(F.every(row_valid).alias("_utf8"))
         raw = raw.join(verdict, "_file")
     else:

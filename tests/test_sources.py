@@ -37,6 +37,13 @@ def test_mixed_encodings_in_one_folder(spark, tmp_path):
         assert cells(df) == [("ñ1", "1"), ("ñ2", "2")]
 
 
+def test_given_encoding(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "Año;b\nñ;1\n")
+    assert cells(csv.read_extract(spark, path, encoding="utf-8")) == [("ñ", "1")]
+    path = write(tmp_path / "b.csv", "x;b\nñ;1\n", "latin-1")
+    assert cells(csv.read_extract(spark, path, encoding="latin-1")) == [("ñ", "1")]
+
+
 def test_quotes_and_doubled_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", '"a;b",c\n"x, ""y""",2\n')
     df = csv.read_extract(spark, path)
