@@ -385,20 +385,19 @@ def contract_lookup(t: Tables) -> DataFrame:
 # --- cleaning -------------------------------------------------------------------------------
 
 
-def _variants(t: Tables, *texts: Column | str) -> Column:
+def _variants(*texts: Column | str) -> Column:
     """A text per line number: the first for line 1, and so on, the last for all others."""
-    out = F
-    for i, value in enumerate(texts[:-1], start=1):
-        c = value if isinstance(value, Column) else F.lit(value)
-        out = out.when(F.col("l_linenumber") == i, c)
-    last = texts[-1]
-    return out.otherwise(last if isinstance(last, Column) else F.lit(last))
+    values = [F.lit(v) for v in texts]
+    out = F.when(F.col("l_linenumber") == 1, values[0])
+    for i, value in enumerate(values[1:-1], start=2):
+        out = out.when(F.col("l_linenumber") == i, value)
+    return out.otherwise(values[-1])
 
 
 @query
 def clean_text_policies(t: Tables) -> DataFrame:
     raw = _variants(
-        t, "nan", " NaT ", "\tNone\u00a0", "NAN", "  ",
+        "nan", " NaT ", "\tNone\u00a0", "NAN", "  ",
         F.when(F.col("l_returnflag") == "A", "#N/A").when(F.col("l_returnflag") == "R", "NULL"),
         F.concat(F.lit(" "), "l_returnflag", F.lit("\t"), "l_linestatus", F.lit("\u00a0")),
     )
@@ -418,7 +417,6 @@ def clean_text_policies(t: Tables) -> DataFrame:
 def coerce_numbers(t: Tables) -> DataFrame:
     amount = roles.money("l_extendedprice").cast("string")
     raw = _variants(
-        t,
         F.concat(F.lit(" "), amount, F.lit("\t")),
         F.concat(F.lit("-"), amount),
         F.concat(F.lit("Gs. "), F.replace(amount, F.lit("."), F.lit(","))),
@@ -437,10 +435,9 @@ def coerce_numbers(t: Tables) -> DataFrame:
     )
 
 
-def _date_texts(t: Tables) -> Column:
+def _date_texts() -> Column:
     day = F.col("l_shipdate")
     return _variants(
-        t,
         F.date_format(day, "dd/MM/yyyy"),
         F.date_format(day, "d/M/yyyy"),
         F.concat(F.lit(" "), F.date_format(day, "dd-MM-yyyy"), F.lit("\t")),
@@ -455,7 +452,7 @@ def _date_texts(t: Tables) -> Column:
 
 @query
 def coerce_dates(t: Tables) -> DataFrame:
-    df = t.lineitem.select("l_orderkey", "l_linenumber", _date_texts(t).alias("crudo"))
+    df = t.lineitem.select("l_orderkey", "l_linenumber", _date_texts().alias("crudo"))
     day, phrase = dates.parse_date_or_phrase(F.col("crudo"))
     return df.select(
         "l_orderkey",
@@ -474,7 +471,7 @@ def coerce_dates_strict(t: Tables) -> DataFrame:
     df = t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
-        _date_texts(t).alias("mezclada"),
+        _date_texts().alias("mezclada"),
         F.date_format("l_shipdate", "dd-MM-yyyy").alias("guiones"),
         F.lit("sin dato").alias("nada"),
     )
@@ -515,7 +512,6 @@ def clean_names(t: Tables) -> DataFrame:
 def normalize_ids(t: Tables) -> DataFrame:
     key = F.col("l_orderkey").cast("string")
     raw = _variants(
-        t,
         key,
         F.concat(key, F.lit(".9")),
         F.concat(F.lit(" "), key, F.lit(" ")),
@@ -545,16 +541,14 @@ def date_alerts(t: Tables) -> DataFrame:
 
 @query
 def traffic_light(t: Tables) -> DataFrame:
-    words = {
-        "1-URGENT": "Requiere compra",
-        "2-HIGH": "Nivel Crítico, antes Normal",
-        "3-MEDIUM": "En Precaución",
-        "5-LOW": "Adecuado",
-    }
-    state = F
-    for priority, word in words.items():
-        state = state.when(F.col("o_orderpriority") == priority, word)
-    state = F.when(F.col("o_orderstatus") == "O", "Sin Stock").otherwise(state)
+    priority = F.col("o_orderpriority")
+    state = (
+        F.when(F.col("o_orderstatus") == "O", "Sin Stock")
+        .when(priority == "1-URGENT", "Requiere compra")
+        .when(priority == "2-HIGH", "Nivel Crítico, antes Normal")
+        .when(priority == "3-MEDIUM", "En Precaución")
+        .when(priority == "5-LOW", "Adecuado")
+    )
     return t.orders.select(
         "o_orderkey",
         stock.traffic_light(state).alias("nivel"),
@@ -864,6 +858,18 @@ def sync_verify(t: Tables) -> DataFrame:
     return sync.verify(source, target, list(tables))
 
 
+@query
+def smoke_run(t: Tables) -> DataFrame:
+    """Requests and lots in a fresh store, one of them copied to another."""
+    root = work_dir(t.spark, "smoke")
+    source, target = TableStore(t.spark, f"{root}/origen"), TableStore(t.spark, f"{root}/destino")
+    requests = roles.requests(t)
+    source.refresh("pedidos", requests)
+    source.refresh("vencimientos_parques", roles.lots(t))
+    target.create("pedidos", requests.schema)
+    return sync.smoke_run(source, target, "pedidos")
+
+
 @query
 def sync_counts(t: Tables) -> DataFrame:
     """Execution lines and requests against their deduplicated copies."""

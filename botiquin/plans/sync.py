@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from botiquin.contracts import SYNC_ORDER
 from botiquin.operators.merge import upsert
-from botiquin.operators.quality import reconcile
+from botiquin.operators.quality import reconcile, table_counts
 from botiquin.sources.store import TableStore, fit_to, stamp_defaults
 
 
@@ -103,3 +103,28 @@ def verify(
     """Row counts of both stores side by side. (JN-7, DQ-4)"""
     both = [t for t in tables if source.exists(t) and target.exists(t)]
     return reconcile({t: source.read(t) for t in both}, {t: target.read(t) for t in both})
+
+
+# Fixed value: tables a smoke run looks for, and the one it copies.
+SMOKE_TABLES = ("ordenes", "ejecucion", "stock_critico", "pedidos", "vencimientos_parques")
+
+
+def smoke_run(source: TableStore, target: TableStore, table: str = SMOKE_TABLES[0]) -> DataFrame:
+    """Is there data, does one table copy, do the counts agree, is there data on the other side:
+    one row per step. (DQ-7)"""
+
+    def rows(store: TableStore) -> int:
+        have = {t: store.read(t) for t in SMOKE_TABLES if store.exists(t)}
+        return table_counts(have).where("tabla = 'TOTAL'").first().registros if have else 0
+
+    local = rows(source)
+    copied = source.exists(table) and sync_table(source, target, table)[0]
+    agrees = bool(copied) and bool(verify(source, target, [table]).first().coincide)
+    remote = rows(target)
+    steps = [
+        ("datos de origen", local > 0, local),
+        ("copia", bool(copied), source.count(table) if copied else 0),
+        ("conteo", agrees, target.count(table) if agrees else 0),
+        ("datos de destino", remote > 0, remote),
+    ]
+    return source.spark.createDataFrame(steps, "paso string, ok boolean, registros bigint")

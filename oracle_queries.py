@@ -568,6 +568,11 @@ ORACLE["sync_verify"] = """WITH n AS (
   UNION ALL SELECT 'stock_critico', count(*) FROM part
   UNION ALL SELECT 'vencimientos_parques', count(*) FROM lineitem WHERE l_returnflag = 'A')
 SELECT tabla, origen, origen AS destino, true AS coincide, CAST(0 AS BIGINT) AS diferencia FROM n"""
+ORACLE["smoke_run"] = """WITH n AS (SELECT (SELECT count(*) FROM orders) AS p,
+    (SELECT count(*) FROM lineitem WHERE l_returnflag = 'A') AS v)
+SELECT 'datos de origen' AS paso, true AS ok, p + v AS registros FROM n
+UNION ALL SELECT 'copia', true, p FROM n UNION ALL SELECT 'conteo', true, p FROM n
+UNION ALL SELECT 'datos de destino', true, p FROM n"""
 ORACLE["sync_counts"] = """WITH n AS (
   SELECT 'ejecucion' AS tabla, count(*) AS origen,
     count(DISTINCT (l_orderkey, l_linenumber)) AS destino FROM lineitem

@@ -325,6 +325,17 @@ def test_sync(spark, stores):
     assert got == {"stock_critico": (1, 1, True, 0), "pedidos": (0, 1, False, 1)}
 
 
+def test_smoke_run(spark, stores):
+    source, target = stores
+    got = {r.paso: (r.ok, r.registros) for r in sync.smoke_run(source, target).collect()}
+    assert got == {"datos de origen": (False, 0), "copia": (False, 0), "conteo": (False, 0),
+                   "datos de destino": (False, 0)}
+    source.refresh("ordenes", table(spark, "ordenes", [{"id_llamado": 1}]))
+    target.create("ordenes", SCHEMAS["ordenes"])
+    got = {r.paso: (r.ok, r.registros) for r in sync.smoke_run(source, target).collect()}
+    assert set(got.values()) == {(True, 1)}
+
+
 def test_incremental_sync(spark, stores):
     source, target = stores
     old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)

@@ -117,6 +117,14 @@ def test_first_synonym_wins(spark):
     assert got.columns == ["codigo", "stock_disponible"]
 
 
+def test_lower_and_display_headers(spark):
+    df = spark.createDataFrame([(1, "x")], ["ID_Llamado", "otra"])
+    assert headers.lower_headers(df).columns == ["id_llamado", "otra"]
+    lower = headers.lower_headers(df)
+    assert headers.rename_to(lower, contracts.BOARD_TITLES).columns == ["ID Llamado", "otra"]
+    assert headers.existing(lower, ["otra", "no"]).columns == ["otra"]
+
+
 def test_match_headers():
     mapping = {"Id.Llamado": "id_llamado", "Cantidad Emitida": "cantidad_emitida"}
     assert headers.match_headers(["ID_LLAMADO", "Emitida", "x1"], mapping) == {
