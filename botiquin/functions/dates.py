@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,20 @@ VALUE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
 
 
 
+def _shape(fmt: str) -> str:
+    """A regular expression for the digits and separators of a format."""
+    return re.sub(
+        r"([a-zA-Z])\1*",
+        lambda part: r"\d{1,2}" if len(part[0]) == 1 else rf"\d{{{len(part[0])}}}",
+        fmt,
+    )
+
+
 def parse_date(c: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
     """The date in whichever format fits each value, null when none does. (FN-9)
 
-    The formats are optional sections of one pattern, so a value is read once and those that
-    do not fit cost nothing; texts without a separator are not tried, as failing is dear.
+    The formats are optional sections of one pattern, so a value is read once. Texts of another
+    shape are not tried, as a failed read costs many times a look at the shape.
     """
     return read_date(strip_ws(c), formats)
 
@@ -30,7 +40,8 @@ def parse_date(c: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
 def read_date(stripped: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
     # A longer format has to come before the one it starts with.
     sections = "".join(f"[{fmt}]" for fmt in sorted(formats, key=len, reverse=True))
-    dated = stripped.contains("/") | stripped.contains("-")
+    shapes = "|".join(_shape(fmt) for fmt in formats)
+    dated = stripped.rlike(rf"^(?:{shapes})\z")
     return F.when(dated, F.try_to_timestamp(stripped, F.lit(sections))).cast("date")
 
 

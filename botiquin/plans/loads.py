@@ -31,6 +31,7 @@ from botiquin.functions.dates import date_text, parse_dates
 from botiquin.functions.numbers import normalize_id, read_number
 from botiquin.functions.text import strip_ws, tokens_to_null
 from botiquin.operators.dedupe import keep_first, keep_newest_date
+from botiquin.session import work_dir
 from botiquin.sources.csv import ROW, find_files, read_extract
 from botiquin.sources.headers import add_missing, clean_headers, quoted, select_mapped
 from botiquin.sources.store import TableStore, fit_to, stamp_defaults
@@ -205,8 +206,6 @@ def split_bad_ids(df: DataFrame, dtype: str = "bigint") -> tuple[DataFrame, Data
 
     Blank ids are kept as null.
     """
-    if "id_llamado" not in df.columns:
-        return df, df.limit(0)
     number = normalize_id(F.col("id_llamado"), dtype)
     blank = F.coalesce(F.trim("id_llamado"), F.lit("")) == ""
     good = df.where(number.isNotNull() | blank).withColumn("id_llamado", number)
@@ -231,15 +230,16 @@ def load_extract(
     ``<table>_apartados``. (SNK-1, SNK-2)"""
     extract = EXTRACTS[name]
     target = target or SCHEMAS[extract.table]
-    good, bad = split_bad_ids(
-        extract.clean(raw),
-        target["id_llamado"].dataType.simpleString() if "id_llamado" in target.names else "bigint",
-    )
-    fitted, _ = fit_to(good, target)
+    df, aside = extract.clean(raw), 0
+    if "id_llamado" in df.columns:
+        # Both parts come from one written copy, so the extract is read and deduped once.
+        staged = work_dir(store.spark, f"load-{name}")
+        df.write.parquet(staged)
+        kind = target["id_llamado"].dataType.simpleString()
+        df, bad = split_bad_ids(store.spark.read.schema(df.schema).parquet(staged), kind)
+        aside = store.refresh(f"{extract.table}_apartados", bad)
+    fitted, _ = fit_to(df, target)
     rows = store.refresh(extract.table, stamp_defaults(fitted, target))
-    aside = (
-        store.refresh(f"{extract.table}_apartados", bad) if "id_llamado" in good.columns else 0
-    )
     return Loaded(name, extract.table, "OK" if rows else "VACIO", rows, aside)
 
 
