@@ -42,7 +42,7 @@ def read_date(stripped: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Co
     sections = "".join(f"[{fmt}]" for fmt in sorted(formats, key=len, reverse=True))
     shapes = "|".join(_shape(fmt) for fmt in formats)
     dated = stripped.rlike(rf"^(?:{shapes})\z")
-    return F.when(dated, F.try_to_timestamp(stripped, F.lit(sections))).cast("date")
+    return F.when(dated, F.try_to_date(stripped, sections))
 
 
 def pick_formats(
