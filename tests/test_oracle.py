@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from botiquin.plans.registered import QUERIES
+from oracle_queries import ORACLE
 from tests.compare import connect, difference
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
