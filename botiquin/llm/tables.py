@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from botiquin.session import work_dir
@@ -26,7 +27,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8_000_000
+    batches: Iterator[pa.RecordBatch], column: str | int, most_bytes: int = 8_000_000
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches by rows so that a text column holds about ``most_bytes`` in each part.
 
@@ -37,7 +38,7 @@ def slices(
         if texts.nbytes <= most_bytes:
             yield batch
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         first, held = 0, 0
         for row, size in enumerate(sizes):
             if held and held + size > most_bytes:
