@@ -1,3 +1,40 @@
 """SQL twins of the registered queries, where SQL can express them."""
 
-ORACLE: dict[str, str] = {}
+# Later occurrences of three-line windows are covered, the other lines joined again.
+_LINE_WINDOWS = """
+WITH docs AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), placed AS (
+    SELECT doc_id, lines, unnest(range(0, greatest(len(lines) - 2, 0))) AS line FROM docs
+), windows AS (
+    SELECT doc_id, line,
+           trim(lines[line + 1]) || chr(10) || trim(lines[line + 2]) || chr(10)
+           || trim(lines[line + 3]) AS w
+    FROM placed
+), counted AS (
+    SELECT doc_id, line, row_number() OVER (PARTITION BY w ORDER BY doc_id, line) AS nth
+    FROM windows
+    WHERE length(regexp_replace(w, '[ \t\r\n]', '', 'g')) >= 30
+), covered AS (
+    SELECT DISTINCT doc_id, line + k AS line
+    FROM counted, (SELECT unnest([0, 1, 2]) AS k)
+    WHERE nth > 1
+), kept AS (
+    SELECT d.doc_id, list(d.line_text ORDER BY d.line) AS lines, count(*) AS n_kept
+    FROM (
+        SELECT doc_id, unnest(lines) AS line_text, unnest(range(0, len(lines))) AS line FROM docs
+    ) d
+    LEFT JOIN covered c ON c.doc_id = d.doc_id AND c.line = d.line
+    WHERE c.line IS NULL
+    GROUP BY d.doc_id
+)
+SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines,
+       (coalesce(len(d.lines), 0) - coalesce(k.n_kept, 0))::BIGINT AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL
+            ELSE sha256(coalesce(array_to_string(k.lines, chr(10)), '')) END AS text_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_line_windows": _LINE_WINDOWS,
+}

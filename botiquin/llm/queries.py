@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from botiquin.llm import decontamination, packing, token_store
+from botiquin.llm import decontamination, line_dedup, packing, quality, token_store
 from botiquin.llm.tables import table
 from botiquin.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs.select("doc_id", "text"), model).select(
+        "row.doc_id", "log_weight", "key", "kept"
+    )
+
+
 def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
@@ -30,8 +39,17 @@ def vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(docs, public_tokenizers.path(TOKENIZER), packing.Limits())
 
 
+def line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs).select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 QUERIES = {
+    "op1_quality_classifier": quality_classifier,
     "op2_token_binary": token_binary,
     "op4_benchmark_decontamination": benchmark_decontamination,
     "op6_vector_packing": vector_packing,
+    "op10_line_windows": line_windows,
 }
