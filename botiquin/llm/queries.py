@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from botiquin.llm import decontamination, line_dedup, packing, quality, token_store
+from botiquin.llm import decontamination, jaccard, line_dedup, packing, quality, token_store
 from botiquin.llm.tables import table
 from botiquin.session import work_dir
 
@@ -28,6 +28,13 @@ def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.read_tokens(spark, path))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alike = jaccard.Similarity(words=4, over=85, under=100)
+    return jaccard.classes(table(spark, sf_dir, "documents"), alike).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
+    )
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -49,6 +56,7 @@ def line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": quality_classifier,
     "op2_token_binary": token_binary,
+    "op3_ngram_jaccard_join": ngram_jaccard_join,
     "op4_benchmark_decontamination": benchmark_decontamination,
     "op6_vector_packing": vector_packing,
     "op10_line_windows": line_windows,
