@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from botiquin.llm import decontamination, jaccard, line_dedup, packing, quality, token_store
+from botiquin.llm import (
+    decontamination,
+    hilbert,
+    jaccard,
+    line_dedup,
+    packing,
+    polytope,
+    quality,
+    token_store,
+)
 from botiquin.llm.tables import table
 from botiquin.session import work_dir
 
@@ -46,6 +55,24 @@ def vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(docs, public_tokenizers.path(TOKENIZER), packing.Limits())
 
 
+def hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    dimensions = [F.col("source"), F.col("lang"), hilbert.size_level(F.col("n_chars"))]
+    return hilbert.hilbert_shards(rows, dimensions, ["doc_id", "text_crc32", "size"]).select(
+        "row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+def polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.remove_repeated_lines(docs).select(
@@ -59,5 +86,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": ngram_jaccard_join,
     "op4_benchmark_decontamination": benchmark_decontamination,
     "op6_vector_packing": vector_packing,
+    "op8_hilbert_sharding": hilbert_sharding,
+    "op9_polytope_search": polytope_search,
     "op10_line_windows": line_windows,
 }

@@ -3,22 +3,61 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from botiquin.llm import packing
+from botiquin.llm import decontamination, jaccard, line_dedup, packing, quality
+from botiquin.llm.tables import table
 from botiquin.session import work_dir
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that importance resampling rejects."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).where("kept").select("row.*")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut later occurrences of three-line windows; drop texts of which nothing is left by it.
+
+    ``n_chars`` is the length of the text that is left.
+    """
+    cleaned = line_dedup.remove_repeated_lines(docs)
+    left = (F.col("n_removed") == 0) | (F.trim("text") != "")
+    return cleaned.where(left.isNull() | left).select(*_columns(docs, F.col("text")))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8."""
+    return jaccard.keep_one(docs, jaccard.Similarity(words=5, over=4, under=5))
+
+
+def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut the words that benchmark windows cover; drop texts of which no word is left by it."""
+    cut = decontamination.remove_passages(docs, table(spark, sf_dir, "benchmark"))
+    return cut.select(F.struct("*").alias("row"), "text").select(*_columns(docs, F.col("text")))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_texts(docs, path, with_ids=True)
+    """Pieces of token sequences with their ids, for training."""
+    return packing.pack_texts(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+def _columns(docs: DataFrame, text: Column) -> list[Column]:
+    """The columns of the documents from the struct ``row``, with a new text and its length."""
+    changed = {"text": text, "n_chars": F.coalesce(F.length(text).cast("long"), F.col("row.n_chars"))}
+    return [changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns]
 
 
 STAGES = [
+    ("quality_classifier", keep_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_near_copies),
+    ("benchmark_decontamination", cut_benchmark_passages),
     ("packing", pack_sequences),
 ]
 
-# The first stage draws from a random stream and the last needs the tokenizer: beyond SQL.
+# The models of the first stage and the tokenizer of the last are beyond SQL.
 ORACLE_SQL = None
 
 
