@@ -14,13 +14,23 @@ from botiquin.llm import (
     packing,
     polytope,
     quality,
+    secrets,
     token_store,
+    url_rules,
 )
 from botiquin.llm.tables import table
 from botiquin.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +65,18 @@ def vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(docs, public_tokenizers.path(TOKENIZER), packing.Limits())
 
 
+def secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "word", "part", F.sha2("value", 256).alias("value_sha256"),
+        "probability", "is_secret",
+    )
+
+
+def url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "mined_confidence")
+
+
 def hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -86,6 +108,8 @@ QUERIES = {
     "op3_ngram_jaccard_join": ngram_jaccard_join,
     "op4_benchmark_decontamination": benchmark_decontamination,
     "op6_vector_packing": vector_packing,
+    "op5_secret_forest": secret_forest,
+    "op7_url_association_rules": url_association_rules,
     "op8_hilbert_sharding": hilbert_sharding,
     "op9_polytope_search": polytope_search,
     "op10_line_windows": line_windows,
