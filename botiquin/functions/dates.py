@@ -15,6 +15,15 @@ from botiquin.functions.text import strip_ws
 COLUMN_FORMATS = (
     "d/M/yyyy", "d-M-yyyy", "d/M/yyyy HH:mm:ss", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss",
 )
+# Shapes a general reader takes as well: day first, also with two-digit years (this century up to
+# 68), or year first, with one kind of separator, and any of them with a time of day.
+_TIME = r"(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?"
+_SHAPES = (
+    (r"(\d{1,2})([/.-])(\d{1,2})\2(\d{4})", "$4-$3-$1"),
+    (r"(\d{1,2})([/.-])(\d{1,2})\2([0-5]\d|6[0-8])", "20$4-$3-$1"),
+    (r"(\d{1,2})([/.-])(\d{1,2})\2(69|[7-9]\d)", "19$4-$3-$1"),
+    (r"(\d{4})([/.-])(\d{1,2})\2(\d{1,2})", "$1-$3-$4"),
+)
 VALUE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
 
 
@@ -38,6 +47,8 @@ def parse_date(c: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
 
 
 def read_date(stripped: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Column:
+    if formats == COLUMN_FORMATS:
+        return _read_any(stripped)
     # A longer format has to come before the one it starts with.
     sections = "".join(f"[{fmt}]" for fmt in sorted(formats, key=len, reverse=True))
     shapes = "|".join(_shape(fmt) for fmt in formats)
@@ -45,6 +56,14 @@ def read_date(stripped: Column, formats: tuple[str, ...] = COLUMN_FORMATS) -> Co
     return F.when(dated, F.try_to_date(stripped, sections))
 
 
+def _read_any(stripped: Column) -> Column:
+    """Every shape in one look: the parts are put in order and read as year, month and day."""
+    ordered = stripped
+    for shape, order in _SHAPES:
+        ordered = F.regexp_replace(ordered, rf"^{shape}{_TIME}\z", order)
+    return F.when(ordered.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), F.try_to_date(ordered, "yyyy-M-d"))
+
+
 def pick_formats(
     df: DataFrame, columns: list[str], formats: tuple[str, ...] = COLUMN_FORMATS
 ) -> dict[str, str | None]:

@@ -56,9 +56,10 @@ def reader_nulls_to_null(c: Column) -> Column:
     return F.when(~c.isin(*READER_NULLS), c)
 
 
-def sanitize(c: Column, max_length: int = 10_000) -> Column:
-    """Double single quotes, cut to the length, trim, in that order. (FN-22)"""
-    return strip_ws(F.substring(F.replace(c, F.lit("'"), F.lit("''")), 1, max_length))
+def sanitize(c: Column, max_length: int | None = None) -> Column:
+    """Double single quotes, cut to a length where one is given, trim, in that order. (FN-22)"""
+    doubled = F.replace(c, F.lit("'"), F.lit("''"))
+    return strip_ws(doubled if max_length is None else F.substring(doubled, 1, max_length))
 
 
 def name_or(c: Column, fallback: Column) -> Column:

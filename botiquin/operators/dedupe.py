@@ -52,9 +52,17 @@ def latest_items(
 def delete_older(
     df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ("id",)
 ) -> DataFrame:
-    """Drop all but the newest of each key; rows without a code stay untouched. (WIN-2, WIN-3)"""
-    coded = keep_latest(df.where(has_code()), keys, newest, trim=("codigo", "item"))
-    return coded.unionByName(df.where(~F.coalesce(has_code(), F.lit(False))))
+    """Drop all but the newest of each key; rows without a code stay untouched. (WIN-2, WIN-3)
+
+    One pass: each row without a code gets a key part of its own, so it is the first of its key
+    and such rows spread over all partitions.
+    """
+    alone = F.when(~F.coalesce(has_code(), F.lit(False)), F.monotonically_increasing_id())
+    parts = [trimmed(k) if k in ("codigo", "item") else F.col(k) for k in keys]
+    kept = keep_top(
+        df.withColumn("_alone", alone), ["_alone", *parts], [F.col(c).desc_nulls_last() for c in newest]
+    )
+    return kept.drop("_alone")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], row: str = "_row") -> DataFrame:

@@ -23,28 +23,42 @@ def upsert(
     """The table after inserting or updating by key. (SNK-4)
 
     Only the columns the updates bring are set on matched rows, so others such as a comment
-    survive. Several updates of one key count as one, the newest. Keys are unique on both sides
-    then, and the full join moves each row once.
+    survive. Several updates of one key count as one, the newest, and an update that is older than
+    the table's row by the ``newest`` columns both have leaves that row as it is; at the same time
+    the update wins. Null key parts match each other, so a replayed batch changes nothing.
     """
     order = [c for c in newest if c in updates.columns]
     rest = [c for c in updates.columns if c not in keys and c not in order]
     latest = keep_latest(updates, keys, [*order, *rest])
     extra = [c for c in updates.columns if c not in keys and c in base.columns]
     new = latest.select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in extra], F.lit(True).alias("_updated")
-    )
-    joined = base.join(new, list(keys), "full_outer")
-    return joined.select(
-        *[
-            F.when(F.col("_updated"), F.col(f"_new_{c}"))
-            .otherwise(F.col(c))
-            .cast(base.schema[c].dataType)
-            .alias(c)
-            if c in extra
-            else F.col(c)
-            for c in base.columns
-        ]
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        *[F.col(c).alias(f"_new_{c}") for c in extra],
+        F.lit(True).alias("_updated"),
     )
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    joined = base.withColumn("_based", F.lit(True)).join(new, same, "full_outer")
+    times = [c for c in order if c in extra]
+    wins = F.col("_updated") & ~(F.coalesce("_based", F.lit(False)) & _older(times))
+
+    def merged(c: str) -> Column:
+        if c in keys:
+            value = F.when(F.col("_based"), F.col(c)).otherwise(F.col(f"_key_{c}"))
+        elif c in extra:
+            value = F.when(wins, F.col(f"_new_{c}")).otherwise(F.col(c))
+        else:
+            return F.col(c)
+        return value.cast(base.schema[c].dataType).alias(c)
+
+    return joined.select(*[merged(c) for c in base.columns])
+
+
+def _older(times: Sequence[str]) -> Column:
+    """Whether the update comes before the table's row; a missing time comes before any other."""
+    if not times:
+        return F.lit(False)
+    mine, theirs = (F.struct(*[F.col(prefix + c).alias(c) for c in times]) for prefix in ("_new_", ""))
+    return mine < theirs
 
 
 def stamp(df: DataFrame, column: str = "actualizado_en", at: Column | None = None) -> DataFrame:
@@ -53,9 +67,13 @@ def stamp(df: DataFrame, column: str = "actualizado_en", at: Column | None = Non
 
 
 def contract_edits(edits: DataFrame) -> DataFrame:
-    """Contract edits with their defaults, ready for an upsert on id_llamado. (SNK-5)"""
-    return edits.select(
-        normalize_id(F.col("id_llamado"), "int").alias("id_llamado"),
+    """Contract edits with their defaults, ready for an upsert on id_llamado. (SNK-5)
+
+    Rows whose id is no number are dropped; ``unusable_ids`` gives them for a report.
+    """
+    number = normalize_id(F.col("id_llamado"), "int")
+    return edits.where(number.isNotNull()).select(
+        number.alias("id_llamado"),
         or_default(F.col("licitacion"), "").alias("licitacion"),
         or_default(F.col("vigente"), "SI").alias("vigente"),
         or_default(F.col("dirigido_a"), "").alias("dirigido_a"),
@@ -65,6 +83,11 @@ def contract_edits(edits: DataFrame) -> DataFrame:
     )
 
 
+def unusable_ids(edits: DataFrame, dtype: str = "int") -> DataFrame:
+    """Edits whose id_llamado is no number."""
+    return edits.where(normalize_id(F.col("id_llamado"), dtype).isNull())
+
+
 def edit_rows(edits: DataFrame) -> DataFrame:
     """Edited grid rows as rows of cantidad_solicitada. (FN-26, FIL-11)
 
@@ -87,7 +110,7 @@ def edit_rows(edits: DataFrame) -> DataFrame:
 def changed_rows(
     edited: DataFrame, original: DataFrame, keys: Sequence[str], null_safe: bool = True
 ) -> DataFrame:
-    """Edited rows with any cell different from the original row of the same key. (JN-6)
+    """Edited rows with a new key, or any cell different from the original row. (JN-6)
 
     Two nulls are equal, in cells and, unless ``null_safe`` is off, in keys.
     """
@@ -95,6 +118,7 @@ def changed_rows(
     old = original.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
         *[F.col(c).alias(f"_old_{c}") for c in columns],
+        F.lit(True).alias("_shown"),
     )
 
     def same(k: str) -> Column:
@@ -105,4 +129,5 @@ def changed_rows(
     changed = reduce(
         Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns], F.lit(False)
     )
-    return edited.join(old, on).where(changed).select(*edited.columns)
+    new = F.col("_shown").isNull()
+    return edited.join(old, on, "left").where(new | changed).select(*edited.columns)

@@ -8,12 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one request, pages a user may choose from, rows of a preview.
-REQUEST_CAP = 15_000
-PAGE_SIZES = (50, 100, 200, 500)
-PREVIEW_ROWS = 1_000
-
-
 def sort_board(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ascending by all keys, nulls last. (SRT-1)"""
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
@@ -27,9 +21,9 @@ def sort_by(df: DataFrame, column: str, descending: bool = True) -> DataFrame:
     return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last())
 
 
-def capped(df: DataFrame, limit: int | None = None, cap: int = REQUEST_CAP) -> DataFrame:
-    """At most ``limit`` rows and never more than the cap. (SRC-5)"""
-    return df.limit(min(limit or cap, cap))
+def capped(df: DataFrame, limit: int) -> DataFrame:
+    """As many rows as the caller asks for. (SRC-5)"""
+    return df.limit(limit)
 
 
 def top(df: DataFrame, column: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
@@ -58,10 +52,14 @@ def page_after(
     """The page that follows the row with the given key; its cost does not grow with depth.
     (SRC-4, LIM-2)
 
-    Rows whose key holds nulls sort last and are reached by page.
+    Nulls count as the last value of a key column, as in the sorted frame.
     """
     later: list[Column] = []
     for i, k in enumerate(keys):
-        same = [F.col(keys[j]) == F.lit(last[j]) for j in range(i)]
-        later.append(reduce(Column.__and__, [*same, F.col(k) > F.lit(last[i])]))
-    return sort_board(df.where(reduce(Column.__or__, later)), keys).limit(size)
+        if last[i] is None:
+            continue
+        same = [F.col(keys[j]).eqNullSafe(F.lit(last[j])) for j in range(i)]
+        beyond = F.col(k).isNull() | (F.col(k) > F.lit(last[i]))
+        later.append(reduce(Column.__and__, [*same, beyond]))
+    following = reduce(Column.__or__, later, F.lit(False))
+    return sort_board(df.where(following), keys).limit(size)

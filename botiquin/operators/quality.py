@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,9 @@ def to_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table with OK or WARN for an empty one, and the total. (AGG-11, SET-1)"""
+    if not tables:
+        total = "'TOTAL' AS tabla, 0L AS registros, 'WARN' AS estado"
+        return SparkSession.active().sql(f"SELECT {total}")
     counts = [
         df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("n"))
         for name, df in tables.items()
@@ -145,21 +148,33 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def reconcile(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts of both sides per table, match flag and difference. (JN-7, DQ-4)"""
-
-    def counts(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
-        return reduce(
-            DataFrame.unionByName,
-            [
-                df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias(column))
-                for name, df in tables.items()
-            ],
-        )
+def reconcile(
+    source: Mapping[str, DataFrame],
+    target: Mapping[str, DataFrame],
+    tables: Sequence[str] | None = None,
+) -> DataFrame:
+    """Row counts of both sides per table, match flag and difference. (JN-7, DQ-4)
 
-    return (
-        counts(source, "origen")
-        .join(counts(target, "destino"), "tabla")
-        .withColumn("coincide", F.col("origen") == F.col("destino"))
-        .withColumn("diferencia", F.abs(F.col("origen") - F.col("destino")))
-    )
+    ``tables`` names what must be on both sides, by default whatever is on one of them. Where a
+    side lacks a table its count is null and the two do not agree.
+    """
+    tables = list(dict.fromkeys(tables if tables is not None else [*source, *target]))
+    counted = [
+        df.agg(F.lit(name).alias("tabla"), F.lit(side).alias("lado"), F.count(F.lit(1)).alias("n"))
+        for side, frames in (("origen", source), ("destino", target))
+        for name, df in frames.items()
+        if name in tables
+    ]
+    spark = SparkSession.active()
+    # One row per table and side.
+    none = spark.createDataFrame([], "tabla string, lado string, n bigint")
+    counts = reduce(DataFrame.unionByName, counted, none)
+    names = spark.createDataFrame([(name,) for name in tables], "tabla string")
+
+    def of(side: str) -> Column:
+        return F.max(F.when(F.col("lado") == side, F.col("n"))).alias(side)
+
+    both = names.join(counts, "tabla", "left").groupBy("tabla").agg(of("origen"), of("destino"))
+    return both.withColumn(
+        "coincide", F.coalesce(F.col("origen") == F.col("destino"), F.lit(False))
+    ).withColumn("diferencia", F.abs(F.col("origen") - F.col("destino")))

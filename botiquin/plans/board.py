@@ -30,7 +30,14 @@ from botiquin.functions.stock import (
     stock_on_hand,
 )
 from botiquin.functions.text import name_or
-from botiquin.operators.dedupe import has_code, keep_first, keep_latest, latest_items, trimmed
+from botiquin.operators.dedupe import (
+    has_code,
+    keep_first,
+    keep_latest,
+    keep_top,
+    latest_items,
+    trimmed,
+)
 from botiquin.operators.filters import open_order, unexpired
 
 _STOCK = {"stock_actual", "dmp_actual", "cobertura_meses", "nivel_stock"}
@@ -119,6 +126,12 @@ def stock_by_code(
     )
 
 
+def _newest_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """A total order by time of change, then by the other columns."""
+    rest = [c for c in df.columns if c not in keys and c != "actualizado_en"]
+    return [*(["actualizado_en"] if "actualizado_en" in df.columns else []), *rest]
+
+
 def board(
     inputs: BoardInputs,
     as_of: dt.date,
@@ -153,7 +166,15 @@ def board(
     )
     have: set[str] = set()
     if inputs.contracts is not None and wanted & _CONTRACT:
-        d = inputs.contracts.select(
+        # Deduped under the id's text form, so that the join deals both sides out anew and adaptive
+        # execution may split a hot id there.
+        newest_first = _newest_first(inputs.contracts, ["id_llamado"])
+        contracts = keep_top(
+            inputs.contracts.where(F.col("id_llamado").isNotNull()),
+            [F.col("id_llamado").cast("string")],
+            [F.col(c).desc_nulls_last() for c in newest_first],
+        )
+        d = contracts.select(
             "id_llamado",
             "descripcion_llamado",
             "dirigido_a",
@@ -186,8 +207,12 @@ def board(
             F.col("cantidad_solicitada").alias("_solicitada"),
             "emitir_en",
             "comentario",
+            (F.col("actualizado_en") if "actualizado_en" in inputs.requested.columns
+             else F.lit(None).cast("timestamp")).alias("_cambio"),
         )
-        df = df.join(r, ["id_llamado", "_licitacion", "codigo", "_item"], "left")
+        request_key = ["id_llamado", "_licitacion", "codigo", "_item"]
+        r = keep_latest(r, request_key, ["_cambio", "_solicitada", "emitir_en", "comentario"])
+        df = df.join(r.drop("_cambio"), request_key, "left")
         have.add("request")
 
     def col(name: str, dtype: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botiquin.contracts import KEYS, SCHEMAS
-from botiquin.operators.merge import changed_rows, contract_edits, edit_rows, stamp, upsert
+from botiquin.operators.merge import changed_rows, contract_edits, edit_rows, stamp, unusable_ids, upsert
 from botiquin.sources.store import TableStore
 
 
@@ -26,9 +26,14 @@ def save_requested(
 
 
 def save_contract(store: TableStore, edits: DataFrame, at: Column | None = None) -> int:
-    """Upsert contract data by tender id, with defaults. (SNK-5)"""
+    """Upsert contract data by tender id, with defaults; an id that is no number is an error.
+    (SNK-5)"""
     table = "datosejecucion"
     store.create(table, SCHEMAS[table])
+    rejected = unusable_ids(edits).limit(5).collect()
+    if rejected:
+        ids = ", ".join(repr(row["id_llamado"]) for row in rejected)
+        raise ValueError(f"id_llamado is no number: {ids}")
     rows = stamp(contract_edits(edits), at=at)
     return store.refresh(table, upsert(store.read(table), rows, KEYS[table]))
 

@@ -14,7 +14,7 @@ from botiquin.contracts import CRITICAL_COLUMNS, LOW_COVERAGE_COLUMNS, SUMMARY_C
 from botiquin.functions.stock import coverage_grid
 from botiquin.functions.text import display_key
 from botiquin.operators.filters import critical, low_coverage, mentions, positive
-from botiquin.operators.paging import PREVIEW_ROWS, sort_board, top
+from botiquin.operators.paging import sort_board, top
 from botiquin.sources.headers import existing
 
 
@@ -155,7 +155,7 @@ def tender_pairs(execution: DataFrame) -> DataFrame:
     )
 
 
-def preview(board: DataFrame, keys: Sequence[str], n: int = PREVIEW_ROWS) -> DataFrame:
+def preview(board: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """The first rows of the summary table. (PRJ-11, LIM-1)"""
     return existing(sort_board(board, keys).limit(n), SUMMARY_COLUMNS)
 

@@ -31,10 +31,17 @@ from botiquin.functions.dates import date_text, parse_dates
 from botiquin.functions.numbers import normalize_id, read_number
 from botiquin.functions.text import strip_ws, tokens_to_null
 from botiquin.operators.dedupe import keep_first, keep_newest_date
-from botiquin.session import work_dir
-from botiquin.sources.csv import ROW, find_files, read_extract
-from botiquin.sources.headers import add_missing, clean_headers, quoted, select_mapped
-from botiquin.sources.store import TableStore, fit_to, stamp_defaults
+from botiquin.operators.quality import validate
+from botiquin.session import remove_dir, work_dir
+from botiquin.sources.csv import (
+    ROW,
+    excess_rows,
+    find_files,
+    read_extract,
+    with_clean_headers,
+)
+from botiquin.sources.headers import add_missing, quoted, select_mapped
+from botiquin.sources.store import TableStore, fit_to, misfits, stamp_defaults
 
 # Columns by the way they are cleaned.
 _ORDERS_TEXT = (
@@ -106,10 +113,6 @@ def _numbers(df: DataFrame, table: str, columns: Sequence[str], zero: bool) -> D
     return df.withColumns({c: number(c) for c in columns if c in df.columns})
 
 
-def _trimmed_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c if c == ROW else clean_headers([c])[0] for c in df.columns])
-
-
 def clean_orders(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
     """Texts never null, numbers never null, dates as dd/mm/yyyy text, newest order date kept.
     (FN-2, FN-6, FN-9, FN-11, WIN-4)
@@ -118,7 +121,7 @@ def clean_orders(raw: DataFrame, strict_first_format: bool = False) -> DataFrame
     row is known to stay.
     """
     keys = KEYS["ordenes"]
-    df = select_mapped(_trimmed_headers(raw), ORDERS_HEADERS, ROW)
+    df = select_mapped(with_clean_headers(raw), ORDERS_HEADERS, ROW)
     dates = [c for c in _ORDERS_DATES if c in df.columns]
     # A column's format shows in all its rows, so the strict rule looks at them before the dedupe.
     early = dates if strict_first_format else [c for c in dates if c == "fecha_oc"]
@@ -135,7 +138,7 @@ def clean_execution(raw: DataFrame) -> DataFrame:
     """Texts blank to null, then the first row per item, numbers never null.
     (FN-1, WIN-5, FN-6)"""
     keys = KEYS["ejecucion"]
-    df = select_mapped(_trimmed_headers(raw), EXECUTION_HEADERS, ROW)
+    df = select_mapped(with_clean_headers(raw), EXECUTION_HEADERS, ROW)
     df = keep_first(_texts(df, keys), keys, ROW).drop(ROW)
     df = _texts(df, _EXECUTION_TEXT, but=keys)
     return _numbers(df, "ejecucion", _EXECUTION_NUMBERS, zero=True)
@@ -145,7 +148,7 @@ def clean_stock(raw: DataFrame) -> DataFrame:
     """Code never null, first row per code, missing columns added, the rest blank to null.
     (FN-2, WIN-6, PRJ-5, FN-3, FN-7)"""
     keys = KEYS["stock_critico"]
-    df = select_mapped(_trimmed_headers(raw), STOCK_HEADERS, ROW)
+    df = select_mapped(with_clean_headers(raw), STOCK_HEADERS, ROW)
     df = keep_first(_texts(df, keys, empty=True), keys, ROW).drop(ROW)
     df = add_missing(df, {"stock_hosp": "string", "oc": "string"})
     df = _texts(df, _STOCK_TEXT)
@@ -155,7 +158,7 @@ def clean_stock(raw: DataFrame) -> DataFrame:
 def clean_requests(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
     """First row per request and code as written, then blank to null throughout.
     (WIN-7, FN-1, FN-7, FN-9)"""
-    df = select_mapped(_trimmed_headers(raw), REQUESTS_HEADERS, ROW)
+    df = select_mapped(with_clean_headers(raw), REQUESTS_HEADERS, ROW)
     if {"nro_pedido", "codigo"} <= set(df.columns):
         df = keep_first(df, KEYS["pedidos"], ROW)
     df = _texts(df.drop(ROW), _REQUESTS_TEXT)
@@ -176,7 +179,7 @@ def keep_measure(raw: DataFrame) -> DataFrame:
 def clean_expiry(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
     """First lot per code, depot and date as written, then texts blank to null, stock never
     null. (FIL-1, WIN-8, FN-1, FN-6, FN-9)"""
-    df = keep_measure(_trimmed_headers(raw))
+    df = keep_measure(with_clean_headers(raw))
     df = select_mapped(df, EXPIRY_HEADERS, ROW)
     df = keep_first(df, KEYS["vencimientos_parques"], ROW).drop(ROW)
     df = _texts(df, _EXPIRY_TEXT)
@@ -214,40 +217,62 @@ def split_bad_ids(df: DataFrame, dtype: str = "bigint") -> tuple[DataFrame, Data
 
 @dataclass(frozen=True)
 class Loaded:
-    """What became of one extract."""
+    """What became of one extract.
+
+    ``set_aside`` counts rows with an unusable id and rows with too many cells, ``misfits`` cells
+    that do not fit their column's type, ``omitted`` the target columns the extract does not bring.
+    """
 
     name: str
     table: str
     status: str
     rows: int
     set_aside: int
+    misfits: int = 0
+    omitted: tuple[str, ...] = ()
+    findings: tuple[str, ...] = ()
 
 
 def load_extract(
-    store: TableStore, name: str, raw: DataFrame, target: T.StructType | None = None
+    store: TableStore,
+    name: str,
+    raw: DataFrame,
+    target: T.StructType | None = None,
+    excess: DataFrame | None = None,
 ) -> Loaded:
     """Clean an extract and replace its table; rows with an unusable id go to
-    ``<table>_apartados``. (SNK-1, SNK-2)"""
+    ``<table>_apartados``, rows with more cells than the header to ``<table>_sobrantes``.
+    (SNK-1, SNK-2, DQ-1 to DQ-3)"""
     extract = EXTRACTS[name]
     target = target or SCHEMAS[extract.table]
-    df, aside = extract.clean(raw), 0
+    cleaned, aside = extract.clean(raw), 0
+    # The extract is read and deduped once; what follows starts from the written copy.
+    staged = work_dir(store.spark, f"load-{name}")
+    cleaned.write.parquet(staged)
+    df = store.spark.read.schema(cleaned.schema).parquet(staged)
+    findings = validate(df, extract.table, [c for c in KEYS[extract.table] if c in df.columns])
     if "id_llamado" in df.columns:
-        # Both parts come from one written copy, so the extract is read and deduped once.
-        staged = work_dir(store.spark, f"load-{name}")
-        df.write.parquet(staged)
         kind = target["id_llamado"].dataType.simpleString()
-        df, bad = split_bad_ids(store.spark.read.schema(df.schema).parquet(staged), kind)
-        aside = store.refresh(f"{extract.table}_apartados", bad)
-    fitted, _ = fit_to(df, target)
+        df, bad = split_bad_ids(df, kind)
+        # May become empty: a clean load leaves nothing of an earlier one's rejects.
+        aside = store.refresh(f"{extract.table}_apartados", bad, allow_empty=True)
+    if excess is not None:
+        aside += store.refresh(f"{extract.table}_sobrantes", excess, allow_empty=True)
+    fitted, omitted = fit_to(df, target)
+    lost = df.agg(F.sum(misfits(df, target)).alias("n")).first()["n"] or 0
     rows = store.refresh(extract.table, stamp_defaults(fitted, target))
-    return Loaded(name, extract.table, "OK" if rows else "VACIO", rows, aside)
+    remove_dir(store.spark, staged)
+    return Loaded(
+        name, extract.table, "OK" if rows else "VACIO", rows, aside, lost, tuple(omitted),
+        (*findings.errors, *findings.warnings),
+    )
 
 
 def load_folder(
     spark: SparkSession, folder: str, store: TableStore, names: Sequence[str] = LOAD_ORDER
 ) -> list[Loaded]:
-    """Load the extracts found in a folder in their fixed order; missing files are skipped and a
-    failing one does not stop the rest. (SRC-7, SRC-8)"""
+    """Load the extracts found in a folder in their fixed order, each from all its files; missing
+    extracts are skipped and a failing one does not stop the rest. (SRC-7, SRC-8)"""
     results = []
     for name in names:
         files = find_files(spark, folder, name)
@@ -256,7 +281,8 @@ def load_folder(
             results.append(Loaded(name, table, "OMITIDO", 0, 0))
             continue
         try:
-            results.append(load_extract(store, name, read_extract(spark, files[0])))
+            raw, excess = read_extract(spark, files), excess_rows(spark, files)
+            results.append(load_extract(store, name, raw, excess=excess))
         except Exception as error:  # noqa: BLE001 - reported per extract, as the others go on
             results.append(Loaded(name, table, f"ERROR: {error}", 0, 0))
     return results

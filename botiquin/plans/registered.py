@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +68,10 @@ CORE = (
 
 
 def whole_board(t: Tables, *columns: str) -> DataFrame:
+    """The board, without the joins for names where no asked column needs them."""
     kwargs = {"columns": columns} if columns else {}
-    return board(roles.board_inputs(t), AS_OF, dedupe_keys=ITEM, **kwargs)
+    named = not columns or bool({"producto", "proveedor", "pendiente_entrega"} & set(columns))
+    return board(roles.board_inputs(t, named), AS_OF, dedupe_keys=ITEM, **kwargs)
 
 
 @query
@@ -97,7 +100,6 @@ def board_null_safe(t: Tables) -> DataFrame:
     )
     requested = (
         roles.requested(t)
-        .where(F.col("cantidad_solicitada") <= 25)
         .groupBy("id_llamado", "licitacion", "codigo", F.lit("").alias("item"))
         .agg(
             F.sum("cantidad_solicitada").alias("cantidad_solicitada"),
@@ -143,15 +145,9 @@ def board_page_after(t: Tables) -> DataFrame:
     return paging.page_after(whole_board(t, *columns), ("id_llamado", "item"), [100, "3"], 500)
 
 
-@query
-def board_capped(t: Tables) -> DataFrame:
-    columns = ("id_llamado", "codigo", "item", "cantidad_maxima")
-    return paging.capped(paging.sort_board(whole_board(t, *columns), ("id_llamado", "item")), 20000)
-
-
 @query
 def board_preview(t: Tables) -> DataFrame:
-    return kpis.preview(whole_board(t), ("id_llamado", "item"))
+    return kpis.preview(whole_board(t), ("id_llamado", "item"), 1000)
 
 
 @query
@@ -332,7 +328,8 @@ def stock_critical(t: Tables) -> DataFrame:
 def filter_options(t: Tables) -> DataFrame:
     """Every choice list in one relation: list and value."""
     lists = {
-        "producto": kpis.options(roles.stock(t), "producto", limit=100),
+        "licitacion": kpis.options(roles.execution(t, names=False), "licitacion"),
+        "producto": kpis.options(roles.stock(t), "producto"),
         "proveedor": kpis.options(roles.orders(t), "proveedor"),
         "estado": kpis.options(roles.orders(t), "estado", keep_null=True),
     }
@@ -340,7 +337,7 @@ def filter_options(t: Tables) -> DataFrame:
         df.select(F.lit(name).alias("lista"), F.col(name).alias("valor"))
         for name, df in lists.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -739,12 +736,12 @@ def csv_round_trip(t: Tables) -> DataFrame:
 # --- write-back and synchronisation ---------------------------------------------------------
 
 
-def _edits(t: Tables, flag: str) -> DataFrame:
-    """Lines of one flag as edit rows; the customer stands for the code, so that keys meet."""
+def _edits(t: Tables) -> DataFrame:
+    """Lines as edit rows; the customer stands for the code, so that keys meet."""
     return (
         roles.lines_of_orders(t)
-        .where(F.col("l_returnflag") == flag)
         .select(
+            "l_returnflag",
             F.col("l_orderkey").alias("id_llamado"),
             F.concat(F.lit(" "), "o_orderpriority").alias("licitacion"),
             F.when(F.col("l_discount") > 0, F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
@@ -761,16 +758,18 @@ def _edits(t: Tables, flag: str) -> DataFrame:
 
 @query
 def edit_rows(t: Tables) -> DataFrame:
-    return merge.edit_rows(_edits(t, "A")).drop("actualizado_en")
+    return merge.edit_rows(_edits(t)).drop("actualizado_en")
 
 
 @query
 def upsert_edits(t: Tables) -> DataFrame:
-    """Requests of returned lines, then the edits of accepted ones; comments survive."""
-    keys = list(ITEM_KEY)
-    base = dedupe.keep_latest(merge.edit_rows(_edits(t, "R")), keys, ["actualizado_en"])
+    """Edits of accepted lines upon the rows of all others; comments survive, and so does a row
+    that is newer than its edit."""
+    keys, accepted = list(ITEM_KEY), F.col("l_returnflag") == "A"
+    rows = _edits(t)
+    base = dedupe.keep_latest(merge.edit_rows(rows.where(~accepted)), keys, ["actualizado_en"])
     base = base.withColumn("comentario", F.concat(F.lit("nota "), "codigo"))
-    return merge.upsert(base, merge.edit_rows(_edits(t, "A")), keys).drop("actualizado_en")
+    return merge.upsert(base, merge.edit_rows(rows.where(accepted)), keys).drop("actualizado_en")
 
 
 @query
@@ -825,21 +824,85 @@ def incremental_delta(t: Tables) -> DataFrame:
 
 @query
 def incremental_stream(t: Tables) -> DataFrame:
-    """The event log as a file stream, merged into a table of the newest per user and kind."""
-    store = TableStore(t.spark, work_dir(t.spark, "stream"))
+    """The event log as a stream of files that come out of time order, a batch each, merged into
+    a table of the newest per user and kind."""
+    root = work_dir(t.spark, "stream")
+    store = TableStore(t.spark, f"{root}/tablas")
+    # Thirds of the log by hour of the day, so each batch has rows older and newer than the last.
+    for third in (2, 0, 1):
+        part = t.events.where(F.floor(F.hour("ts") / 8) == third)
+        part.coalesce(1).write.mode("append").parquet(f"{root}/llegadas")
     follow(
         t.spark,
-        f"{t.folder}/events*.parquet",
+        f"{root}/llegadas",
         t.events.schema,
         store,
         "novedades",
         ["user_id", "event_type"],
         newest=("ts", "event_id"),
-        checkpoint=work_dir(t.spark, "stream-progress"),
+        files_per_batch=1,
     ).awaitTermination()
     return store.read("novedades")
 
 
+@query
+def incremental_sync_twice(t: Tables) -> DataFrame:
+    """Events copied by time and key up to a day, then twice over the whole log: each row once,
+    also where a part of the key is missing."""
+    root = work_dir(t.spark, "twice")
+    source, target = TableStore(t.spark, f"{root}/origen"), TableStore(t.spark, f"{root}/destino")
+    kind = F.when(F.col("event_id") % 3 > 0, F.col("event_type"))
+    log = t.events.select("event_id", kind.alias("tipo"), "value", F.col("ts").alias("actualizado_en"))
+    early = log.where(F.col("actualizado_en") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    for rows in (early, log, log):
+        source.refresh("novedades", rows)
+        sync.sync_incremental(source, target, "novedades", keys=["event_id", "tipo"])
+    return target.read("novedades")
+
+
+@query
+def sync_appended(t: Tables) -> DataFrame:
+    """Events appended to a store in two steps."""
+    root = work_dir(t.spark, "append")
+    source, target = TableStore(t.spark, f"{root}/origen"), TableStore(t.spark, f"{root}/destino")
+    log = t.events.select("event_id", "value", F.col("ts").alias("actualizado_en"))
+    day = F.lit("2024-01-20").cast("timestamp_ntz")
+    for rows in (log.where(F.col("actualizado_en") < day), log):
+        source.refresh("novedades", rows)
+        sync.sync_incremental(source, target, "novedades")
+    return target.read("novedades")
+
+
+@query
+def load_folder_many_files(t: Tables) -> DataFrame:
+    """Requests that arrive as several files with their columns in different orders."""
+    root = work_dir(t.spark, "carga")
+    orders = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("Nro. Pedido"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("Código"),
+        F.col("o_orderpriority").alias("Prioridad"),
+        F.col("o_orderstatus").alias("Estado"),
+        F.date_format("o_orderdate", "d/M/yyyy HH:mm").alias("Fecha Pedido"),
+    )
+    for status in ("F", "O", "P"):
+        names = sorted(orders.columns, reverse=status == "O")
+        orders.where(F.col("Estado") == status).select(*[headers.quoted(c) for c in names]).write.csv(
+            f"{root}/llegadas/pedidos_{status}.csv", header=True, sep=";" if status == "P" else ","
+        )
+    store = TableStore(t.spark, f"{root}/tablas")
+    loads.load_folder(t.spark, f"{root}/llegadas", store, ["pedidos"])
+    return store.read("pedidos").select("nro_pedido", "codigo", "prioridad", "estado", "fecha_pedido")
+
+
+@query
+def lower_headers(t: Tables) -> DataFrame:
+    """Column names in capitals, brought to lower case."""
+    return headers.lower_headers(t.orders.select(
+        F.col("o_orderkey").alias("ID_Llamado"), F.col("o_orderpriority").alias("LICITACION"),
+        F.col("o_orderstatus").alias("Estado"),
+    ))
+
+
 @query
 def sync_verify(t: Tables) -> DataFrame:
     """Copy three tables between two stores and compare the counts."""
@@ -935,6 +998,5 @@ def table_counts(t: Tables) -> DataFrame:
             "stock_critico": t.part,
             "pedidos": t.orders,
             "vencimientos_parques": roles.lots(t),
-            "recordatorios": t.orders.where(F.col("o_orderkey").isNull()),
         }
     )

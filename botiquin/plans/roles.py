@@ -110,13 +110,13 @@ def stock(t: Tables) -> DataFrame:
 
 
 def lots(t: Tables) -> DataFrame:
-    df = t.lineitem.where("l_returnflag = 'A'").join(
-        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    """A lot per line; only those of accepted lines hold stock."""
+    df = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    held = F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).otherwise(0)
     return df.select(
         F.col("l_partkey").cast("string").alias("codigo"),
         F.col("l_shipdate").cast("date").alias("fec_vencimiento"),
-        money("l_quantity").alias("stock_disponible"),
+        held.cast("decimal(18,2)").alias("stock_disponible"),
         F.col("s_nationkey").cast("string").alias("parque"),
     )
 
@@ -162,16 +162,16 @@ def contracts(t: Tables) -> DataFrame:
     )
 
 
-def requested(t: Tables, flag: str = "R") -> DataFrame:
-    """One request per item: the newest returned line."""
-    df = lines_of_orders(t).where(F.col("l_returnflag") == flag)
-    df = df.select(
+def requested(t: Tables) -> DataFrame:
+    """One request per item, from its newest line; only returned lines ask for a quantity."""
+    asked = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)
+    df = lines_of_orders(t).select(
         age_order().alias("id"),
         F.col("l_orderkey").alias("id_llamado"),
         F.col("o_orderpriority").alias("licitacion"),
         F.col("l_partkey").cast("string").alias("codigo"),
         F.col("l_linenumber").cast("string").alias("item"),
-        money("l_quantity").alias("cantidad_solicitada"),
+        asked.cast("decimal(18,2)").alias("cantidad_solicitada"),
         F.col("l_shipdate").cast("date").alias("emitir_en"),
         F.when(F.col("l_linestatus") == "F", F.concat(F.lit("OC "), "o_orderstatus")).alias(
             "comentario"
@@ -195,9 +195,9 @@ def requests(t: Tables) -> DataFrame:
     )
 
 
-def board_inputs(t: Tables) -> BoardInputs:
+def board_inputs(t: Tables, names: bool = True) -> BoardInputs:
     return BoardInputs(
-        execution=execution(t),
+        execution=execution(t, names),
         contracts=contracts(t),
         orders=orders(t),
         stock=stock(t),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from botiquin.contracts import SYNC_ORDER
 from botiquin.operators.merge import upsert
 from botiquin.operators.quality import reconcile, table_counts
-from botiquin.sources.store import TableStore, fit_to, stamp_defaults
+from botiquin.sources.store import TableStore, fit_to, misfits, stamp_defaults
 
 
 @dataclass(frozen=True)
@@ -21,24 +21,30 @@ class Synced:
     success: bool
     rows: int
     synced_at: str
+    message: str = ""
 
 
-def sync_table(source: TableStore, target: TableStore, table: str) -> tuple[bool, int]:
+def sync_table(source: TableStore, target: TableStore, table: str) -> tuple[bool, int, str]:
     """Replace the target table by the source rows, in the target's columns. (SNK-6)
 
-    An empty source counts as done and leaves the target as it was; a missing target fails.
+    An empty source counts as done and leaves the target as it was; a missing target fails. The
+    message says why a copy failed, or which columns it left out and which cells did not fit.
     """
     df = source.read(table)
     if df.isEmpty():
-        return True, 0
+        return True, 0, "origen vacío"
     if not target.exists(table):
-        return False, 0
+        return False, 0, f"falta la tabla {table} en el destino"
     schema = target.read(table).schema
     try:
-        fitted, _ = fit_to(df, schema)
-    except ValueError:
-        return False, 0
-    return True, target.refresh(table, stamp_defaults(fitted, schema))
+        fitted, omitted = fit_to(df, schema)
+    except ValueError as error:
+        return False, 0, str(error)
+    notes = [f"sin columnas {', '.join(omitted)}"] if omitted else []
+    lost = df.agg(F.sum(misfits(df, schema)).alias("n")).first()["n"]
+    if lost:
+        notes.append(f"{lost} valores no caben en su tipo")
+    return True, target.refresh(table, stamp_defaults(fitted, schema)), "; ".join(notes)
 
 
 def sync_all(
@@ -48,11 +54,11 @@ def sync_all(
     results = []
     for table in tables:
         try:
-            success, rows = sync_table(source, target, table)
-        except Exception:  # noqa: BLE001 - one table's failure is its result
-            success, rows = False, 0
+            success, rows, message = sync_table(source, target, table)
+        except Exception as error:  # noqa: BLE001 - one table's failure is its result
+            success, rows, message = False, 0, str(error)
         now = dt.datetime.now(dt.UTC).isoformat()
-        results.append(Synced(table, success, rows, now))
+        results.append(Synced(table, success, rows, now, message))
     return results
 
 
@@ -84,8 +90,16 @@ def sync_incremental(
     column: str = "actualizado_en",
     keys: Sequence[str] = (),
 ) -> bool:
-    """Copy the changed rows: appended, or merged by key where keys are given. (SNK-7)"""
+    """Copy the changed rows: appended, or merged by key where keys are given. (SNK-7)
+
+    A table without the time column on either side has no mark to go by: it is merged whole by key,
+    or replaced where there are no keys.
+    """
     have = target.read(table) if target.exists(table) else None
+    if have is not None and not (column in have.columns and column in source.read(table).columns):
+        rows = source.read(table)
+        target.refresh(table, upsert(have, rows, keys, newest=()) if keys else rows)
+        return True
     mark = None if have is None else high_water_mark(have, column)
     delta = changes_since(source.read(table), mark, column, inclusive=bool(keys))
     if have is None:
@@ -100,9 +114,15 @@ def sync_incremental(
 def verify(
     source: TableStore, target: TableStore, tables: Sequence[str] = SYNC_ORDER
 ) -> DataFrame:
-    """Row counts of both stores side by side. (JN-7, DQ-4)"""
-    both = [t for t in tables if source.exists(t) and target.exists(t)]
-    return reconcile({t: source.read(t) for t in both}, {t: target.read(t) for t in both})
+    """Row counts of both stores side by side. (JN-7, DQ-4)
+
+    A table that one side lacks has no count there and does not agree.
+    """
+    return reconcile(
+        {t: source.read(t) for t in tables if source.exists(t)},
+        {t: target.read(t) for t in tables if target.exists(t)},
+        tables,
+    )
 
 
 # Fixed value: tables a smoke run looks for, and the one it copies.
@@ -119,7 +139,9 @@ def smoke_run(source: TableStore, target: TableStore, table: str = SMOKE_TABLES[
 
     local = rows(source)
     copied = source.exists(table) and sync_table(source, target, table)[0]
-    agrees = bool(copied) and bool(verify(source, target, [table]).first().coincide)
+    agrees = bool(copied) and target.exists(table) and bool(
+        verify(source, target, [table]).first().coincide
+    )
     remote = rows(target)
     steps = [
         ("datos de origen", local > 0, local),

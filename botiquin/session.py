@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,14 +29,11 @@ def build(app_name: str = "botiquin", master: str | None = None, **extra: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests on one machine) a temporary folder takes its place for the
-    rest of the session.
+    Only where it is unset, as in tests, a folder beside the session's tables takes its place.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="botiquin-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
@@ -45,3 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for one job below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate data once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

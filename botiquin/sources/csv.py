@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,55 @@ def _decoded_text(raw: str) -> str:
         return raw
 
 
+def first_record(spark: SparkSession, path: str) -> str:
+    """The header record of a file as Latin-1 text, with line breaks inside quotes."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    ).getCodec(where)
+    stream = fs.open(where)
+    try:
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "ISO-8859-1"))
+        record = lines.readLine()
+        if record is None:
+            raise ValueError(f"no header line in {path}")
+        while record.count('"') % 2:
+            line = lines.readLine()
+            if line is None:
+                break
+            record += "\n" + line
+        return record
+    finally:
+        stream.close()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files below a folder, or the file itself; names that start with . or _ do not count."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(where).isDirectory():
+        return [path]
+    found = [status for status in fs.listStatus(where) if status.isFile()]
+    names = sorted(status.getPath().toString() for status in found)
+    return [name for name in names if name.rsplit("/", 1)[-1][0] not in "._"]
+
+
+def _header_groups(
+    spark: SparkSession, paths: list[str], sep: str | None
+) -> dict[tuple[str, tuple[str, ...], bool], list[str]]:
+    """Files by separator, headers and whether the header takes several lines."""
+    groups: dict[tuple[str, tuple[str, ...], bool], list[str]] = {}
+    for path in paths:
+        record = _decoded_text(first_record(spark, path).removeprefix(_BOM_AS_LATIN1))
+        own = sep or sniff_separator(record)
+        headers = tuple(clean_headers(next(csv.reader([record], delimiter=own))))
+        groups.setdefault((own, headers, "\n" in record), []).append(path)
+    return groups
+
+
 def read_extract(
     spark: SparkSession,
     path: str | list[str],
@@ -62,6 +112,11 @@ def read_extract(
 ) -> DataFrame:
     """All columns as text under cleaned headers, plus the row's place in the extract. (SRC-1)
 
+    Every file is read under its own header, and files are put together by column name; a column
+    that a file lacks is null there. A header with line breaks inside quotes makes its files
+    unsplittable. Rows with more cells than their header are left out here and are what
+    ``excess_rows`` returns.
+
     The bytes are read once as Latin-1, which never fails and keeps them all. Cells of a row are
     then decoded as UTF-8 when the whole row is valid UTF-8 and left as Latin-1 otherwise, so a
     stray file or row in the other encoding needs no second read. ``encoding_per_file`` decides
@@ -72,48 +127,84 @@ def read_extract(
     number inside the split. Its values are relative to the split only, so unlike a bare running
     number they do not depend on how splits are packed into partitions.
     """
-    paths = [path] if isinstance(path, str) else path
-    first = spark.read.csv(
-        paths[0], schema="line string", sep="\x00", quote="", encoding="ISO-8859-1"
-    ).first()
-    if first is None or first.line is None:
-        raise ValueError(f"no header line in {paths[0]}")
-    line = _decoded_text(first.line.removeprefix(_BOM_AS_LATIN1))
-    sep = sep or sniff_separator(line)
-    headers = clean_headers(next(csv.reader([line], delimiter=sep)))
-
-    raw_names = [f"c{i}" for i in range(len(headers))]
-    raw = spark.read.csv(
-        paths,
-        schema=", ".join(f"{c} string" for c in raw_names),
-        sep=sep,
-        encoding="ISO-8859-1",
-        escape='"',
-        multiLine=multiline,
-        mode="PERMISSIVE",
-    ).select(
-        *raw_names,
-        F.col("_metadata.file_path").alias("_file"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("n"),
-        ).alias(ROW),
-    )
-    row_valid = _has_valid_utf8(F.concat_ws("\x1f", *raw_names))
-    if encoding is not None:
-        raw = raw.withColumn("_utf8", F.lit(encoding.lower() in ("utf-8", "utf8")))
-    elif encoding_per_file:
-        verdict = raw.groupBy("_file").agg(F.every(row_valid).alias("_utf8"))
-        raw = raw.join(verdict, "_file")
-    else:
-        raw = raw.withColumn("_utf8", row_valid)
-    cells = [reader_nulls_to_null(_decoded(F.col(c), F.col("_utf8"))).alias(c) for c in raw_names]
-    df = raw.select(*cells, ROW)
-    # The header line comes back as a row of each file.
-    df = df.where(~_same_as_header(raw_names, headers))
-    keep = [i for i, name in enumerate(headers) if name not in headers[:i]]
-    return df.select(*[F.col(f"c{i}").alias(headers[i]) for i in keep], ROW)
+    parts = []
+    for raw, headers in _raw_parts(spark, path, sep, multiline):
+        names = [f"c{i}" for i in range(len(headers))]
+        raw = raw.where(~F.col("_excess")).drop("_excess", "_record")
+        row_valid = _has_valid_utf8(F.concat_ws("\x1f", *names))
+        if encoding is not None:
+            raw = raw.withColumn("_utf8", F.lit(encoding.lower() in ("utf-8", "utf8")))
+        elif encoding_per_file:
+            verdict = raw.groupBy("_file").agg(F.every(row_valid).alias("_utf8"))
+            raw = raw.join(verdict, "_file")
+        else:
+            raw = raw.withColumn("_utf8", row_valid)
+        cells = [reader_nulls_to_null(_decoded(F.col(c), F.col("_utf8"))).alias(c) for c in names]
+        df = raw.select(*cells, ROW)
+        # The header line comes back as a row of each file.
+        df = df.where(~_same_as_header(names, headers))
+        keep = [i for i, name in enumerate(headers) if name not in headers[:i]]
+        parts.append(df.select(*[F.col(f"c{i}").alias(headers[i]) for i in keep], ROW))
+    if len(parts) == 1:
+        return parts[0]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(*[quoted(c) for c in whole.columns if c != ROW], ROW)
+
+
+def excess_rows(
+    spark: SparkSession, path: str | list[str], sep: str | None = None, multiline: bool = False
+) -> DataFrame:
+    """``archivo``, ``registro`` (its text) and first cell of rows with more cells than the header."""
+    found = [
+        raw.where("_excess").select(
+            F.col("_file").alias("archivo"),
+            _decoded(F.col("_record"), _has_valid_utf8(F.col("_record"))).alias("registro"),
+            # The reader hands out the record beside a parsed cell only.
+            F.col("c0").alias("primera_celda"),
+        )
+        for raw, _ in _raw_parts(spark, path, sep, multiline)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _raw_parts(
+    spark: SparkSession, path: str | list[str], sep: str | None, multiline: bool
+) -> list[tuple[DataFrame, list[str]]]:
+    """Cells c0, c1 ... of the files of each header, with file, row place, record and excess."""
+    paths = [f for p in ([path] if isinstance(path, str) else path) for f in data_files(spark, p)]
+    if not paths:
+        raise ValueError(f"no files in {path}")
+    parts = []
+    for (own, headers, broken), files in _header_groups(spark, paths, sep).items():
+        names = [f"c{i}" for i in range(len(headers))]
+        raw = spark.read.csv(
+            files,
+            schema=", ".join(f"{c} string" for c in [*names, "_record"]),
+            sep=own,
+            encoding="ISO-8859-1",
+            escape='"',
+            multiLine=multiline or broken,
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord="_record",
+        )
+        # The reader hands over the record of rows whose number of cells differs from the header's.
+        mark = re.escape(own)
+        bare = F.regexp_replace(F.col("_record"), '"[^"]*"', "x")
+        bare = F.regexp_replace(bare, rf"(?:{mark}|\s)+\z", "")
+        cells = F.length(bare) - F.length(F.replace(bare, F.lit(own))) + 1
+        raw = raw.select(
+            *names,
+            F.coalesce(cells > len(headers), F.lit(False)).alias("_excess"),
+            "_record",
+            F.col("_metadata.file_path").alias("_file"),
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("n"),
+            ).alias(ROW),
+        )
+        parts.append((raw, list(headers)))
+    return parts
 
 
 def _same_as_header(columns: list[str], headers: list[str]) -> Column:
@@ -148,12 +239,20 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c not in empty])
 
 
+def with_clean_headers(df: DataFrame) -> DataFrame:
+    """Cleaned headers, the nameless numbered by place; of two equal ones the first stays. (PRJ-1)"""
+    names = [c for c in df.columns if c != ROW]
+    cleaned = clean_headers(names)
+    kept = [i for i, name in enumerate(cleaned) if name not in cleaned[:i]]
+    carried = [F.col(ROW)] if ROW in df.columns else []
+    return df.select(*[quoted(names[i]).alias(cleaned[i]) for i in kept], *carried)
+
+
 def repair_extract(df: DataFrame) -> DataFrame:
     """The whole repair of a downloaded sheet: empty rows and columns, headers, tokens.
     (PRJ-1, PRJ-6, PRJ-7, PRJ-8, FN-5)"""
     df = drop_empty_columns(drop_empty_rows(df))
-    df = df.toDF(*[ROW if c == ROW else clean_headers([c])[0] for c in df.columns])
-    df = drop_repeated_headers(df)
+    df = drop_repeated_headers(with_clean_headers(df))
     return df.select(
         *[
             (F.col(ROW) if c == ROW else cell_tokens_to_null(quoted(c)).alias(c))

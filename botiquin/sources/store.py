@@ -7,9 +7,11 @@ last ready folder in force.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +31,8 @@ class TableStore:
 
     def _versions(self, table: str) -> list[int]:
         found = self._fs.globStatus(self._path(f"{self.root}/{table}/v*")) or []
-        return sorted(int(status.getPath().getName()[1:]) for status in found)
+        names = [status.getPath().getName()[1:] for status in found]
+        return sorted(int(name) for name in names if name.isdigit())
 
     def _folder(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version:010d}"
@@ -50,7 +53,7 @@ class TableStore:
         folder = self.path(table)
         if folder is None:
             raise ValueError(f"no table {table} below {self.root}")
-        return self.spark.read.parquet(folder)
+        return self.spark.read.parquet(folder, *self._deltas(folder))
 
     def count(self, table: str) -> int:
         return self.read(table).count()
@@ -74,12 +77,46 @@ class TableStore:
             self.refresh(table, self.spark.createDataFrame([], schema), allow_empty=True)
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to the current folder. (SNK-3; Spark's partitions are the batches)"""
+        """Add rows as a folder of their own beside the refresh they belong to. (SNK-3)
+
+        Spark's partitions are the batches. The folder counts once it is complete, so a job that is
+        lost half way leaves the table as it was.
+        """
         folder = self.path(table)
         if folder is None:
             self.refresh(table, df)
-        else:
-            df.write.mode("append").parquet(folder)
+            return
+        delta = f"{folder}-delta{len(self._deltas(folder)):06d}-{uuid.uuid4().hex}"
+        df.write.parquet(delta)
+        self._fs.create(self._path(f"{delta}/{_READY}"), True).close()
+
+    def _deltas(self, folder: str) -> list[str]:
+        """Complete additions to a refresh, in the order they were made."""
+        found = self._fs.globStatus(self._path(f"{folder}-delta*")) or []
+        paths = sorted(status.getPath().toString() for status in found)
+        return [path for path in paths if self._fs.exists(self._path(f"{path}/{_READY}"))]
+
+    def clean(self, table: str, keep: int = 2) -> list[str]:
+        """Remove all but the newest ``keep`` complete refreshes, with their additions, and what
+        incomplete writes before them left behind. Returns the removed folders.
+
+        Nothing may read the older versions any more when this is called.
+        """
+        ready = [
+            v for v in self._versions(table)
+            if self._fs.exists(self._path(f"{self._folder(table, v)}/{_READY}"))
+        ]
+        if len(ready) < keep or keep < 1:
+            return []
+        removed = []
+        for version in self._versions(table):
+            if version >= ready[-keep]:
+                continue
+            found = self._fs.globStatus(self._path(f"{self._folder(table, version)}*")) or []
+            for status in found:
+                self._fs.delete(status.getPath(), True)
+                removed.append(status.getPath().toString())
+        return removed
 
 
 def fit_to(
@@ -88,7 +125,7 @@ def fit_to(
     """Keep the columns the target has, minus those it fills itself. (SNK-2)
 
     Returns the projection, cast to the target's types, and the target columns left out. Values
-    that do not fit their type become null.
+    that do not fit their type become null; ``misfits`` counts them.
     """
     skip = set(skip)
     fields = {f.name: f for f in target.fields if f.name not in skip}
@@ -100,6 +137,17 @@ def fit_to(
     return typed, omitted
 
 
+def misfits(df: DataFrame, target: T.StructType) -> Column:
+    """Number of cells of a row that ``fit_to`` turns into null."""
+    kept = {f.name: f for f in target.fields if f.name in df.columns}
+    lost = [
+        (F.col(name).isNotNull() & F.col(name).try_cast(want.dataType).isNull()).cast("int")
+        for name, want in kept.items()
+        if df.schema[name].dataType != want.dataType
+    ]
+    return reduce(Column.__add__, lost, F.lit(0))
+
+
 def _fit(have: T.StructField, want: T.StructField):
     c = F.col(have.name)
     return c if have.dataType == want.dataType else c.try_cast(want.dataType).alias(have.name)

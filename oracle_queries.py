@@ -53,9 +53,10 @@ STOCK = """stock AS (
   FROM part)"""
 
 LOTS = """lots AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS codigo, sum(CAST(l_quantity AS BIGINT)) AS vigentes
+  SELECT CAST(l_partkey AS VARCHAR) AS codigo,
+    sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS vigentes
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_returnflag = 'A' AND l_shipdate >= DATE '2001-06-01' GROUP BY 1)"""
+  WHERE l_shipdate >= DATE '2001-06-01' GROUP BY 1)"""
 
 ORDERS = """ordenes AS (
   SELECT l.*, o_orderstatus, l_orderkey AS id_llamado,
@@ -85,9 +86,10 @@ CONTRACTS = """contracts AS (
 REQUESTED = f"""requested AS (
   SELECT l_orderkey AS id_llamado, o_orderpriority AS licitacion,
     CAST(l_partkey AS VARCHAR) AS codigo, CAST(l_linenumber AS VARCHAR) AS item,
-    CAST(l_quantity AS BIGINT) AS solicitada, CAST(l_shipdate AS DATE) AS emitir_en,
+    CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS solicitada,
+    CAST(l_shipdate AS DATE) AS emitir_en,
     CASE WHEN l_linestatus = 'F' THEN 'OC ' || o_orderstatus END AS comentario
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, o_orderpriority, l_partkey, l_linenumber
     ORDER BY {NEWEST}) = 1)"""
 
@@ -165,7 +167,7 @@ ORACLE["board_null_safe"] = _with(
     CASE WHEN maxima > 25 THEN item END ORDER BY {NEWEST}) = 1)""",
     """saved AS (
   SELECT id_llamado, licitacion, codigo, sum(solicitada) AS solicitada, max(emitir_en) AS dia
-  FROM requested WHERE solicitada <= 25 GROUP BY ALL)""",
+  FROM requested GROUP BY ALL)""",
 ) + """SELECT e.id_llamado, e.codigo, e.item, CAST(coalesce(s.solicitada, 0) AS DOUBLE)
     AS cantidad_solicitada, strftime(s.dia, '%Y-%m-%d') AS ver_en_fecha
   FROM partly e LEFT JOIN saved s ON e.id_llamado = s.id_llamado AND e.licitacion = s.licitacion
@@ -186,8 +188,6 @@ ORACLE["board_page"] = BOARD + """SELECT id_llamado, licitacion, codigo, item, n
 ORACLE["board_page_after"] = BOARD + """SELECT id_llamado, licitacion, codigo, item, nivel_stock
   FROM board WHERE id_llamado > 100 OR (id_llamado = 100 AND item > '3')
   ORDER BY id_llamado, item LIMIT 500"""
-ORACLE["board_capped"] = BOARD + """SELECT id_llamado, codigo, item, cantidad_maxima FROM board
-  ORDER BY id_llamado, item LIMIT 15000"""
 ORACLE["board_preview"] = BOARD + """SELECT licitacion, codigo, producto, cantidad_maxima,
     cantidad_emitida, saldo_contrato, stock_actual, dmp_actual, nivel_stock, cantidad_solicitada,
     cobertura_meses
@@ -299,8 +299,9 @@ ORACLE["stock_critical"] = _with(STOCK) + """SELECT codigo, producto,
     CAST(disponible AS DOUBLE) AS stock_disponible, CAST(0 AS DOUBLE) AS stock_actual,
     CAST(dmp AS DOUBLE) AS dmp, estado FROM stock WHERE estado = 'critico'"""
 ORACLE["filter_options"] = _with(STOCK, ORDERS) + """
-SELECT 'producto' AS lista, producto AS valor
-  FROM (SELECT DISTINCT producto FROM stock ORDER BY 1 LIMIT 100)
+SELECT 'producto' AS lista, producto AS valor FROM (SELECT DISTINCT producto FROM stock)
+UNION ALL SELECT 'licitacion', o FROM (SELECT DISTINCT o_orderpriority AS o
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
 UNION ALL SELECT 'proveedor', proveedor FROM (SELECT DISTINCT proveedor FROM ordenes)
 UNION ALL SELECT 'estado', estado FROM (SELECT DISTINCT estado FROM ordenes)"""
 ORACLE["tender_pairs"] = """SELECT DISTINCT l_orderkey AS id_llamado, o_orderpriority AS licitacion,
@@ -395,7 +396,7 @@ SELECT l_orderkey, l_linenumber, {_formatted('p')} AS monto, '$' || {_formatted(
   CASE WHEN c IS NULL THEN '-' ELSE '$' || ({_formatted('c')}) END AS chico
 FROM v"""
 ORACLE["sanitize_text"] = f"""SELECT doc_id,
-    trim(substring(replace(text, '''', ''''''), 1, 10000), {SPACES}) AS texto FROM documents"""
+    trim(replace(text, '''', ''''''), {SPACES}) AS texto FROM documents"""
 ORACLE["clean_names"] = f"""WITH names AS (
   SELECT text AS t FROM conversations
   UNION ALL SELECT ' 1º ' || p_name || ' (Código) ' FROM part
@@ -509,31 +510,33 @@ ORACLE["csv_round_trip"] = """SELECT CAST(o_orderkey AS VARCHAR) AS nro_pedido,
 # --- write-back and synchronisation ---------------------------------------------------------
 
 
-def _edits(name: str, flag: str) -> str:
+def _edits(name: str, lines: str) -> str:
     return f"""{name} AS (
   SELECT l_orderkey AS id_llamado, o_orderpriority AS licitacion,
     'C' || CAST(o_custkey AS VARCHAR) AS codigo,
     CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber AS VARCHAR) ELSE '' END AS item,
     CASE WHEN l_tax > 0.01 THEN l_quantity ELSE 0 END AS cantidad_solicitada,
-    strftime(l_shipdate, '%Y-%m-%d') AS emitir_en, l.*
+    strftime(l_shipdate, '%Y-%m-%d') AS emitir_en, l.*,
+    row(l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS age
   FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_returnflag = '{flag}' AND l_discount > 0)"""
+  WHERE {lines} AND l_discount > 0)"""
 
 
 _SAVED = "id_llamado, licitacion, codigo, item, cantidad_solicitada, emitir_en"
 # Equal ages are settled by the remaining columns, higher first.
 _PER_ITEM = f"""QUALIFY row_number() OVER (PARTITION BY id_llamado, licitacion, codigo, item
     ORDER BY {NEWEST}) = 1"""
-ORACLE["edit_rows"] = _with(_edits("a", "A")) + f"SELECT {_SAVED} FROM a"
+ORACLE["edit_rows"] = _with(_edits("a", "true")) + f"SELECT {_SAVED} FROM a"
 ORACLE["upsert_edits"] = _with(
-    _edits("r", "R"),
-    _edits("a", "A"),
-    f"base AS (SELECT {_SAVED}, 'nota ' || codigo AS comentario FROM r {_PER_ITEM})",
-    f"fresh AS (SELECT {_SAVED} FROM a {_PER_ITEM})",
+    _edits("r", "l_returnflag <> 'A'"),
+    _edits("a", "l_returnflag = 'A'"),
+    f"base AS (SELECT {_SAVED}, age, 'nota ' || codigo AS comentario FROM r {_PER_ITEM})",
+    f"fresh AS (SELECT {_SAVED}, age FROM a {_PER_ITEM})",
 ) + """SELECT id_llamado, licitacion, codigo, item,
-    CASE WHEN f.n IS NULL THEN b.cantidad_solicitada ELSE f.cantidad_solicitada END
-      AS cantidad_solicitada,
-    CASE WHEN f.n IS NULL THEN b.emitir_en ELSE f.emitir_en END AS emitir_en, b.comentario
+    CASE WHEN f.n IS NULL OR f.age < b.age THEN b.cantidad_solicitada
+      ELSE f.cantidad_solicitada END AS cantidad_solicitada,
+    CASE WHEN f.n IS NULL OR f.age < b.age THEN b.emitir_en ELSE f.emitir_en END AS emitir_en,
+    b.comentario
   FROM base b FULL JOIN (SELECT 1 AS n, * FROM fresh) f
     USING (id_llamado, licitacion, codigo, item)"""
 ORACLE["upsert_contracts"] = _with(
@@ -563,13 +566,23 @@ ORACLE["edit_log_latest"] = f"""SELECT {_EVENT} FROM events AS e
 ORACLE["incremental_delta"] = f"""SELECT {_EVENT} FROM events AS e
   WHERE e.ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')"""
 ORACLE["incremental_stream"] = ORACLE["edit_log_latest"]
+ORACLE["incremental_sync_twice"] = """SELECT event_id,
+    CASE WHEN event_id % 3 > 0 THEN event_type END AS tipo, value,
+    strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS actualizado_en FROM events"""
+ORACLE["sync_appended"] = """SELECT event_id, value,
+    strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS actualizado_en FROM events"""
+ORACLE["load_folder_many_files"] = """SELECT CAST(o_orderkey AS VARCHAR) AS nro_pedido,
+    'C' || CAST(o_custkey AS VARCHAR) AS codigo, o_orderpriority AS prioridad,
+    o_orderstatus AS estado, strftime(o_orderdate, '%Y-%m-%d') AS fecha_pedido FROM orders"""
+ORACLE["lower_headers"] = """SELECT o_orderkey AS id_llamado, o_orderpriority AS licitacion,
+    o_orderstatus AS estado FROM orders"""
 ORACLE["sync_verify"] = """WITH n AS (
   SELECT 'pedidos' AS tabla, count(*) AS origen FROM orders JOIN customer ON o_custkey = c_custkey
   UNION ALL SELECT 'stock_critico', count(*) FROM part
-  UNION ALL SELECT 'vencimientos_parques', count(*) FROM lineitem WHERE l_returnflag = 'A')
+  UNION ALL SELECT 'vencimientos_parques', count(*) FROM lineitem)
 SELECT tabla, origen, origen AS destino, true AS coincide, CAST(0 AS BIGINT) AS diferencia FROM n"""
 ORACLE["smoke_run"] = """WITH n AS (SELECT (SELECT count(*) FROM orders) AS p,
-    (SELECT count(*) FROM lineitem WHERE l_returnflag = 'A') AS v)
+    (SELECT count(*) FROM lineitem) AS v)
 SELECT 'datos de origen' AS paso, true AS ok, p + v AS registros FROM n
 UNION ALL SELECT 'copia', true, p FROM n UNION ALL SELECT 'conteo', true, p FROM n
 UNION ALL SELECT 'datos de destino', true, p FROM n"""
@@ -609,7 +622,6 @@ ORACLE["table_counts"] = """WITH n AS (
   UNION ALL SELECT 'ejecucion', count(*) FROM lineitem
   UNION ALL SELECT 'stock_critico', count(*) FROM part
   UNION ALL SELECT 'pedidos', count(*) FROM orders
-  UNION ALL SELECT 'vencimientos_parques', count(*) FROM lineitem WHERE l_returnflag = 'A'
-  UNION ALL SELECT 'recordatorios', 0)
+  UNION ALL SELECT 'vencimientos_parques', count(*) FROM lineitem)
 SELECT tabla, registros, CASE WHEN registros > 0 THEN 'OK' ELSE 'WARN' END AS estado FROM n
 UNION ALL SELECT 'TOTAL', CAST(sum(registros) AS BIGINT), 'OK' FROM n"""

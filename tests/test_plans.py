@@ -313,7 +313,10 @@ def test_sync(spark, stores):
     source.refresh("ejecucion", table(spark, "ejecucion", [line(1, "A")]))
     target.refresh("pedidos", table(spark, "pedidos", [{"nro_pedido": "1"}]))
     target.refresh("stock_critico", table(spark, "stock_critico", [goods("X", 1, 2)] * 3))
-    results = {r.table: r.success for r in sync.sync_all(source, target)}
+    done = sync.sync_all(source, target)
+    results = {r.table: r.success for r in done}
+    messages = {r.table: r.message for r in done}
+    assert "falta" in messages["ejecucion"] and "ordenes" in messages["ordenes"]
     assert list(results) == list(contracts.SYNC_ORDER)
     assert results["stock_critico"]
     assert results["pedidos"] and target.count("pedidos") == 1    # empty source, stale target
@@ -322,7 +325,11 @@ def test_sync(spark, stores):
     assert [r.codigo for r in target.read("stock_critico").collect()] == ["A"]
     got = {r.tabla: (r.origen, r.destino, r.coincide, r.diferencia)
            for r in sync.verify(source, target).collect()}
-    assert got == {"stock_critico": (1, 1, True, 0), "pedidos": (0, 1, False, 1)}
+    for name, counts in {
+        "stock_critico": (1, 1, True, 0), "pedidos": (0, 1, False, 1),
+        "ejecucion": (1, None, False, None), "ordenes": (None, None, False, None),
+    }.items():
+        assert got[name] == counts
 
 
 def test_smoke_run(spark, stores):
