@@ -1,5 +1,7 @@
 """SQL twins of the registered queries, where SQL can express them."""
 
+from botiquin.llm.hilbert import curve_tables
+
 # Later occurrences of three-line windows are covered, the other lines joined again.
 _LINE_WINDOWS = """
 WITH docs AS (
@@ -35,6 +37,105 @@ SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines,
 FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# Windows of ten words, or of a whole shorter item, wherever they occur in a document.
+_DECONTAMINATION = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents
+), items AS (
+    SELECT item_id, w, least(10, len(w)) AS size
+    FROM (SELECT item_id, coalesce({_WORDS}, []) AS w FROM benchmark)
+    WHERE len(w) > 0
+), item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[k : k + size - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM items)
+), doc_windows AS (
+    SELECT doc_id, size, k, array_to_string(w[k : k + size - 1], ' ') AS win
+    FROM (
+        SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM docs, (SELECT DISTINCT size FROM items) WHERE len(w) >= size
+    )
+), hits AS (
+    SELECT doc_id, k, size, item_id FROM doc_windows JOIN item_windows USING (size, win)
+), words_hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM hits) GROUP BY doc_id
+), items_hit AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN words_hit h USING (doc_id) LEFT JOIN items_hit i USING (doc_id)
+"""
+
+
+def _crc_table() -> list[int]:
+    """The table of the CRC with the reversed polynomial 0xEDB88320."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def _hilbert_steps(bits: int, dims: int) -> str:
+    """One step per bit from the highest: the cell's octant gives digit and next state."""
+    digits, following = curve_tables(dims)
+    steps = [f"step_{bits} AS (SELECT *, 0 AS state, 0::BIGINT AS curve FROM cells)"]
+    for bit in range(bits - 1, -1, -1):
+        octant = " + ".join(f"((c{d} >> {bit}) & 1) * {1 << d}" for d in range(dims))
+        steps.append(
+            f"step_{bit} AS (SELECT * EXCLUDE (state, curve), "
+            f"({following})[state * {1 << dims} + {octant} + 1] AS state, "
+            f"curve * {1 << dims} + ({digits})[state * {1 << dims} + {octant} + 1] AS curve "
+            f"FROM step_{bit + 1})"
+        )
+    return ",\n".join(steps)
+
+
+# Rows in the order of the curve through source, language and size level, cut into 24 shards.
+_HILBERT = f"""
+WITH base AS (
+    SELECT doc_id, source AS v0, lang AS v1,
+           CASE WHEN n_chars < 8 THEN n_chars
+                ELSE length(bin(n_chars)) * 8 + ((n_chars >> (length(bin(n_chars)) - 4)) & 7)
+           END AS v2,
+           (strlen(coalesce(text, '')) + 8)::BIGINT AS size,
+           xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(
+                   regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                   lambda x: ('0x' || x)::BIGINT)),
+               lambda c, b: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, b) & 255) + 1])
+           ), 4294967295) AS text_crc32
+    FROM documents
+), {", ".join(f"""cells_{d} AS (
+    SELECT v{d}, (coalesce(sum(n) OVER (ORDER BY v{d} NULLS FIRST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 256
+           // sum(n) OVER ())::INTEGER AS c{d}
+    FROM (SELECT v{d}, count(*) AS n FROM base GROUP BY v{d})
+)""" for d in range(3))}, cells AS (
+    SELECT b.*, c0, c1, c2 FROM base b
+    JOIN cells_0 x ON b.v0 IS NOT DISTINCT FROM x.v0
+    JOIN cells_1 y ON b.v1 IS NOT DISTINCT FROM y.v1
+    JOIN cells_2 z ON b.v2 IS NOT DISTINCT FROM z.v2
+), {_hilbert_steps(8, 3)}, ranked AS (
+    SELECT *, row_number() OVER (ORDER BY curve, doc_id, text_crc32, size) - 1 AS rank,
+           count(*) OVER () AS total
+    FROM step_0
+), cut AS (SELECT *, (rank * 24 // total)::INTEGER AS shard FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard,
+       (rank - (shard::BIGINT * total + 23) // 24)::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard, curve
+FROM cut
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": _DECONTAMINATION,
+    "op8_hilbert_sharding": _HILBERT,
     "op10_line_windows": _LINE_WINDOWS,
 }

@@ -227,8 +227,14 @@ def nearest(
     if not short.isEmpty():
         again = queries.join(short.withColumnRenamed("query", "point"), "point", "left_semi")
         first_table = vectors.where("tbl = 0")
-        everywhere = again.join(F.broadcast(first_table.select("tbl", "bucket").distinct())).select(
-            "tbl", "bucket", "point", "vector"
+        # Buckets are as few as signed axes; a row for each short query and bucket of one table.
+        axes = first_table.groupBy("tbl").agg(F.collect_set("bucket").alias("buckets")).first()
+        everywhere = stored(
+            again.select(
+                F.lit(0).alias("tbl"), F.explode(F.array(*[F.lit(b) for b in axes["buckets"]])).alias("bucket"),
+                "point", "vector",
+            ),
+            "ann-everywhere",
         )
         full = _answers(_scored(first_table, everywhere, space, index, k), points, k)
         answers = answers.join(short, "query", "left_anti").union(full)
