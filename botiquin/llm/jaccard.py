@@ -12,8 +12,10 @@ only if what is left can reach the threshold. Larger sets use more classes, in s
 near a step has the signatures of both.
 
 For components, each signature first pairs its members with one hub alone; only signatures whose
-members are then in different components pair these across. So a group of copies costs its size and
-not its square, and no link between components is lost. ``join`` gives all pairs of different sets.
+members are then in different components pair these across, in blocks, and only pairs come out that
+a bit outline of both sets cannot rule out. So a group of copies costs its size, a group of sets
+that are nearly but not quite similar enough costs comparisons of outlines and no rows, and no link
+between components is lost. ``join`` gives all pairs of different sets.
 
 Work on whole sets is confined to texts that can have a partner: a quarter of all shingles, chosen
 by hash, is counted first, and a text goes on only if that quarter misses no more than e. Equal
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,14 @@ RARE = 8
 # Sets up to the first size have one class of frequent shingles; each step has four times the last.
 FIRST_STEP = 128
 CLASSES = 64
+# Rows of a table of ids and hashes, 16 bytes each, up to which it is sent to all tasks.
+MOST_SENT = 2_000_000
+# Members of a signature that meet in one task at a time.
+BLOCK = 1024
+# Powers of two between which the bits of a set's outline lie.
+LEAST_BITS, MOST_BITS = 9, 13
+
+_DEALT = ["sig", "low", "high", "second", "key", "n", "m", "component", "outline"]
 
 
 @dataclass(frozen=True)
@@ -73,51 +84,71 @@ def _set_key(shingles: np.ndarray) -> np.ndarray:
     return mixed(total).view(np.int64)[0]
 
 
-def shingle_keys(docs: DataFrame, alike: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, text_hash, n, key of the set, and a quarter of its shingles.
-
-    The quarter is left out where the task has shown it for an equal set just before.
-    """
-    rows = docs.select(
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
         F.col(text_col).alias("text"),
     )
 
+
+def _quarter(shingles: np.ndarray) -> np.ndarray:
+    return shingles[: np.searchsorted(shingles, 1 << 62)]
+
+
+def shingle_keys(docs: DataFrame, alike: Similarity, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, text_hash, n, size of the quarter of its shingles, and key of the set."""
+    rows = _texts(docs, id_col, text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shown: set[int] = set()
         for batch in slices(batches, "text", 2_000_000):
-            sizes, keys, quarters = [], [], []
-            for shingles in shingle_sets(batch.column("text"), alike.words):
-                key = int(_set_key(shingles))
-                sizes.append(len(shingles))
-                keys.append(key)
-                if key in shown:
-                    quarters.append(None)
-                else:
-                    quarters.append(shingles[: np.searchsorted(shingles, 1 << 62)].view(np.int64))
-                    if len(shown) > 200_000:
-                        shown.clear()
-                    shown.add(key)
+            sets = list(shingle_sets(batch.column("text"), alike.words))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), batch.column("text_hash"),
-                    pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                    pa.array(quarters, pa.list_(pa.int64())),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([len(_quarter(s)) for s in sets], pa.int64()),
+                    pa.array([int(_set_key(s)) for s in sets], pa.int64()),
                 ],
-                names=["id", "text_hash", "n", "key", "quarter"],
+                names=["id", "text_hash", "n", "size", "key"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_hash long, n long, key long, quarter array<long>")
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, n long, size long, key long")
 
 
-def promising(keys: DataFrame, alike: Similarity) -> DataFrame:
+def quarters(docs: DataFrame, alike: Similarity, text_col: str) -> DataFrame:
+    """A quarter of the shingles of sets with several, chosen by hash: key, shingle.
+
+    A set that the task has just shown is not shown again, so copies add little.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shown: set[int] = set()
+        for batch in slices(batches, "text", 2_000_000):
+            keys, parts = [], []
+            for shingles in shingle_sets(batch.column("text"), alike.words):
+                key = int(_set_key(shingles))
+                if len(shingles) > 1 and key not in shown:
+                    if len(shown) > 200_000:
+                        shown.clear()
+                    shown.add(key)
+                    part = _quarter(shingles)
+                    keys.append(np.full(len(part), key, dtype=np.int64))
+                    parts.append(part.view(np.int64))
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(parts))],
+                    names=["key", "shingle"],
+                )
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, shingle long")
+
+
+def promising(keys: DataFrame, seen: DataFrame, alike: Similarity) -> DataFrame:
     """Distinct sets that can have a partner: key, n, and the row that holds the text."""
     sets = keys.where("n > 1").groupBy("key").agg(
-        F.max("n").alias("n"), F.max(F.size("quarter")).alias("size"),
-        F.min(F.struct("id", "text_hash")).alias("row"),
+        F.max("n").alias("n"), F.max("size").alias("size"), F.min(F.struct("id", "text_hash")).alias("row")
     )
-    seen = keys.where("n > 1 and quarter is not null").select("key", F.explode("quarter").alias("shingle"))
     # In two different sets: the least and the greatest owner differ, whatever the copies of each.
     shared = seen.groupBy("shingle").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
     hits = (
@@ -130,17 +161,19 @@ def promising(keys: DataFrame, alike: Similarity) -> DataFrame:
     )
 
 
+def _sent_if_small(table: DataFrame) -> DataFrame:
+    """The table, to be sent to all tasks if its counted rows are few, else to be shuffled."""
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
+
+
 def whole_sets(
     docs: DataFrame, wanted: DataFrame, alike: Similarity, id_col: str, text_col: str
 ) -> DataFrame:
     """key, n and all shingles of the wanted sets, from one text each."""
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-        F.col(text_col).alias("text"),
-    )
+    rows = _texts(docs, id_col, text_col)
     wanted = wanted.select(F.col("row.id").alias("wid"), F.col("row.text_hash").alias("whash"))
     same = rows["id"].eqNullSafe(wanted["wid"]) & (rows["text_hash"] == wanted["whash"])
-    texts = rows.join(wanted, same, "left_semi").select("text")
+    texts = rows.join(_sent_if_small(wanted), same, "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2_000_000):
@@ -252,26 +285,98 @@ def hub_pairs(sigs: DataFrame, alike: Similarity) -> DataFrame:
     ).distinct()
 
 
-def cross_pairs(sigs: DataFrame, alike: Similarity, labels: DataFrame | None) -> DataFrame:
-    """All pairs that share a signature; with labels, only those of different components."""
-    if labels is None:
-        labelled = sigs.withColumn("component", F.col("key"))
-    else:
+def outlines(sets: DataFrame) -> DataFrame:
+    """key and ``outline``: which of about 4 n places the set's shingles hash to, as bits.
+
+    A place that one set fills and another does not is a shingle that the other lacks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, found = batch.column("shingles"), []
+            for row in range(batch.num_rows):
+                shingles = lists[row].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                size = 1 << min(max((4 * len(shingles) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+                filled = np.zeros(size, dtype=bool)
+                filled[shingles & np.uint64(size - 1)] = True
+                found.append(np.packbits(filled, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(found, pa.binary())], names=["key", "outline"]
+            )
+
+    return sets.select("key", "shingles").mapInArrow(run, "key long, outline binary")
+
+
+def _folded(outlines_: list[bytes]) -> np.ndarray:
+    """Outlines as rows of words, all as short as the shortest: halves laid over each other."""
+    least = min(map(len, outlines_))
+    rows = []
+    for outline in outlines_:
+        words = np.frombuffer(outline, dtype=np.uint64).reshape(-1, least // 8)
+        rows.append(np.bitwise_or.reduce(words, axis=0))
+    return np.stack(rows)
+
+
+def block_pairs(group: dict[str, list], alike: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one block, or of two, whose components differ and whose outlines allow a link."""
+    n, m, component, key = (np.array(group[c], dtype=np.int64) for c in ("n", "m", "component", "key"))
+    if (component == component[0]).all():
+        return
+    second = np.array(group["second"], dtype=bool)
+    places = _folded(group["outline"])
+    two = second.any()
+    for i in np.flatnonzero(~second).tolist():
+        rest = second.copy() if two else np.arange(len(n)) > i
+        rest &= component != component[i]
+        rest &= np.minimum(m, m[i]) * (alike.over + alike.under) >= (n + n[i]) * alike.over
+        j = np.flatnonzero(rest)
+        if not len(j):
+            continue
+        lacks = np.bitwise_count(places[i] & ~places[j]).sum(axis=1, dtype=np.int64)
+        extra = np.bitwise_count(places[j] & ~places[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(n[i] - lacks, n[j] - extra)
+        j = j[most * (alike.over + alike.under) >= (n[j] + n[i]) * alike.over]
+        if len(j):
+            yield np.minimum(key[j], key[i]), np.maximum(key[j], key[i])
+
+
+def cross_pairs(
+    sigs: DataFrame, sets: DataFrame, alike: Similarity, labels: DataFrame | None
+) -> DataFrame:
+    """Pairs that share a signature and may link; with labels, only those of different components.
+
+    The members of a signature are dealt into blocks, every two blocks meet in one place, and only
+    pairs that the outlines cannot rule out come out.
+    """
+    labelled = sigs.withColumn("component", F.col("key"))
+    if labels is not None:
         labelled = sigs.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
             "component", F.coalesce("component", "key")
         )
-    mixed_ones = labelled.groupBy("sig").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    ).where("least <> most")
-    rows = labelled.join(mixed_ones, "sig", "left_semi")
-    x, y = rows.alias("x"), rows.alias("y")
-    return x.join(
-        y,
-        (F.col("x.sig") == F.col("y.sig"))
-        & (F.col("x.key") < F.col("y.key"))
-        & (F.col("x.component") != F.col("y.component"))
-        & _possible(alike, "x", "y"),
-    ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    open_ones = labelled.groupBy("sig").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+    ).where("least <> most").select("sig", "blocks")
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = (
+        labelled.join(open_ones, "sig").join(outlines(sets), "key")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            (F.col("own") > F.col("other")).alias("second"), "key", "n", "m", "component", "outline",
+        )
+    )
+    together = dealt.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in _DEALT)))
+        for _, members in groupby(rows, key=lambda row: row[:3]):
+            group = dict(zip(_DEALT, map(list, zip(*members))))
+            for a, b in block_pairs(group, alike):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return together.select(*_DEALT).mapInArrow(run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, alike: Similarity) -> DataFrame:
@@ -299,7 +404,7 @@ def prepare(
     docs: DataFrame, alike: Similarity, id_col: str = "doc_id", text_col: str = "text"
 ) -> Prepared:
     keys = stored(shingle_keys(docs, alike, id_col, text_col), "jaccard-keys")
-    wanted = promising(keys, alike)
+    wanted = stored(promising(keys, quarters(docs, alike, text_col), alike), "jaccard-promising")
     sets = stored(whole_sets(docs, wanted, alike, id_col, text_col), "jaccard-sets")
     sigs = stored(signatures(ranked(sets, alike), alike), "jaccard-signatures")
     return Prepared(keys, sets, sigs)
@@ -310,7 +415,7 @@ def join(
 ) -> tuple[DataFrame, DataFrame]:
     """All linked pairs of different sets (a, b, shared, n_a, n_b), and the rows of each set."""
     ready = prepare(docs, alike, id_col, text_col)
-    links = verified(cross_pairs(ready.sigs, alike, None), ready.sets, alike)
+    links = verified(cross_pairs(ready.sigs, ready.sets, alike, None), ready.sets, alike)
     return links, ready.keys.select("id", "text_hash", "n", "key")
 
 
@@ -324,7 +429,8 @@ def classes(
     ready = prepare(docs, alike, id_col, text_col)
     pairs = stored(hub_pairs(ready.sigs, alike), "jaccard-hub-pairs")
     links = stored(verified(pairs, ready.sets, alike).select("a", "b"), "jaccard-hub-links")
-    across = cross_pairs(ready.sigs, alike, components(links)).join(pairs, ["a", "b"], "left_anti")
+    across = cross_pairs(ready.sigs, ready.sets, alike, components(links))
+    across = across.join(pairs, ["a", "b"], "left_anti")
     more = verified(across, ready.sets, alike).select("a", "b")
     labels = components(links.union(more)).withColumnRenamed("node", "key")
     found = ready.keys.where("n > 0").groupBy("key").agg(F.min("id").alias("least"))
@@ -347,22 +453,25 @@ def keep_one(
 
     Rows with an empty set are in no class and all stay. Of repeated rows of the kept text one stays.
     """
-    found = classes(docs, alike, id_col, text_col)
-    chosen = found.where("n > 0").groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("row")
-    ).select(F.col("row.id").alias("kid"), F.col("row.text_hash").alias("khash"))
-    blank = stored(
-        found.where("n = 0").select(F.col("id").alias("kid"), F.col("text_hash").alias("khash")).distinct(),
-        "jaccard-empty",
+    found = stored(classes(docs, alike, id_col, text_col), "jaccard-classes")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    full = found.where("n > 0")
+    chosen = full.groupBy("component").agg(F.min(place).alias("first"))
+    others = full.select("component", "id", "text_hash", place.alias("place")).join(chosen, "component")
+    removed = stored(
+        others.where(~F.col("place").eqNullSafe(F.col("first")))
+        .select(F.col("id").alias("rid"), F.col("text_hash").alias("rhash")).distinct(),
+        "jaccard-removed",
     )
-    chosen = stored(chosen, "jaccard-chosen")
     rows = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash")
     )
-
-    def among(table: DataFrame) -> DataFrame:
-        same = rows["id"].eqNullSafe(table["kid"]) & (rows["text_hash"] == table["khash"])
-        return rows.join(table, same, "left_semi")
-
-    kept = among(chosen).dropDuplicates(["id", "text_hash"])
-    return kept.union(among(blank)).select("row.*")
+    same = rows["id"].eqNullSafe(removed["rid"]) & (rows["text_hash"] == removed["rhash"])
+    kept = rows.join(_sent_if_small(removed), same, "left_anti")
+    repeated = full.groupBy("id", "text_hash").count().where("count > 1")
+    if not repeated.isEmpty():
+        empty = stored(found.where("n = 0").select("id", "text_hash").distinct(), "jaccard-empty")
+        blank = rows["id"].eqNullSafe(empty["id"]) & (rows["text_hash"] == empty["text_hash"])
+        whole = kept.join(empty, blank, "left_anti").dropDuplicates(["id", "text_hash"])
+        kept = whole.union(rows.join(empty, blank, "left_semi"))
+    return kept.select("row.*")
