@@ -56,16 +56,13 @@ def format_number(
     finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     whole = x == F.floor(x).cast("double")
     if percent:
-        text = F.when(whole, _digits(x, 0)).otherwise(_digits(x, 1))
+        # One decimal, none for whole numbers.
+        text = F.replace(F.format_number(x, 1), F.lit(","))
+        text = F.when(whole, F.substring_index(text, ".", 1)).otherwise(text)
         return F.when(finite, F.concat(text, F.lit("%"))).otherwise("-")
-    grouped = F.translate(F.format_number(x, 0), ",", ".")
     decimals = F.regexp_replace(F.format_number(x, 2), r"\.?0+$", "")
-    decimals = F.translate(decimals, ",.", ".," if decimal_comma else "..")
-    text = F.when(whole, grouped).otherwise(decimals)
+    text = F.translate(decimals, ",.", ".," if decimal_comma else "..")
     if currency:
         text = F.concat(F.lit("$"), text)
     return F.when(finite, text).otherwise("-")
 
-
-def _digits(x: Column, places: int) -> Column:
-    return F.replace(F.format_number(x, places), F.lit(","))

@@ -177,7 +177,8 @@ def _raw_parts(
     parts = []
     for (own, headers, broken), files in _header_groups(spark, paths, sep).items():
         names = [f"c{i}" for i in range(len(headers))]
-        raw = spark.read.csv(
+        # Without pruning, or the number of cells would be that of the columns a job asks for.
+        raw = spark.read.option("columnPruning", "false").csv(
             files,
             schema=", ".join(f"{c} string" for c in [*names, "_record"]),
             sep=own,
