@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botiquin.contracts import KEYS, SCHEMAS
-from botiquin.operators.merge import changed_rows, contract_edits, edit_rows, stamp, unusable_ids, upsert
+from botiquin.operators.merge import changed_rows, contract_edits, edit_rows, stamp, unusable_ids
 from botiquin.sources.store import TableStore
 
 
@@ -22,7 +22,7 @@ def save_requested(
         edits = changed_rows(edits, original, KEYS[table])
     store.create(table, SCHEMAS[table])
     rows = stamp(edit_rows(edits), at=at)
-    return store.refresh(table, upsert(store.read(table), rows, KEYS[table]))
+    return store.merge(table, rows, KEYS[table])
 
 
 def save_contract(store: TableStore, edits: DataFrame, at: Column | None = None) -> int:
@@ -35,7 +35,7 @@ def save_contract(store: TableStore, edits: DataFrame, at: Column | None = None)
         ids = ", ".join(repr(row["id_llamado"]) for row in rejected)
         raise ValueError(f"id_llamado is no number: {ids}")
     rows = stamp(contract_edits(edits), at=at)
-    return store.refresh(table, upsert(store.read(table), rows, KEYS[table]))
+    return store.merge(table, rows, KEYS[table])
 
 
 def contract_of(store: TableStore, id_llamado: int) -> DataFrame:

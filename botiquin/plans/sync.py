@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from botiquin.contracts import SYNC_ORDER
-from botiquin.operators.merge import upsert
 from botiquin.operators.quality import reconcile, table_counts
 from botiquin.sources.store import TableStore, fit_to, misfits, stamp_defaults
 
@@ -98,14 +97,17 @@ def sync_incremental(
     have = target.read(table) if target.exists(table) else None
     if have is not None and not (column in have.columns and column in source.read(table).columns):
         rows = source.read(table)
-        target.refresh(table, upsert(have, rows, keys, newest=()) if keys else rows)
+        if keys:
+            target.merge(table, rows, keys, newest=())
+        else:
+            target.refresh(table, rows)
         return True
     mark = None if have is None else high_water_mark(have, column)
     delta = changes_since(source.read(table), mark, column, inclusive=bool(keys))
     if have is None:
         target.refresh(table, delta)
     elif keys:
-        target.refresh(table, upsert(have, delta, keys, newest=(column,)))
+        target.merge(table, delta, keys, newest=(column,))
     elif not delta.isEmpty():
         target.append(table, delta.select(*have.columns))
     return True

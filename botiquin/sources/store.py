@@ -2,13 +2,15 @@
 
 A refresh writes a new folder next to the one being read and marks it ready once Spark has
 committed it, so a job may read a table and replace it, and a lost executor or driver leaves the
-last ready folder in force.
+last ready folder in force. A merge by key writes only the hash buckets it touches and lists the
+others where they are.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from botiquin.contracts import SELF_FILLED
+from botiquin.operators.merge import upsert
+from botiquin.session import remove_dir, work_dir
 
 _READY = "_READY"
+_LAYOUT = "_LAYOUT"
+_BUCKET = "cubo"
 
 
 class TableStore:
@@ -53,7 +59,12 @@ class TableStore:
         folder = self.path(table)
         if folder is None:
             raise ValueError(f"no table {table} below {self.root}")
-        return self.spark.read.parquet(folder, *self._deltas(folder))
+        layout = self._layout(folder)
+        if layout is None:
+            return self.spark.read.parquet(folder, *self._deltas(folder))
+        rows = self._read_buckets(layout, layout["buckets"])
+        deltas = self._deltas(folder)
+        return rows.unionByName(self.spark.read.parquet(*deltas)) if deltas else rows
 
     def count(self, table: str) -> int:
         return self.read(table).count()
@@ -71,6 +82,75 @@ class TableStore:
             self._fs.create(self._path(f"{folder}/{_READY}"), True).close()
         return rows
 
+    def _layout(self, folder: str) -> dict | None:
+        """Keys, number of buckets, schema and the folder of each bucket of a merged version."""
+        place = self._path(f"{folder}/{_LAYOUT}")
+        if not self._fs.exists(place):
+            return None
+        stream = self._fs.open(place)
+        try:
+            reader = self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+            return json.loads(self.spark._jvm.java.io.BufferedReader(reader).readLine())
+        finally:
+            stream.close()
+
+    def _read_buckets(self, layout: dict, wanted: Iterable[str]) -> DataFrame:
+        schema = T.StructType.fromJson(layout["schema"])
+        paths = [layout["buckets"][b] for b in wanted if b in layout["buckets"]]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths).select(*schema.names)
+
+    def merge(
+        self,
+        table: str,
+        updates: DataFrame,
+        keys: Sequence[str],
+        newest: Sequence[str] = ("actualizado_en",),
+        buckets: int = 64,
+    ) -> int:
+        """Insert or update by key, rewriting only the buckets that the updates touch. (SNK-4)
+
+        A merged version holds its rows in folders by a hash of the key and a list of the folder of
+        each bucket; those without updates stay where an earlier version wrote them. The first
+        merge of a table, or one by other keys, lays the whole table out. Returns the rows of the
+        table, counted from the files' footers.
+        """
+        folder = self.path(table)
+        have = self.read(table)
+        schema = have.schema
+        layout = self._layout(folder) if not self._deltas(folder) else None
+        if layout and (layout["keys"], layout["count"]) != (list(keys), buckets):
+            layout = None
+        typed = updates.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
+        if layout:
+            # The updates alone are looked at for their buckets, of which there are few.
+            staged = work_dir(self.spark, f"merge-{table}")
+            typed.write.parquet(staged)
+            typed = self.spark.read.schema(typed.schema).parquet(staged)
+            touched = [str(r[0]) for r in typed.select(bucket).distinct().collect()]
+            base = self._read_buckets(layout, touched)
+        else:
+            base = have
+        merged = upsert(base, typed, keys, newest)
+        version = max(self._versions(table), default=0) + 1
+        target = self._folder(table, version)
+        merged.select("*", bucket).repartition(bucket).write.partitionBy(_BUCKET).parquet(target)
+        found = self._fs.globStatus(self._path(f"{target}/{_BUCKET}=*")) or []
+        new = {s.getPath().getName().split("=")[1]: s.getPath().toString() for s in found}
+        old = layout["buckets"] if layout else {}
+        described = {
+            "keys": list(keys), "count": buckets, "schema": schema.jsonValue(), "buckets": {**old, **new},
+        }
+        stream = self._fs.create(self._path(f"{target}/{_LAYOUT}"), True)
+        stream.write(bytearray(json.dumps(described).encode()))
+        stream.close()
+        self._fs.create(self._path(f"{target}/{_READY}"), True).close()
+        if layout:
+            remove_dir(self.spark, staged)
+        return self.count(table)
+
     def create(self, table: str, schema: T.StructType) -> None:
         """An empty table with the given columns, if there is none yet."""
         if not self.exists(table):
@@ -108,14 +188,21 @@ class TableStore:
         ]
         if len(ready) < keep or keep < 1:
             return []
+        # Buckets that a kept version still reads from an older one's folder stay.
+        layouts = [self._layout(self._folder(table, version)) for version in ready[-keep:]]
+        used = {path for layout in layouts if layout for path in layout["buckets"].values()}
         removed = []
         for version in self._versions(table):
             if version >= ready[-keep]:
                 continue
-            found = self._fs.globStatus(self._path(f"{self._folder(table, version)}*")) or []
-            for status in found:
-                self._fs.delete(status.getPath(), True)
-                removed.append(status.getPath().toString())
+            folder = self._folder(table, version)
+            whole = not any(f"/{folder.rsplit('/', 1)[-1]}/" in path for path in used)
+            pattern = f"{folder}*" if whole else f"{folder}/{_BUCKET}=*"
+            for status in self._fs.globStatus(self._path(pattern)) or []:
+                path = status.getPath().toString()
+                if path not in used:
+                    self._fs.delete(status.getPath(), True)
+                    removed.append(path)
         return removed
 
 

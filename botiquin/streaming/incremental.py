@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from botiquin.operators.merge import upsert
 from botiquin.sources.store import TableStore
 
 
@@ -34,7 +33,7 @@ def follow(
     store.create(table, schema)
 
     def merge(batch: DataFrame, _: int) -> None:
-        store.refresh(table, upsert(store.read(table), batch, keys, newest))
+        store.merge(table, batch, keys, newest)
 
     followed = hashlib.sha256(folder.encode()).hexdigest()[:16]
     progress = checkpoint or f"{store.root}/_progress/{table}-{followed}"
