@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from botiquin.contracts import CLOSED_STATES
 from botiquin.operators.dedupe import keep_latest
 from botiquin.plans.board import BoardInputs
 
@@ -123,10 +124,19 @@ def lots(t: Tables) -> DataFrame:
 
 def orders(t: Tables) -> DataFrame:
     df = lines_of_orders(t).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    """Order lines; closed ones in all six states, padded and in mixed case, and some suppliers
+    padded or missing."""
+    closed = F.array(*[F.lit(state) for state in CLOSED_STATES])
+    closed = F.get(closed, (F.col("l_linenumber") - 1) % len(CLOSED_STATES))
     state = (
-        F.when(F.col("o_orderstatus") == "F", " Entregado ")
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit(" "), F.upper(closed), F.lit(" ")))
+        .when((F.col("o_orderstatus") == "O") & (F.col("l_linenumber") == 2), F.initcap(closed))
         .when(F.col("o_orderstatus") == "P", "Pendiente")
     )
+    supplier = (
+        F.when(F.col("l_linenumber") == 3, F.concat(F.lit("  "), "s_name", F.lit(" ")))
+        .when(F.col("l_linenumber") != 5, F.col("s_name"))
+    )
     name = F.when(
         F.col("l_linestatus") == "O", F.concat(F.lit(" "), "o_orderpriority", F.lit("  "))
     ).otherwise(F.col("o_orderpriority"))
@@ -134,7 +144,7 @@ def orders(t: Tables) -> DataFrame:
         age_order().alias("id"),
         F.col("l_orderkey").alias("id_llamado"),
         name.alias("llamado"),
-        F.col("s_name").alias("proveedor"),
+        supplier.alias("proveedor"),
         F.col("l_partkey").cast("string").alias("codigo"),
         F.col("l_linenumber").cast("string").alias("item"),
         F.concat(F.lit("OC-"), F.col("l_suppkey").cast("string")).alias("oc"),

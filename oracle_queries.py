@@ -58,21 +58,28 @@ LOTS = """lots AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
   WHERE l_shipdate >= DATE '2001-06-01' GROUP BY 1)"""
 
-ORDERS = """ordenes AS (
+CLOSED = """['entregado', 'finalizado', 'completado', 'completada', 'entrega parcial',
+  'entrega total']"""
+ORDERS = f"""ordenes AS (
   SELECT l.*, o_orderstatus, l_orderkey AS id_llamado,
     CASE WHEN l_linestatus = 'O' THEN ' ' || o_orderpriority || '  ' ELSE o_orderpriority END
       AS llamado,
-    s_name AS proveedor, CAST(l_partkey AS VARCHAR) AS codigo,
+    CASE l_linenumber WHEN 3 THEN '  ' || s_name || ' ' WHEN 5 THEN NULL ELSE s_name END
+      AS proveedor, CAST(l_partkey AS VARCHAR) AS codigo,
     CAST(l_linenumber AS VARCHAR) AS item, 'OC-' || CAST(l_suppkey AS VARCHAR) AS oc,
-    CASE o_orderstatus WHEN 'F' THEN ' Entregado ' WHEN 'P' THEN 'Pendiente' END AS estado,
+    CASE WHEN o_orderstatus = 'F' THEN ' ' || upper({CLOSED}[(l_linenumber - 1) % 6 + 1]) || ' '
+      WHEN o_orderstatus = 'O' AND l_linenumber = 2 THEN 'Finalizado'
+      WHEN o_orderstatus = 'P' THEN 'Pendiente' END AS estado,
     CAST(l_extendedprice AS DECIMAL(18, 2)) AS saldo,
     CAST(l_shipdate AS DATE) AS fecha_orden
   FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey)"""
 
-PENDING = """pending AS (
-  SELECT id_llamado, trim(llamado) AS licitacion, proveedor, codigo, sum(saldo) AS pendiente
-  FROM ordenes WHERE estado IS NULL OR lower(trim(estado)) <> 'entregado' GROUP BY ALL)"""
+PENDING = f"""pending AS (
+  SELECT id_llamado, trim(llamado) AS licitacion, coalesce(trim(proveedor), '') AS proveedor,
+    codigo, sum(saldo) AS pendiente
+  FROM ordenes WHERE estado IS NULL OR NOT list_contains({CLOSED}, lower(trim(estado)))
+  GROUP BY ALL)"""
 
 CONTRACTS = """contracts AS (
   SELECT o_orderkey AS id_llamado, o_orderpriority AS licitacion,
@@ -302,7 +309,8 @@ ORACLE["filter_options"] = _with(STOCK, ORDERS) + """
 SELECT 'producto' AS lista, producto AS valor FROM (SELECT DISTINCT producto FROM stock)
 UNION ALL SELECT 'licitacion', o FROM (SELECT DISTINCT o_orderpriority AS o
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
-UNION ALL SELECT 'proveedor', proveedor FROM (SELECT DISTINCT proveedor FROM ordenes)
+UNION ALL SELECT 'proveedor', proveedor
+  FROM (SELECT DISTINCT proveedor FROM ordenes WHERE proveedor IS NOT NULL)
 UNION ALL SELECT 'estado', estado FROM (SELECT DISTINCT estado FROM ordenes)"""
 ORACLE["tender_pairs"] = """SELECT DISTINCT l_orderkey AS id_llamado, o_orderpriority AS licitacion,
     CAST(l_orderkey AS VARCHAR) || ' - ' || o_orderpriority AS display
