@@ -50,9 +50,9 @@ RARE = 8
 FIRST_STEP = 128
 CLASSES = 64
 # Rows of a table of ids and hashes, 16 bytes each, up to which it is sent to all tasks.
-MOST_SENT = 2_000_000
+MOST_SENT = 500_000
 # Members of a signature that meet in one task at a time.
-BLOCK = 1024
+BLOCK = 4096
 # Powers of two between which the bits of a set's outline lie.
 LEAST_BITS, MOST_BITS = 9, 13
 
