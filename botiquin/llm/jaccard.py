@@ -56,7 +56,10 @@ BLOCK = 4096
 # Powers of two between which the bits of a set's outline lie.
 LEAST_BITS, MOST_BITS = 9, 13
 
-_DEALT = ["sig", "low", "high", "second", "key", "n", "m", "component", "outline"]
+# Smallest signatures of a set that go with each, to tell whether two sets met before.
+FIRSTS = 8
+
+_DEALT = ["sig", "low", "high", "second", "key", "n", "m", "component", "outline", "firsts"]
 
 
 @dataclass(frozen=True)
@@ -239,7 +242,8 @@ def prefix_signatures(
 
 
 def signatures(sets: DataFrame, alike: Similarity) -> DataFrame:
-    """sig, key, n and m (shingles with several owners), from the ranked sets."""
+    """sig, key, n, m (shingles with several owners) and the set's smallest signatures, from the
+    ranked sets."""
     wide = sets.withColumn("least", alike.least(F.col("n")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,12 +262,14 @@ def signatures(sets: DataFrame, alike: Similarity) -> DataFrame:
                 for first in range(0, len(sigs), 100_000):
                     part = sigs[first : first + 100_000]
                     same = [np.full(len(part), x, dtype=np.int64) for x in (key, n, len(shingles))]
+                    firsts = pa.array([sigs[:FIRSTS]] * len(part), pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part), *map(pa.array, same)], names=["sig", "key", "n", "m"]
+                        [pa.array(part), *map(pa.array, same), firsts],
+                        names=["sig", "key", "n", "m", "firsts"],
                     )
 
     return wide.select("key", "n", "owners", "shingles", "least").mapInArrow(
-        run, "sig long, key long, n long, m long"
+        run, "sig long, key long, n long, m long, firsts array<long>"
     )
 
 
@@ -274,7 +280,12 @@ def _possible(alike: Similarity, a: str, b: str) -> Column:
 
 
 def hub_pairs(sigs: DataFrame, alike: Similarity) -> DataFrame:
-    """Each signature's members paired with the one that has the fewest shingles of its own."""
+    """Each signature's members paired with the one that has the fewest shingles of its own.
+
+    A quarter of the signatures is enough for this step: linked sets share many, and what it does
+    not join is left to the pairs across components, which look at every signature.
+    """
+    sigs = sigs.where(F.pmod(F.xxhash64("sig"), F.lit(4)) == 0)
     hub = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), "key", "n", "m")
     hubs = sigs.groupBy("sig").agg(F.min(hub).alias("hub"), F.count("*").alias("size"))
     met = sigs.alias("x").join(hubs.where("size > 1"), "sig").where(
@@ -318,11 +329,15 @@ def _folded(outlines_: list[bytes]) -> np.ndarray:
 
 
 def block_pairs(group: dict[str, list], alike: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one block, or of two, whose components differ and whose outlines allow a link."""
+    """Pairs of one block, or of two, whose components differ and whose outlines allow a link.
+
+    A pair that shares a smaller signature comes out there, so it is left out here where the first
+    signatures of both sets show one.
+    """
     n, m, component, key = (np.array(group[c], dtype=np.int64) for c in ("n", "m", "component", "key"))
     if (component == component[0]).all():
         return
-    second = np.array(group["second"], dtype=bool)
+    second, here = np.array(group["second"], dtype=bool), group["sig"][0]
     places = _folded(group["outline"])
     two = second.any()
     for i in np.flatnonzero(~second).tolist():
@@ -336,6 +351,8 @@ def block_pairs(group: dict[str, list], alike: Similarity) -> Iterator[tuple[np.
         extra = np.bitwise_count(places[j] & ~places[i]).sum(axis=1, dtype=np.int64)
         most = np.minimum(n[i] - lacks, n[j] - extra)
         j = j[most * (alike.over + alike.under) >= (n[j] + n[i]) * alike.over]
+        before = {sig for sig in group["firsts"][i] if sig < here}
+        j = np.array([k for k in j.tolist() if before.isdisjoint(group["firsts"][k])], dtype=np.int64)
         if len(j):
             yield np.minimum(key[j], key[i]), np.maximum(key[j], key[i])
 
@@ -365,6 +382,7 @@ def cross_pairs(
         .select(
             "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             (F.col("own") > F.col("other")).alias("second"), "key", "n", "m", "component", "outline",
+            "firsts",
         )
     )
     together = dealt.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
