@@ -11,8 +11,9 @@ from tokenizers import Tokenizer
 
 # A text longer than this is encoded in parts that end at a blank.
 PART = 1_000_000
-# Pieces whose ids a worker keeps; beyond it the store starts anew. It bounds memory only.
-KEPT_WORDS = 500_000
+# Pieces whose ids a worker keeps in each of two generations; of the older one only those that
+# are met again go on. It bounds memory only.
+KEPT_WORDS = 300_000
 
 # How the tokenizer cuts text of Latin-1 characters in lower case. Its own pattern,
 # with the classes of letters, digits and blanks written out for Latin-1.
@@ -34,22 +35,26 @@ class WordwiseEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
-        vocabulary = self.tokenizer.get_vocab()
+        self.older: dict[str, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # Letters beyond ASCII as the byte-level step of the tokenizer writes them.
+        letters = [c for c in map(chr, range(128, 256)) if c.isalpha() and c.islower()]
+        spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.byte_level = str.maketrans({c: "".join(part for part, _ in spelled(c)) for c in letters})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text the ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > KEPT_WORDS:
-            self.known = {"": b""}
+            self.older, self.known = self.known, {"": b""}
         rows = [[self._cut(part) for part in _parts(text)] for text in texts]
         known, missing = self.known, set()
         for row in rows:
             for pieces in row:
                 missing.update([piece for piece in pieces if piece not in known])
-        self._learn(missing)
+        again = {piece: self.older[piece] for piece in missing if piece in self.older}
+        known.update(again)
+        self._learn(missing.difference(again))
         return [b"".join([known[piece] for pieces in row for piece in pieces]) for row in rows]
 
     def _cut(self, part: str) -> list[str]:
@@ -59,28 +64,16 @@ class WordwiseEncoder:
         return part.replace("\n", " ").split(" ")
 
     def _learn(self, pieces: set[str]) -> None:
-        letters = [piece for piece in pieces if _latin(piece) and piece.isalpha() and piece.islower()]
-        self._learn_letters(letters)
-        others = list(pieces.difference(letters))
+        """Words of letters go straight to the model, all else through the whole tokenizer."""
+        known, others, model = self.known, [], self.tokenizer.model
+        for piece in pieces:
+            if piece.isalpha() and piece.islower() and _latin(piece):
+                found = model.tokenize(piece.translate(self.byte_level))
+                known[piece] = np.array([token.id for token in found], dtype="<u4").tobytes()
+            else:
+                others.append(piece)
         for piece, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def _learn_letters(self, letters: list[str], at_once: int = 2000) -> None:
-        """Words of letters only end in exactly one end-of-word token, where the ids are cut."""
-        for i in range(0, len(letters), at_once):
-            chunk = letters[i : i + at_once]
-            found = self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)
-            ids = np.array(found[0].ids, dtype="<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) == len(chunk):
-                data, first = ids.tobytes(), 0
-                for word, cut in zip(chunk, cuts.tolist()):
-                    self.known[word] = data[first:cut]
-                    first = cut
-            else:  # a vocabulary without end-of-word tokens
-                for word in chunk:
-                    ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                    self.known[word] = np.array(ids, dtype="<u4").tobytes()
+            known[piece] = np.array(found.ids, dtype="<u4").tobytes()
 
 
 def _latin(text: str) -> bool:
