@@ -18,14 +18,24 @@ that reach it. Ratios and weights are whole numbers in units of 2^-16 and the va
 of the document and the seed, so the result does not depend on how rows are dealt out. Documents
 that tie with the k-th are kept as well.
 
+Toxic wording is a word or two in a text that is sound otherwise, which a sum over all n-grams
+drowns. It has a ratio of its own: per bucket of words, the share of toxic-labelled documents that
+have it against the share of the others labelled, from the same half. Words of fewer than
+``least_toxic`` toxic documents say nothing. The toxicity of a document is the sum of its
+``strongest`` different positive log ratios, so length does not dilute it. The other half gives the
+toxicity that parts toxic from not toxic with the fewest errors; a document is kept if it passes
+this and the draw.
+
 Limits: the labelled sample is bounded by ``most_labelled`` rows and the models by two to the
-power of ``bits`` buckets per n-gram length; both are documented parameters and the only bounds.
-All documents are counted, weighed and ranked.
+power of ``bits`` buckets per n-gram length and of ``toxic_bits`` buckets of words; these are
+documented parameters and the only bounds. All documents are counted, weighed and ranked.
+Toxicity sees single words, no phrases of harmless ones.
 
 Defined cases: null and empty texts have weight 0. Rows with the same id and text are treated
 alike. Labels that are null, or of documents that are not there, are ignored; of contradicting
-labels the worse counts. Without good and bad labels to compare, every document is kept. Columns
-other than id and text are passed through whatever their names. An empty table stays empty.
+labels the worse counts. Without good and bad labels to compare, the draw keeps every document,
+without toxic and other labels no document counts as toxic. Columns other than id and text are
+passed through whatever their names. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -56,6 +66,10 @@ class Settings:
     most_labelled: int = 50_000
     temperature: float = 0.05
     seed: int = 1
+    toxic_bits: int = 20
+    toxic_smooth: float = 1.0
+    least_toxic: int = 2
+    strongest: int = 2
 
 
 def labelled_sample(labels: DataFrame, settings: Settings, id_col: str) -> DataFrame:
@@ -74,13 +88,19 @@ def labelled_sample(labels: DataFrame, settings: Settings, id_col: str) -> DataF
     )
 
 
-def buckets(texts: pa.Array, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Bucket numbers of single tokens and of pairs, and the cuts of the single tokens by text."""
-    hashes, cuts = token_hashes(texts, WORDS_AND_MARKS)
+def buckets(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Bucket numbers of single tokens and of pairs."""
     shift = np.uint64(64 - bits)
     single = (hashes >> shift).astype(np.int64)
     pairs = (joined(hashes, 2) >> shift).astype(np.int64) + (1 << bits)
-    return [single, pairs], cuts
+    return [single, pairs]
+
+
+def words_by_text(hashes: np.ndarray, cuts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and the buckets of their different tokens, in order."""
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    both = np.unique((np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)) << bits) + bucket)
+    return both >> bits, both & ((1 << bits) - 1)
 
 
 def count_ngrams(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -91,7 +111,8 @@ def count_ngrams(docs: DataFrame, settings: Settings) -> DataFrame:
         raw = np.zeros(2 << bits, dtype=np.int64)
         target = np.zeros(2 << bits, dtype=np.int64)
         for batch in slices(batches, "text", 2_000_000):
-            (single, pairs), cuts = buckets(batch.column("text"), bits)
+            hashes, cuts = token_hashes(batch.column("text"), WORDS_AND_MARKS)
+            single, pairs = buckets(hashes, bits)
             wanted = pc.fill_null(batch.column("target"), False).to_numpy(zero_copy_only=False)
             inner = np.ones(len(pairs), dtype=bool)
             edge = cuts[1:-1] - 1
@@ -137,19 +158,76 @@ def log_ratios(counts: DataFrame, settings: Settings) -> np.ndarray:
     return table
 
 
-def weigh(docs: DataFrame, table: np.ndarray, settings: Settings, text_col: str) -> DataFrame:
-    """The rows with a last column of weights in units of 2^-16, called ``_weight``.
+def count_toxic(docs: DataFrame, settings: Settings) -> DataFrame:
+    """Toxic and other documents per bucket of words, by ``clean``; all documents in bucket -1."""
+    bits = settings.toxic_bits
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, (1 << bits) + 1), dtype=np.int64)
+        for batch in slices(batches, "text", 2_000_000):
+            clean = batch.column("clean").to_numpy(zero_copy_only=False)
+            texts, words = words_by_text(*token_hashes(batch.column("text"), WORDS_AND_MARKS), bits)
+            for total, wanted in zip(totals, (~clean, clean)):
+                total[1:] += np.bincount(words[wanted[texts]], minlength=1 << bits)
+                total[0] += wanted.sum()
+        seen = np.flatnonzero(totals.any(axis=0))
+        for first in range(0, len(seen), 100_000):
+            part = seen[first : first + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part - 1), pa.array(totals[0, part]), pa.array(totals[1, part])],
+                names=["bucket", "toxic", "other"],
+            )
+
+    counted = docs.select("text", "clean").mapInArrow(count, "bucket long, toxic long, other long")
+    return counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+
+
+def toxic_ratios(counts: DataFrame, settings: Settings) -> np.ndarray:
+    """Whole positive log ratios per bucket of words; the buckets' number bounds what reaches the driver."""
+    table = np.zeros(1 << settings.toxic_bits, dtype=np.int32)
+    total = counts.where("bucket = -1").first()
+    if total is None or not total["toxic"] or not total["other"]:
+        return table
+    smooth = settings.toxic_smooth
+    share = {kind: (F.col(kind) + smooth) / (total[kind] + 2 * smooth) for kind in ("toxic", "other")}
+    known = counts.where((F.col("bucket") >= 0) & (F.col("toxic") >= settings.least_toxic)).select(
+        "bucket", F.round(F.log(share["toxic"] / share["other"]) * UNIT).cast("int").alias("ratio")
+    ).where("ratio > 0").toPandas()
+    table[known["bucket"].to_numpy()] = known["ratio"].to_numpy()
+    return table
+
+
+def toxicities(hashes: np.ndarray, cuts: np.ndarray, ratios: np.ndarray, settings: Settings) -> np.ndarray:
+    """Per text the sum of its ``strongest`` ratios of different words."""
+    texts, words = words_by_text(hashes, cuts, settings.toxic_bits)
+    found = ratios[words]
+    texts, found = texts[found > 0], found[found > 0].astype(np.int64)
+    order = np.lexsort((-found, texts))
+    texts, found = texts[order], found[order]
+    counted = np.arange(len(texts)) - np.searchsorted(texts, texts) < settings.strongest
+    total = np.zeros(len(cuts) - 1, dtype=np.int64)
+    np.add.at(total, texts[counted], found[counted])
+    return total
 
-    The table has two to the power of ``bits`` entries per n-gram length, 1 MB as set here.
+
+def weigh(
+    docs: DataFrame, table: np.ndarray, toxic: np.ndarray, settings: Settings, text_col: str
+) -> DataFrame:
+    """The rows with last columns ``_weight`` and ``_toxicity`` in units of 2^-16.
+
+    The tables have two to the power of ``bits`` entries per n-gram length, 1 MB as set here, and
+    of ``toxic_bits`` entries, 4 MB.
     """
-    broadcast = docs.sparkSession.sparkContext.broadcast(table)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_weight", T.LongType())])
+    broadcast = docs.sparkSession.sparkContext.broadcast((table, toxic))
+    added = [T.StructField(name, T.LongType()) for name in ("_weight", "_toxicity")]
+    schema = T.StructType([*docs.schema.fields, *added])
     at, bits = docs.columns.index(text_col), settings.bits
 
     def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = broadcast.value
+        ratios, toxic_words = broadcast.value
         for batch in slices(batches, at, 2_000_000):
-            (single, pairs), cuts = buckets(batch.column(at), bits)
+            hashes, cuts = token_hashes(batch.column(at), WORDS_AND_MARKS)
+            single, pairs = buckets(hashes, bits)
             of_single = np.concatenate([[0], np.cumsum(ratios[single], dtype=np.int64)])
             of_pairs = np.concatenate([[0], np.cumsum(ratios[pairs], dtype=np.int64)])
             first, last = cuts[:-1], cuts[1:]
@@ -158,9 +236,10 @@ def weigh(docs: DataFrame, table: np.ndarray, settings: Settings, text_col: str)
             total = of_single[last] - of_single[first]
             total = total + of_pairs[most] - of_pairs[np.minimum(first, len(pairs))]
             weight = np.rint(total / np.sqrt(np.maximum(last - first, 1))).astype(np.int64)
+            toxicity = toxicities(hashes, cuts, toxic_words, settings)
             arrays = [batch.column(i) for i in range(batch.num_columns)]
-            names = [*batch.schema.names, "_weight"]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(weight)], names=names)
+            names = [*batch.schema.names, "_weight", "_toxicity"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(weight), pa.array(toxicity)], names=names)
 
     return docs.mapInArrow(weights, schema)
 
@@ -211,11 +290,13 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
 
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted model and draw: the ratios and the least key that is kept (None: all)."""
+    """A fitted model and draw: the ratios, and the least key and most toxicity kept (None: all)."""
 
     ratios: np.ndarray
     cutoff: int | None
     settings: Settings
+    toxic: np.ndarray
+    most_toxic: int | None
 
 
 def fit(
@@ -234,34 +315,43 @@ def fit(
         count_ngrams(rows.join(target, "id", "left"), settings), "quality-counts"
     )
     ratios = log_ratios(counts, settings)
+    judged = F.broadcast(sample.where("fit").select("id", "clean"))
+    toxic = toxic_ratios(stored(count_toxic(rows.join(judged, "id"), settings), "toxic-counts"), settings)
     keys = stored(
-        weigh(rows, ratios, settings, "text").select(
-            "id", "_weight", draw_key("id", "text", settings).alias("key")
+        weigh(rows, ratios, toxic, settings, "text").select(
+            "id", "_weight", "_toxicity", draw_key("id", "text", settings).alias("key")
         ),
         "quality-keys",
     )
-    held_out = keys.join(F.broadcast(sample.where("not fit")), "id").select("_weight", "good")
+    held_out = keys.join(F.broadcast(sample.where("not fit")), "id").select(
+        "_weight", "_toxicity", "good", "clean"
+    )
     seen = held_out.limit(settings.most_labelled).toPandas()
     threshold = best_threshold(seen["_weight"].to_numpy(), seen["good"].to_numpy(dtype=bool))
+    mildness = best_threshold(-seen["_toxicity"].to_numpy(), seen["clean"].to_numpy(dtype=bool))
+    most_toxic = None if mildness is None else -mildness
     if threshold is None:
-        return Classifier(ratios, None, settings)
+        return Classifier(ratios, None, settings, toxic, most_toxic)
     k = keys.where(F.col("_weight") >= threshold).count()
-    return Classifier(ratios, kth_largest(keys.select("key"), k) if k else None, settings)
+    cutoff = kth_largest(keys.select("key"), k) if k else None
+    return Classifier(ratios, cutoff, settings, toxic, most_toxic)
 
 
 def classify(
     docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows as a struct ``row`` with ``log_weight``, ``key`` and whether they are ``kept``."""
+    """The rows as a struct ``row`` with ``log_weight``, ``key``, ``toxicity`` and whether they are ``kept``."""
     rows = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     # The models see id and text only; the whole row travels beside them unread.
     key = draw_key("id", "text", model.settings)
-    kept = F.lit(True) if model.cutoff is None else key >= model.cutoff
-    return weigh(rows, model.ratios, model.settings, "text").select(
+    drawn = F.lit(True) if model.cutoff is None else key >= model.cutoff
+    mild = F.lit(True) if model.most_toxic is None else F.col("_toxicity") <= model.most_toxic
+    return weigh(rows, model.ratios, model.toxic, model.settings, "text").select(
         "row",
         (F.col("_weight") / UNIT).alias("log_weight"),
         (key / UNIT).alias("key"),
-        kept.alias("kept"),
+        (F.col("_toxicity") / UNIT).alias("toxicity"),
+        (drawn & mild).alias("kept"),
     )

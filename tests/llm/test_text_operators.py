@@ -269,6 +269,22 @@ def test_held_out_accuracy(spark):
     assert again.cutoff == model.cutoff and (again.ratios == model.ratios).all()
 
 
+def test_held_out_toxicity(spark):
+    """Toxic documents of sound quality go, and hardly another one with them."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(3)) == 0
+    model = quality.fit(docs, labels.where(~held_out))
+    judged = quality.classify(docs, model).join(labels.where(held_out), F.col("row.doc_id") == F.col("doc_id"))
+    mild = F.col("toxicity") <= model.most_toxic / quality.UNIT
+    share = {r.toxic: r for r in judged.where("quality = 1").groupBy("toxic").agg(
+        F.avg(F.col("kept").cast("double")).alias("kept"),
+        F.avg(mild.cast("double")).alias("mild")).collect()}
+    assert share[1].kept < 0.2 and share[1].mild < 0.2
+    assert share[0].mild > 0.99 and share[0].kept > 0.98
+
+
 def test_draw_is_gumbel_top_k(spark):
     keys = spark.range(5000).select((F.xxhash64("id") % 100_000_000).alias("key"))
     values = sorted((r.key for r in keys.collect()), reverse=True)
