@@ -9,7 +9,10 @@ occurrences sends one row per task to the count and is split by the adaptive joi
 
 Windows with fewer than ``least_chars`` characters other than blanks never count as repeated, so
 that empty lines and rules stay. Texts of fewer than three lines have no window and stay as they
-are.
+are. ``remove_repeated_lines`` is this form, which the SQL twin has as well.
+
+``remove_repeated_passages`` breaks lines at sentence ends (. ! ? and a blank) too, so that three
+sentences within a line make a window.
 
 Defined cases: null and empty texts stay. Documents without id come first in the order. Rows with
 the same id and the same text are treated alike: each loses what one of them would lose. Columns
@@ -31,10 +34,22 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def windows(docs: DataFrame, size: int = SIZE, least_chars: int = LEAST_CHARS) -> DataFrame:
+def _sentences(text: Column) -> Column:
+    """Lines broken at sentence ends; each begins with the line break or blank that parts it."""
+    return F.split(F.concat(F.lit("\n"), text), "(?=\n)|(?<=[.!?])(?=[ \\t])", -1)
+
+
+def windows(
+    docs: DataFrame, size: int = SIZE, least_chars: int = LEAST_CHARS, sentences: bool = False
+) -> DataFrame:
     """One row per window of documents given as id and text: id, hash of the text, line, hashes."""
-    lines = F.transform(_lines(F.col("text")), lambda line: F.trim(line))
-    rows = docs.where(F.col("text").contains("\n")).select(
+    if sentences:
+        lines = F.transform(_sentences(F.col("text")), lambda line: F.btrim(line, F.lit(" \t\r\n")))
+        broken = F.col("text").rlike("\n|[.!?][ \\t]")
+    else:
+        lines = F.transform(_lines(F.col("text")), lambda line: F.trim(line))
+        broken = F.col("text").contains("\n")
+    rows = docs.where(broken).select(
         "id", F.xxhash64("text").alias("text_hash"), lines.alias("lines")
     ).where(F.size("lines") >= size)
     window = F.concat_ws("\n", F.slice("lines", F.col("line") + 1, size))
@@ -90,9 +105,26 @@ def remove_repeated_lines(
     text_col: str = "text",
 ) -> DataFrame:
     """All rows as a struct ``row`` with the cleaned ``text``, ``n_lines`` and ``n_removed``."""
+    return _removed(docs, size, least_chars, False, id_col, text_col)
+
+
+def remove_repeated_passages(
+    docs: DataFrame,
+    size: int = SIZE,
+    least_chars: int = LEAST_CHARS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The same over lines broken at sentence ends; ``n_lines`` and ``n_removed`` count their parts."""
+    return _removed(docs, size, least_chars, True, id_col, text_col)
+
+
+def _removed(
+    docs: DataFrame, size: int, least_chars: int, sentences: bool, id_col: str, text_col: str
+) -> DataFrame:
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     covered = (
-        later_windows(windows(keyed, size, least_chars))
+        later_windows(windows(keyed, size, least_chars, sentences))
         .groupBy("id", "text_hash")
         .agg(F.array_sort(F.collect_set("line")).alias("covered"))
     )
@@ -104,13 +136,16 @@ def remove_repeated_lines(
     )
     same = rows["id"].eqNullSafe(covered["id"]) & (rows["text_hash"] == covered["text_hash"])
     with_cover = rows.join(covered, same, "left").select(
-        "row", rows["text"], _lines(rows["text"]).alias("lines"), "covered"
+        "row", rows["text"],
+        (_sentences(rows["text"]) if sentences else _lines(rows["text"])).alias("lines"), "covered",
     )
+    # Sentences carry what parts them; the first one left loses it, as it parts it from nothing.
+    joined = F.substr(F.array_join("kept", ""), F.lit(2)) if sentences else F.array_join("kept", "\n")
     kept = F.when(F.col("covered").isNotNull(), _kept(F.col("lines"), F.col("covered"), size))
     n_lines = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
     return with_cover.withColumn("kept", kept).select(
         "row",
-        F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n")).alias("text"),
+        F.when(F.col("kept").isNull(), F.col("text")).otherwise(joined).alias("text"),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"),
         F.when(F.col("kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("kept"))
         .cast("long").alias("n_removed"),

@@ -18,12 +18,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut later occurrences of three-line windows; drop texts of which nothing is left by it.
+    """Cut later occurrences of windows of three lines or sentences; drop texts of which nothing is left.
 
     ``n_chars`` is the length of the text that is left.
     """
-    cleaned = line_dedup.remove_repeated_lines(docs)
-    left = (F.col("n_removed") == 0) | (F.trim("text") != "")
+    cleaned = line_dedup.remove_repeated_passages(docs)
+    left = (F.col("n_removed") == 0) | F.col("text").rlike("\\S")
     return cleaned.where(left.isNull() | left).select(*_columns(docs, F.col("text")))
 
 

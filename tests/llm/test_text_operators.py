@@ -114,6 +114,27 @@ def test_line_edges(spark):
     assert got == {1: lines, 2: "x\ny"}
 
 
+def test_passages_within_lines_go(spark):
+    a, b, c = (f"Sentence number {k} of a passage that repeats." for k in range(3))
+    passage = f"{a} {b} {c}"
+    rows = [
+        (1, f"Only here. {passage} The end of the first.", None, None, 1),
+        (2, f"Begins otherwise. {passage}\nNext line.", None, None, 1),
+        (3, f"{a}\n{b} {c} Tail with no mark", None, None, 1),
+        (4, passage, None, None, 1),
+        (5, f"{a} {b}", None, None, 1),
+        (6, "", None, None, 1), (7, None, None, None, 1), (8, "\n\n x. \n", None, None, 1),
+    ]
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(
+        frames.clashing(spark, rows)).select("row.doc_id", "text").collect()}
+    assert got == {
+        1: rows[0][1], 2: "Begins otherwise.\nNext line.", 3: "Tail with no mark", 4: "", 5: rows[4][1],
+        6: "", 7: None, 8: rows[7][1],
+    }
+    stage = corpus_pipeline.drop_repeated_lines(spark, frames.docs(spark, rows), FOLDER)
+    assert {r.doc_id: r.text for r in stage.collect()} == {k: v for k, v in got.items() if k != 4}
+
+
 # --- n-gram Jaccard join --------------------------------------------------------------------
 
 
