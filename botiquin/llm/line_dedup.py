@@ -12,7 +12,8 @@ that empty lines and rules stay. Texts of fewer than three lines have no window
 are. ``remove_repeated_lines`` is this form, which the SQL twin has as well.
 
 ``remove_repeated_passages`` breaks lines at sentence ends (. ! ? and a blank) too, so that three
-sentences within a line make a window.
+sentences within a line make a window, and leaves only windows without a letter or digit alone,
+however short the others are.
 
 Defined cases: null and empty texts stay. Documents without id come first in the order. Rows with
 the same id and the same text are treated alike: each loses what one of them would lose. Columns
@@ -40,9 +41,12 @@ def _sentences(text: Column) -> Column:
 
 
 def windows(
-    docs: DataFrame, size: int = SIZE, least_chars: int = LEAST_CHARS, sentences: bool = False
+    docs: DataFrame, size: int = SIZE, least_chars: int | None = LEAST_CHARS, sentences: bool = False
 ) -> DataFrame:
-    """One row per window of documents given as id and text: id, hash of the text, line, hashes."""
+    """One row per window of documents given as id and text: id, hash of the text, line, hashes.
+
+    With ``least_chars`` None all windows with a letter or digit.
+    """
     if sentences:
         lines = F.transform(_sentences(F.col("text")), lambda line: F.btrim(line, F.lit(" \t\r\n")))
         broken = F.col("text").rlike("\n|[.!?][ \\t]")
@@ -53,13 +57,15 @@ def windows(
         "id", F.xxhash64("text").alias("text_hash"), lines.alias("lines")
     ).where(F.size("lines") >= size)
     window = F.concat_ws("\n", F.slice("lines", F.col("line") + 1, size))
+    if least_chars is None:
+        counts = F.col("window").rlike("[\\p{L}\\p{N}]")
+    else:
+        counts = F.length(F.regexp_replace("window", _BLANKS, "")) >= least_chars
     placed = rows.select(
         "id", "text_hash", "lines",
         F.explode(F.sequence(F.lit(0), F.size("lines") - size)).alias("line"),
     ).select("id", "text_hash", "line", window.alias("window"))
-    return placed.where(
-        F.length(F.regexp_replace("window", _BLANKS, "")) >= least_chars
-    ).select(
+    return placed.where(counts).select(
         "id", "text_hash", "line",
         F.xxhash64("window").alias("high"), F.hash("window").alias("low"),
     )
@@ -111,7 +117,7 @@ def remove_repeated_lines(
 def remove_repeated_passages(
     docs: DataFrame,
     size: int = SIZE,
-    least_chars: int = LEAST_CHARS,
+    least_chars: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -120,7 +126,7 @@ def remove_repeated_passages(
 
 
 def _removed(
-    docs: DataFrame, size: int, least_chars: int, sentences: bool, id_col: str, text_col: str
+    docs: DataFrame, size: int, least_chars: int | None, sentences: bool, id_col: str, text_col: str
 ) -> DataFrame:
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     covered = (

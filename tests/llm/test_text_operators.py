@@ -135,6 +135,16 @@ def test_passages_within_lines_go(spark):
     assert {r.doc_id: r.text for r in stage.collect()} == {k: v for k, v in got.items() if k != 4}
 
 
+def test_short_windows_of_words_go(spark):
+    menu, rule = "Home\nNews\nHelp", "---\n***\n\n---"
+    rows = [(1, f"{menu}\nfirst", None, None, 1), (2, f"second\n{menu}", None, None, 1),
+            (3, "\n".join(["7"] * 9), None, None, 1), (4, rule, None, None, 1), (5, rule, None, None, 1)]
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(
+        frames.docs(spark, rows)).select("row.doc_id", "text").collect()}
+    # Windows overlap: the first one of a run of equal lines is covered by the second but for a line.
+    assert got == {1: rows[0][1], 2: "second", 3: "7", 4: rule, 5: rule}
+
+
 # --- n-gram Jaccard join --------------------------------------------------------------------
 
 
