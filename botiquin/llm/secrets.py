@@ -1,6 +1,8 @@
 """Scanning texts for secrets, with a random forest that removes false findings.
 
-Candidates are runs of 16 or more letters, digits and the marks of encoded values. A forest trained
+Candidates are runs of 16 or more letters, digits and the marks of encoded values and, whatever
+their length and marks, values that are assigned to a word for a credential or stand in quotes
+behind one. A forest trained
 on labelled findings judges each by its length, changes between kinds of characters, variety,
 coverage by a dictionary of words that the documents share, the path it was found under, and the
 words around it. All steps are DataFrame functions and Spark's own forest.
@@ -35,9 +37,18 @@ from botiquin.llm.tables import stored
 VALUE = "[A-Za-z0-9+/_=-]{16,}"
 
 # Words that stand before credentials, and in paths or beside values that are only examples.
-CREDENTIAL = "(?i)(secret|token|passw|pwd|credential|api.?key|access.?key|private.?key|auth|bearer)"
+_NAMES = "secret|token|passw|pwd|credential|api.?key|access.?key|private.?key|auth|bearer"
+CREDENTIAL = f"(?i)({_NAMES})"
 EXAMPLE = "(?i)(example|sample|dummy|placeholder|test|mock|fixture|fake|xxxx)"
 
+# A credential's name up to its value, and the value: up to the closing quote, or else up to a blank.
+ASSIGNED = (
+    f"((?i:{_NAMES})[A-Za-z0-9_.-]*[\"'\\]]{{0,2}}"
+    "(?:[ \\t]*(?::=|=>|==?|:)[ \\t]*[\"']?|[ \\t]+(?:is[ \\t]+)?[\"']))"
+    "(?:(?<=\")([^\"\\r\\n]+)\"|(?<=')([^'\\r\\n]+)'|([^ \\t\\r\\n\"',;]+))"
+)
+_BLANKS = "[ \\t\\r\\n]+"
+
 FEATURES = [
     "chars", "changes", "variety", "digit_share", "upper_share", "is_hex", "covered_share",
     "path_depth", "path_example", "after_credential", "assigned", "quoted", "beside_example",
@@ -57,28 +68,70 @@ class Settings:
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> DataFrame:
-    """One row per candidate: id, path, word (its number in the text), value, and words around it."""
+    """One row per candidate: id, path, word (its number in the text), part, value, and what is around it.
+
+    ``part`` numbers the runs of a word from 0; values found by their assignment have -1 and below,
+    by their number in the text. An assigned value that is one long run is found as such only.
+    """
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
         F.col(text_col).alias("text"),
-    ).where(F.col("text").rlike(VALUE))
-    words = F.split("text", "[ \\t\\r\\n]+")
-    with_words = rows.select("id", "path", words.alias("words"))
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(VALUE)
     )
+    words = F.split("text", _BLANKS).alias("words")
 
-    def near(shift: int):
+    def near(shift):
         return F.coalesce(F.get("words", F.col("word") + shift), F.lit(""))
 
-    return (
-        with_words.select("id", "path", "words", F.explode(places).alias("word"))
+    before = F.concat_ws(" ", near(-3), near(-2), near(-1)).alias("before")
+    places = F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(VALUE)
+    )
+    runs = (
+        rows.where(F.col("text").rlike(VALUE)).select("id", "path", words)
+        .select("id", "path", "words", F.explode(places).alias("word"))
         .select(
-            "id", "path", "word", F.get("words", F.col("word")).alias("whole"),
-            F.concat_ws(" ", near(-3), near(-2), near(-1)).alias("before"), near(1).alias("after"),
+            "id", "path", "word", F.get("words", F.col("word")).alias("whole"), before, near(1).alias("after"),
         )
         .select("*", F.posexplode(F.regexp_extract_all("whole", F.lit(VALUE), F.lit(0))).alias("part", "value"))
+        .select(
+            "id", "path", "word", "part", "value", "before", "after",
+            F.concat_ws(" ", "before", F.regexp_extract("whole", "^(.*?)" + VALUE, 1)).alias("context"),
+            F.col("whole").rlike("[\"']" + VALUE + "[\"']").alias("quoted"),
+        )
+    )
+
+    def blanks(text):
+        return F.regexp_count(text, F.lit(_BLANKS))
+
+    def total(counts, n):
+        return F.aggregate(F.slice(counts, 1, n), F.lit(0), lambda x, y: x + y)
+
+    # A value's word follows from the blanks in front of it, between the findings and within them.
+    matches = F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(0))
+    assigned = (
+        rows.where(F.col("text").rlike(ASSIGNED))
+        .select(
+            "id", "path", words, matches.alias("matches"),
+            F.transform(F.split("text", ASSIGNED, -1), blanks).alias("between"),
+            F.transform(matches, blanks).alias("within"),
+        )
+        .select("id", "path", "words", "between", "within", F.posexplode("matches").alias("n", "match"))
+        .select(
+            "id", "path", "words", "n",
+            (total("between", F.col("n") + 1) + total("within", F.col("n"))).alias("start"),
+            F.regexp_extract("match", ASSIGNED, 1).alias("head"),
+            F.concat(*(F.regexp_extract("match", ASSIGNED, k) for k in (2, 3, 4))).alias("value"),
+        )
+        .where(~F.col("value").rlike("^" + VALUE + "$"))
+        .withColumn("word", F.col("start") + blanks(F.col("head")))
+        .select(
+            "id", "path", "word", (-1 - F.col("n")).alias("part"), "value", before,
+            near(blanks(F.col("value")) + 1).alias("after"),
+            F.concat_ws(" ", near(-3), near(-2), near(-1), "head").alias("context"),
+            F.col("head").rlike("[\"']$").alias("quoted"),
+        )
     )
+    return runs.union(assigned)
 
 
 def dictionary(docs: DataFrame, text_col: str, least_docs: int) -> DataFrame:
@@ -107,7 +160,6 @@ def featured(found: DataFrame, known: DataFrame) -> DataFrame:
     def flag(condition):
         return condition.cast("double")
 
-    context = F.concat_ws(" ", "before", F.regexp_extract("whole", "^(.*?)" + VALUE, 1))
     return found.join(covered, "value", "left").select(
         "id", "path", "word", "part", "value",
         length.cast("double").alias("chars"),
@@ -119,9 +171,9 @@ def featured(found: DataFrame, known: DataFrame) -> DataFrame:
         (F.coalesce("covered", F.lit(0)) / length).alias("covered_share"),
         F.size(F.split("path", "/")).cast("double").alias("path_depth"),
         flag(F.col("path").rlike(EXAMPLE)).alias("path_example"),
-        flag(context.rlike(CREDENTIAL)).alias("after_credential"),
-        flag(context.rlike("[=:]\\s*[\"']?$")).alias("assigned"),
-        flag(F.col("whole").rlike("[\"']" + VALUE + "[\"']")).alias("quoted"),
+        flag(F.col("context").rlike(CREDENTIAL)).alias("after_credential"),
+        flag(F.col("context").rlike("[=:]\\s*[\"']?$")).alias("assigned"),
+        flag(F.col("quoted")).alias("quoted"),
         flag(F.concat_ws(" ", "before", "after").rlike(EXAMPLE)).alias("beside_example"),
     )
 

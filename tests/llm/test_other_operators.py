@@ -220,6 +220,23 @@ def test_held_out_findings(spark):
     assert sum(not r.said for r in lies) >= 0.95 * len(lies)
 
 
+def test_short_and_marked_secrets_are_candidates(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [
+        (1, 'set password = "Sup3rS3cret" and pwd: \'a!b@c#d$e%f.g\' here', "src/a.py", None, 1),
+        (2, f'  db_passwd=x9!k api_key="{key}"\nthe password is "two words 7" now', "src/b.py", None, 1),
+        (3, 'the word Sup3rS3cret alone, "quoted" as well', "src/c.py", None, 1),
+        (4, 'token "open', "src/d.py", None, 1),
+    ]
+    frame = frames.docs(spark, [(i, text, None, path, n) for i, text, path, _, n in rows])
+    got = secrets.scan(frame).select("id", "word", "part", "value", "assigned", "quoted", "after_credential")
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, 3, -1, "Sup3rS3cret", 1, 1, 1), (1, 6, -2, "a!b@c#d$e%f.g", 1, 1, 1),
+        (2, 1, -1, "x9!k", 1, 0, 1), (2, 2, 0, key, 1, 1, 1), (2, 6, -3, "two words 7", 0, 1, 1),
+        (4, 1, -1, "open", 0, 1, 1),
+    ]
+
+
 def test_secret_edges(spark):
     key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     rows = [(1, f'token = "{key}" and again token = "{key}"', "x", "src/app.py", 1),
