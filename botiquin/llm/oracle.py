@@ -134,8 +134,37 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, shard,
 FROM cut
 """
 
+# Every window of thirteen words with the smallest document it starts in.
+_REPEATS = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+    SELECT doc_id, k, array_to_string(w[k : k + 12], ' ') AS win
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM docs)
+), later AS (
+    SELECT doc_id, k FROM (
+        SELECT doc_id, k, min(doc_id) OVER (PARTITION BY win) AS first_id FROM windows
+    ) WHERE first_id < doc_id
+), covered AS (
+    SELECT doc_id, list(DISTINCT place) AS places
+    FROM (SELECT doc_id, unnest(range(k, k + 13)) AS place FROM later) GROUP BY doc_id
+), words AS (
+    SELECT d.doc_id, len(w) AS n_words, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place
+    FROM docs d
+), kept AS (
+    SELECT x.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+    FROM words x
+    LEFT JOIN (SELECT doc_id, unnest(places) AS place FROM covered) c USING (doc_id, place)
+    WHERE c.place IS NULL GROUP BY x.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": _DECONTAMINATION,
     "op8_hilbert_sharding": _HILBERT,
     "op10_line_windows": _LINE_WINDOWS,
+    "op11_relative_lz": _REPEATS,
 }

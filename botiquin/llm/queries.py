@@ -14,6 +14,7 @@ from botiquin.llm import (
     packing,
     polytope,
     quality,
+    relative_lz,
     secrets,
     token_store,
     url_rules,
@@ -102,6 +103,13 @@ def line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def relative_lz_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return relative_lz.remove_repeats(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": quality_classifier,
     "op2_token_binary": token_binary,
@@ -113,4 +121,5 @@ QUERIES = {
     "op8_hilbert_sharding": hilbert_sharding,
     "op9_polytope_search": polytope_search,
     "op10_line_windows": line_windows,
+    "op11_relative_lz": relative_lz_repeats,
 }

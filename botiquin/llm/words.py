@@ -1,7 +1,7 @@
 """Hashes of the words and word shingles of whole texts, straight from Arrow's text buffers.
 
 A table gives every byte a class; a token is a run of bytes of one class, class 0 separates. A-Z
-count as a-z. Hashes are 64 bits, multilinear over the bytes of a token and then mixed.
+count as a-z unless ``exact``. Hashes are 64 bits, multilinear over the bytes of a token and then mixed.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_SAME = np.arange(256, dtype=np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RANDOM = np.random.default_rng(64)
@@ -37,7 +38,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def token_hashes(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(
+    texts: pa.Array, classes: np.ndarray, exact: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens in order, and the cuts between texts: text i has cuts[i]:cuts[i+1]."""
     texts = pc.fill_null(texts, "")
     wide = pa.types.is_large_string(texts.type)
@@ -60,18 +63,20 @@ def token_hashes(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.n
         last = int(np.searchsorted(starts, starts[first] + _AT_ONCE, side="right")) - 1
         last = max(last, first + 1) if last < len(starts) - 1 else len(starts)
         end = starts[last] if last < len(starts) else len(data)
-        hashes[first:last] = _run_hashes(data[starts[first] : end], starts[first:last] - starts[first])
+        hashes[first:last] = _run_hashes(
+            data[starts[first] : end], starts[first:last] - starts[first], _SAME if exact else _LOWER
+        )
         first = last
     tokens = kinds[starts] != 0
     cuts = np.concatenate([[0], np.cumsum(tokens)])[np.searchsorted(starts, offsets)]
     return hashes[tokens], cuts
 
 
-def _run_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _run_hashes(data: np.ndarray, starts: np.ndarray, letters: np.ndarray) -> np.ndarray:
     lengths = np.diff(np.append(starts, len(data)))
     place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     weights = mixed(np.arange(1, int(lengths.max()) + 1, dtype=np.uint64)) | np.uint64(1)
-    return mixed(np.add.reduceat(_BYTES[_LOWER[data]] * weights[place], starts))
+    return mixed(np.add.reduceat(_BYTES[letters[data]] * weights[place], starts))
 
 
 def joined(hashes: np.ndarray, width: int) -> np.ndarray:
