@@ -162,9 +162,53 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGI
 FROM docs d LEFT JOIN kept USING (doc_id)
 """
 
+# Shares of all kept terms in all groups, then squared differences of pairs and from the language.
+_DIVERGENCES = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS nr, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), found AS (
+    SELECT nr, lang, source, term, count(*) AS n
+    FROM (SELECT nr, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n)::BIGINT AS n FROM found GROUP BY lang, term HAVING count(*) >= 10
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang
+), counted AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::BIGINT AS n, k.n AS n_lang
+    FROM groups g JOIN kept k USING (lang)
+    LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM found GROUP BY ALL) c
+      ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shared AS (
+    SELECT c.lang, source, term, n,
+           1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY c.lang, source) + 2 * v)::BIGINT AS p,
+           1 + 1000000000 * (n_lang + 2) // (total + 2 * v) AS q
+    FROM counted c JOIN langs USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shared a JOIN shared b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shared WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": _DECONTAMINATION,
     "op8_hilbert_sharding": _HILBERT,
     "op10_line_windows": _LINE_WINDOWS,
     "op11_relative_lz": _REPEATS,
+    "op13_source_stripes": _DIVERGENCES,
 }

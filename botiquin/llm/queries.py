@@ -16,6 +16,7 @@ from botiquin.llm import (
     quality,
     relative_lz,
     secrets,
+    stripes,
     token_store,
     url_rules,
 )
@@ -110,6 +111,10 @@ def relative_lz_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripes.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": quality_classifier,
     "op2_token_binary": token_binary,
@@ -122,4 +127,5 @@ QUERIES = {
     "op9_polytope_search": polytope_search,
     "op10_line_windows": line_windows,
     "op11_relative_lz": relative_lz_repeats,
+    "op13_source_stripes": source_stripes,
 }
