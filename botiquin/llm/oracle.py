@@ -205,10 +205,64 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
+
+
+def _book_rounds(rounds: int) -> str:
+    """Per round all parts with their nearest entry, then the floors of the entries' means."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""near_{k} AS MATERIALIZED (
+    SELECT nr, p.part, min((list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x)
+                            + list_inner_product(b.x, b.x), entry)) AS best
+    FROM parts p JOIN book_{k} b ON p.part = b.part GROUP BY nr, p.part
+)""")
+        if k == rounds:
+            break
+        steps.append(f"""book_{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM book_{k} b LEFT JOIN (
+        SELECT part, entry, list(floor(total / n) ORDER BY place) AS x FROM (
+            SELECT part, entry, place, sum(value) AS total, count(*) AS n FROM (
+                SELECT p.part, n.best[2] AS entry, unnest(p.x) AS value,
+                       unnest(range(len(p.x))) AS place
+                FROM parts p JOIN near_{k} n ON p.nr = n.nr AND p.part = n.part
+            ) GROUP BY ALL
+        ) GROUP BY part, entry
+    ) m ON m.part = b.part AND m.entry = b.entry
+)""")
+    return ",\n".join(steps)
+
+
+# All parts against all entries in every round; doubles hold these whole numbers exactly.
+_BALL_CODES = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id, v) AS nr, * FROM (
+        SELECT vec_id, label, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    )
+), parts AS MATERIALIZED (
+    SELECT nr, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x
+    FROM kept, (SELECT unnest([0, 1, 2, 3]) AS part)
+), book_0 AS (SELECT part, nr - 1 AS entry, x FROM parts WHERE nr <= 256),
+{_book_rounds(4)}, digest AS (
+    SELECT sha256(string_agg(value::BIGINT::VARCHAR, ',' ORDER BY part, entry, place)) AS hex FROM (
+        SELECT part, entry, unnest(x) AS value, unnest(range(len(x))) AS place FROM book_4
+    )
+), coded AS (
+    SELECT nr, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+    FROM near_4 GROUP BY nr
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       hex AS codebooks_sha256
+FROM kept JOIN coded USING (nr), digest
+"""
+
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": _DECONTAMINATION,
     "op8_hilbert_sharding": _HILBERT,
     "op10_line_windows": _LINE_WINDOWS,
     "op11_relative_lz": _REPEATS,
+    "op12_ball_codes": _BALL_CODES,
     "op13_source_stripes": _DIVERGENCES,
 }

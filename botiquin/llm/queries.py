@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botiquin.llm import (
+    ball_codes,
     decontamination,
     hilbert,
     jaccard,
@@ -111,6 +112,14 @@ def relative_lz_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ball_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ball_codes.codes(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(ball_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 def source_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripes.divergences(table(spark, sf_dir, "documents"))
 
@@ -127,5 +136,6 @@ QUERIES = {
     "op9_polytope_search": polytope_search,
     "op10_line_windows": line_windows,
     "op11_relative_lz": relative_lz_repeats,
+    "op12_ball_codes": ball_tree_codes,
     "op13_source_stripes": source_stripes,
 }
