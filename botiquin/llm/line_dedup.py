@@ -125,6 +125,16 @@ def remove_repeated_passages(
     return _removed(docs, size, least_chars, True, id_col, text_col)
 
 
+def _made(rows: DataFrame, carried: list[str], **columns: Column) -> DataFrame:
+    """Columns that are worked out once per row, whoever reads them.
+
+    They come out of a generator of one element. A filter on a plain column moves below it with the
+    column's whole expression in place of its name, into every reader's loop.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select(*carried, F.inline(F.array(made)))
+
+
 def _removed(
     docs: DataFrame, size: int, least_chars: int | None, sentences: bool, id_col: str, text_col: str
 ) -> DataFrame:
@@ -141,18 +151,18 @@ def _removed(
         F.col(text_col).alias("text"),
     )
     same = rows["id"].eqNullSafe(covered["id"]) & (rows["text_hash"] == covered["text_hash"])
-    with_cover = rows.join(covered, same, "left").select(
-        "row", rows["text"],
-        (_sentences(rows["text"]) if sentences else _lines(rows["text"])).alias("lines"), "covered",
+    with_cover = _made(
+        rows.join(covered, same, "left").select("row", rows["text"], "covered"),
+        ["row", "text", "covered"],
+        lines=_sentences(F.col("text")) if sentences else _lines(F.col("text")),
     )
     # Sentences carry what parts them; the first one left loses it, as it parts it from nothing.
     joined = F.substr(F.array_join("kept", ""), F.lit(2)) if sentences else F.array_join("kept", "\n")
     kept = F.when(F.col("covered").isNotNull(), _kept(F.col("lines"), F.col("covered"), size))
-    n_lines = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
-    return with_cover.withColumn("kept", kept).select(
-        "row",
-        F.when(F.col("kept").isNull(), F.col("text")).otherwise(joined).alias("text"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"),
-        F.when(F.col("kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("kept"))
-        .cast("long").alias("n_removed"),
-    )
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long")
+    left = _made(with_cover.withColumn("n_lines", n_lines), ["row", "text", "n_lines"], kept=kept)
+    return _made(
+        left, ["row", "n_lines"],
+        text=F.when(F.col("kept").isNull(), F.col("text")).otherwise(joined),
+        n_removed=F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("long"),
+    ).select("row", "text", "n_lines", "n_removed")

@@ -211,22 +211,29 @@ def toxicities(hashes: np.ndarray, cuts: np.ndarray, ratios: np.ndarray, setting
 
 
 def weigh(
-    docs: DataFrame, table: np.ndarray, toxic: np.ndarray, settings: Settings, text_col: str
+    docs: DataFrame, table: np.ndarray, toxic: np.ndarray, settings: Settings, text_path: tuple[str, ...]
 ) -> DataFrame:
     """The rows with last columns ``_weight`` and ``_toxicity`` in units of 2^-16.
 
-    The tables have two to the power of ``bits`` entries per n-gram length, 1 MB as set here, and
-    of ``toxic_bits`` entries, 4 MB.
+    The text is a column or, to send no text twice, a field of a struct column. The tables have two
+    to the power of ``bits`` entries per n-gram length, 1 MB as set here, and of ``toxic_bits``
+    entries, 4 MB.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast((table, toxic))
     added = [T.StructField(name, T.LongType()) for name in ("_weight", "_toxicity")]
     schema = T.StructType([*docs.schema.fields, *added])
-    at, bits = docs.columns.index(text_col), settings.bits
+    at, bits = docs.columns.index(text_path[0]), settings.bits
+    fields = docs.schema[text_path[0]].dataType
+    within = [fields.names.index(text_path[1])] if len(text_path) > 1 else []
+
+    def texts(batch: pa.RecordBatch) -> pa.Array:
+        column = batch.column(at)
+        return pc.struct_field(column, within) if within else column
 
     def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios, toxic_words = broadcast.value
-        for batch in slices(batches, at, 2_000_000):
-            hashes, cuts = token_hashes(batch.column(at), WORDS_AND_MARKS)
+        for batch in slices(batches, texts, 2_000_000):
+            hashes, cuts = token_hashes(texts(batch), WORDS_AND_MARKS)
             single, pairs = buckets(hashes, bits)
             of_single = np.concatenate([[0], np.cumsum(ratios[single], dtype=np.int64)])
             of_pairs = np.concatenate([[0], np.cumsum(ratios[pairs], dtype=np.int64)])
@@ -259,7 +266,7 @@ def best_threshold(weights: np.ndarray, good: np.ndarray) -> int | None:
     return int(weights[int(np.argmin(np.where(allowed, errors, len(good) + 1)))])
 
 
-def draw_key(id_col: str, text_col: str, settings: Settings) -> Column:
+def draw_key(id_col: str | Column, text_col: str | Column, settings: Settings) -> Column:
     """Weight plus a Gumbel variate that depends on the document alone, in units of 2^-16."""
     draw = F.xxhash64(id_col, F.xxhash64(text_col), F.lit(settings.seed))
     uniform = (F.pmod(draw, F.lit(1 << 52)) + 0.5) / float(1 << 52)
@@ -318,15 +325,18 @@ def fit(
     judged = F.broadcast(sample.where("fit").select("id", "clean"))
     toxic = toxic_ratios(stored(count_toxic(rows.join(judged, "id"), settings), "toxic-counts"), settings)
     keys = stored(
-        weigh(rows, ratios, toxic, settings, "text").select(
+        weigh(rows, ratios, toxic, settings, ("text",)).select(
             "id", "_weight", "_toxicity", draw_key("id", "text", settings).alias("key")
         ),
         "quality-keys",
     )
     held_out = keys.join(F.broadcast(sample.where("not fit")), "id").select(
-        "_weight", "_toxicity", "good", "clean"
+        "id", "_weight", "_toxicity", "good", "clean"
     )
-    seen = held_out.limit(settings.most_labelled).toPandas()
+    # With repeated ids there may be more rows than labels; of those the first by the draw.
+    seen = held_out.orderBy(F.xxhash64("id", F.lit(settings.seed)), "id", "_weight", "_toxicity").limit(
+        settings.most_labelled
+    ).toPandas()
     threshold = best_threshold(seen["_weight"].to_numpy(), seen["good"].to_numpy(dtype=bool))
     mildness = best_threshold(-seen["_toxicity"].to_numpy(), seen["clean"].to_numpy(dtype=bool))
     most_toxic = None if mildness is None else -mildness
@@ -341,14 +351,12 @@ def classify(
     docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows as a struct ``row`` with ``log_weight``, ``key``, ``toxicity`` and whether they are ``kept``."""
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-    )
-    # The models see id and text only; the whole row travels beside them unread.
-    key = draw_key("id", "text", model.settings)
+    rows = docs.select(F.struct("*").alias("row"))
+    id_of, text_of = (F.col("row").getField(name) for name in (id_col, text_col))
+    key = draw_key(id_of, text_of, model.settings)
     drawn = F.lit(True) if model.cutoff is None else key >= model.cutoff
     mild = F.lit(True) if model.most_toxic is None else F.col("_toxicity") <= model.most_toxic
-    return weigh(rows, model.ratios, model.toxic, model.settings, "text").select(
+    return weigh(rows, model.ratios, model.toxic, model.settings, ("row", text_col)).select(
         "row",
         (F.col("_weight") / UNIT).alias("log_weight"),
         (key / UNIT).alias("key"),

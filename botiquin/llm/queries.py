@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from botiquin.llm import (
     token_store,
     url_rules,
 )
-from botiquin.llm.tables import table
+from botiquin.llm.tables import small_batches, table
 from botiquin.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -124,13 +127,22 @@ def source_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripes.divergences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_OPERATORS = {
     "op1_quality_classifier": quality_classifier,
     "op2_token_binary": token_binary,
     "op3_ngram_jaccard_join": ngram_jaccard_join,
     "op4_benchmark_decontamination": benchmark_decontamination,
-    "op6_vector_packing": vector_packing,
     "op5_secret_forest": secret_forest,
+    "op6_vector_packing": vector_packing,
     "op7_url_association_rules": url_association_rules,
     "op8_hilbert_sharding": hilbert_sharding,
     "op9_polytope_search": polytope_search,
@@ -139,3 +151,5 @@ QUERIES = {
     "op12_ball_codes": ball_tree_codes,
     "op13_source_stripes": source_stripes,
 }
+
+QUERIES = {name: _bounded(query) for name, query in _OPERATORS.items()}

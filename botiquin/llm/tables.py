@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows go to Python in batches of ``rows`` at most, some megabytes of texts instead of 64.
+
+    A worker holds a batch, what it makes of it, and both again on the JVM's side.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
@@ -27,14 +35,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str | int, most_bytes: int = 8_000_000
+    batches: Iterator[pa.RecordBatch],
+    column: str | Callable[[pa.RecordBatch], pa.Array],
+    most_bytes: int = 8_000_000,
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches by rows so that a text column holds about ``most_bytes`` in each part.
 
-    A single longer text makes a part of its own, whole.
+    A single longer text makes a part of its own, whole. The column may be taken by a function.
     """
     for batch in batches:
-        texts = batch.column(column)
+        texts = column(batch) if callable(column) else batch.column(column)
         if texts.nbytes <= most_bytes:
             yield batch
             continue
