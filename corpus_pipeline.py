@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botiquin.llm import decontamination, jaccard, line_dedup, packing, quality
-from botiquin.llm.tables import table
+from botiquin.llm.tables import small_batches, table
 from botiquin.session import work_dir
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(work: Stage) -> Stage:
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    return run
+
 
+@_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that importance resampling rejects."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.classify(docs, model).where("kept").select("row.*")
 
 
+@_stage
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later occurrences of windows of three lines or sentences; drop texts of which nothing is left.
 
@@ -27,17 +43,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cleaned.where(left.isNull() | left).select(*_columns(docs, F.col("text")))
 
 
+@_stage
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8."""
     return jaccard.keep_one(docs, jaccard.Similarity(words=5, over=4, under=5))
 
 
+@_stage
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the words that benchmark windows cover; drop texts of which no word is left by it."""
     cut = decontamination.remove_passages(docs, table(spark, sf_dir, "benchmark"))
     return cut.select(F.struct("*").alias("row"), "text").select(*_columns(docs, F.col("text")))
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their ids, for training."""
     return packing.pack_texts(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
