@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from botiquin.llm.tables import slices, stored
+from botiquin.llm.tables import discard, slices, stored
 from botiquin.llm.words import BLANK_SEPARATED, joined, mixed, token_hashes
 
 SIZE = 13
@@ -83,29 +83,39 @@ def anchors(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR) -> DataFram
 
 
 def routes(found: DataFrame, block: int = BLOCK) -> DataFrame:
-    """id, key, at, ref: the block of each anchor that several ids have, but for the reference itself."""
-    repeated = (
+    """id, key and ``needs``: per document the blocks of its anchors, as structs of place and block.
+
+    An anchor counts if several ids have it; at its reference itself the place is null. Grouped
+    sides are stored before they are joined, so that the join can split a hot anchor.
+    """
+    repeated = stored(
         found.groupBy("anchor").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-        .where("first_id < last_id").select("anchor", "first_id")
+        .where("first_id < last_id").select("anchor", "first_id"),
+        "lz-repeated",
     )
     hits = stored(found.join(repeated, "anchor"), "lz-hits")
-    first = hits.where("id = first_id").groupBy("anchor").agg(F.min(F.struct("id", "key", "at")).alias("ref"))
+    discard(repeated)
+    first = stored(
+        hits.where("id = first_id").groupBy("anchor").agg(F.min(F.struct("id", "key", "at")).alias("ref")),
+        "lz-first",
+    )
     own = F.struct("id", "key", "at") == F.col("ref")
-    placed = hits.join(first, "anchor").where(~own)
-    seg = F.floor(F.col("ref.at") / block).cast("int").alias("seg")
-    return placed.select("id", "key", "at", F.struct("ref.id", "ref.key", seg).cast(_PLACE).alias("ref"))
+    seg = F.floor(F.col("ref.at") / block).cast("int")
+    ref = F.struct("ref.id", "ref.key", seg.alias("seg")).cast(_PLACE).alias("ref")
+    placed = hits.join(first, "anchor").where(~own).select("id", "key", "at", ref)
+    wanted = first.select(ref).distinct().select("ref.id", "ref.key", F.lit(None).cast("int").alias("at"), "ref")
+    needs = stored(
+        placed.union(wanted).groupBy("id", "key").agg(F.collect_set(F.struct("at", "ref")).alias("needs")),
+        "lz-needs",
+    )
+    discard(hits, first)
+    return needs
 
 
 def stretches(
-    docs: DataFrame, routed: DataFrame, size: int = SIZE, anchor: int = ANCHOR, block: int = BLOCK
+    docs: DataFrame, needs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, block: int = BLOCK
 ) -> DataFrame:
     """Blocks (``first`` null) and the stretches sent to them: ref, id, key, first, words (hashes)."""
-    wanted = routed.select("ref").distinct().select(
-        "ref.id", "ref.key", F.lit(None).cast("int").alias("at"), "ref"
-    )
-    needs = routed.select("id", "key", "at", "ref").union(wanted).groupBy("id", "key").agg(
-        F.collect_set(F.struct("at", "ref")).alias("needs")
-    )
     rows = docs.join(needs, ["id", "key"]).select(
         "id", "key", "text",
         F.col("needs.at").alias("at"), F.col("needs.ref.id").alias("ref_id"),
@@ -234,13 +244,11 @@ class Block:
             start = end
 
 
-def parse(parts: DataFrame, size: int = SIZE) -> DataFrame:
+def parse(asked: DataFrame, blocks: DataFrame, size: int = SIZE) -> DataFrame:
     """Stretches factored against their blocks: id, key, first, last, and ``high``, ``low`` if open.
 
     Rows without hashes are duplicate spans; the others are windows that their block does not have.
     """
-    blocks = parts.where("first is null").select("ref", F.col("words").alias("block")).dropDuplicates(["ref"])
-    asked = parts.where("first is not null")
     schema = "id long, key long, first int, last int, high long, low long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,21 +291,32 @@ def duplicate_spans(
     """id, key and the merged ``spans`` of documents given as id, key (of the text) and text."""
     present = docs.where("id is not null")
     found = stored(anchors(present, size, anchor), "lz-anchors")
-    routed = stored(routes(found, block), "lz-routes")
-    parts = stored(stretches(present, routed, size, anchor, block), "lz-parts")
-    parsed = stored(parse(parts, size), "lz-parsed")
+    needs = routes(found, block)
+    discard(found)
+    parts = stored(stretches(present, needs, size, anchor, block), "lz-parts")
+    discard(needs)
+    blocks = stored(
+        parts.where("first is null").select("ref", F.col("words").alias("block")).dropDuplicates(["ref"]),
+        "lz-blocks",
+    )
+    parsed = stored(parse(parts.where("first is not null"), blocks, size), "lz-parsed")
+    discard(parts, blocks)
     open_windows = parsed.where("high is not null")
-    repeated = (
+    repeated = stored(
         open_windows.groupBy("high", "low").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-        .where("first_id < last_id").select("high", "low", "first_id")
+        .where("first_id < last_id").select("high", "low", "first_id"),
+        "lz-open",
     )
     later = open_windows.join(repeated, ["high", "low"]).where("id > first_id")
     spans = parsed.where("high is null").select("id", "key", "first", "last").union(
         later.select("id", "key", "first", "last")
     )
-    return spans.groupBy("id", "key").agg(
-        F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans")
+    merged = stored(
+        spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans")),
+        "lz-spans",
     )
+    discard(parsed, repeated)
+    return merged
 
 
 def covered(spans: list[dict], n_words: int) -> np.ndarray:

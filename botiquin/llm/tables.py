@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from botiquin.session import work_dir
+from botiquin.session import remove_dir, work_dir
+
+# Folders that stored() has written in this session and nobody has removed.
+_written: dict[str, SparkSession] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +31,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
     What follows then starts from files that outlive any executor instead of from a long lineage.
+    ``discard`` or ``intermediates`` removes the files.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    _written[path] = spark
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote for these frames; nothing that is still to run may need it."""
+    for frame in frames:
+        _remove(frame.stored_at)
+
+
+def _remove(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is not None:
+        remove_dir(spark, path)
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Remove at the end whatever was stored inside; results must have been written by then."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in [path for path in _written if path not in before]:
+            _remove(path)
 
 
 def slices(
