@@ -104,19 +104,21 @@ def _hashes(number: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most_words: int) -> list[list[tuple]]:
-    """Items as lists, each within the bound on average."""
-    items = benchmark.select(
-        F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")
-    )
-    size = items.select(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
-    # A word and its separator take two characters at least.
-    count = max(1, -(-size // (2 * most_words)))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [
-        [(row["item_id"], row["text"]) for row in items.where(block == k).toLocalIterator()]
-        for k in range(count)
-    ]
+class _Blocks:
+    """Items dealt into parts within the bound on average, of which the driver takes one at a time."""
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, most_words: int):
+        self.items = benchmark.select(
+            F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")
+        )
+        size = self.items.select(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
+        # A word and its separator take two characters at least.
+        self.count = max(1, -(-size // (2 * most_words)))
+
+    def take(self, number: int) -> list[tuple]:
+        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count))
+        rows = self.items.where(block == number).toLocalIterator()
+        return [(row["item_id"], row["text"]) for row in rows]
 
 
 _SPAN = "array<struct<first:int,last:int>>"
@@ -140,10 +142,10 @@ def find_windows(
         F.lit(None).cast(_SPAN).alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    blocks = _blocks(benchmark, item_id_col, item_text_col, most_words)
-    for k, block in enumerate(blocks):
-        rows = rows.mapInArrow(_scanner(block, size, columns), rows.schema)
-        if k + 1 < len(blocks):
+    blocks = _Blocks(benchmark, item_id_col, item_text_col, most_words)
+    for k in range(blocks.count):
+        rows = rows.mapInArrow(_scanner(blocks.take(k), size, columns), rows.schema)
+        if k + 1 < blocks.count:
             rows = stored(rows, "decontamination")
     return rows
 
@@ -164,10 +166,9 @@ def _scanner(block: list[tuple], size: int, columns: tuple[str, ...]):
                 names = {windows.items[k] for k in seen} - {None}
                 items.append(sorted(names.union(old_items or [])))
             arrays = [batch.column(name) for name in (*columns, "text")]
-            span_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
             arrays += [
                 pa.array(counts, pa.int64()),
-                pa.array(spans, span_type),
+                pa.array(spans, _SPANS),
                 pa.array(items, pa.list_(pa.string())),
             ]
             names = [*columns, "text", "n_words", "spans", "items"]
@@ -198,20 +199,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, **names
 
 
 def remove_passages(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text", **names
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = 10,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """The documents with every covered span of words cut out, also those that form by cutting.
 
-    Documents that are left without words by it are dropped; all others and all columns stay.
+    Documents that are left without words by it are dropped; all others and all columns stay. With
+    several blocks of items the documents pass all of them, which mark their spans, before the marked
+    words are cut; those that were cut pass them again until a round marks nothing. So the result
+    does not depend on the number of blocks.
     """
-    blocks = _blocks(
-        benchmark, names.get("item_id_col", "item_id"), names.get("item_text_col", "text"), MOST_WORDS
-    )
-    for k, block in enumerate(blocks):
-        docs = docs.mapInArrow(_remover(block, size, docs.columns.index(text_col)), docs.schema)
-        if k + 1 < len(blocks):
-            docs = stored(docs, "decontamination")
-    return docs
+    blocks = _Blocks(benchmark, item_id_col, item_text_col, most_words)
+    rows = docs.select(F.struct("*").alias("row"), F.lit(True).alias("open"), F.lit(None).cast(_SPAN).alias("spans"))
+    at = docs.columns.index(text_col)
+    more = True
+    while more:
+        for k in range(blocks.count):
+            last = k + 1 == blocks.count
+            rows = rows.mapInArrow(_remover(blocks.take(k), size, at, last, blocks.count == 1), rows.schema)
+            if blocks.count > 1:
+                rows = stored(rows, "decontamination")
+        more = blocks.count > 1 and not rows.where("open").isEmpty()
+    return rows.select("row.*")
 
 
 def cut_spans(text: str, hit: np.ndarray) -> str:
@@ -225,25 +239,45 @@ def cut_spans(text: str, hit: np.ndarray) -> str:
     return b" ".join([*kept, data[first:]]).decode()
 
 
-def _remover(block: list[tuple], size: int, at: int):
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+
+def _remover(block: list[tuple], size: int, at: int, last: bool, alone: bool):
+    """Marks the hits of a block; the last block's pass cuts, and goes on by itself if ``alone``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(block, size)
-        for whole in batches:
-            texts, keep = [], []
-            for text in whole.column(at).to_pylist():
-                cut = False
-                found = words(text)
-                hit, _ = windows.scan(found)
-                while hit.any():
-                    cut = True
+        for batch in batches:
+            row = batch.column("row")
+            fields = row.flatten()
+            texts, still_open, spans, keep = [], [], [], []
+            marked = zip(fields[at].to_pylist(), batch.column("open").to_pylist(), batch.column("spans").to_pylist())
+            for text, is_open, before in marked:
+                found = words(text) if is_open else []
+                hit = _hits(windows, found, before)
+                cut = last and bool(hit.any())
+                while last and hit.any():
                     text = cut_spans(text, hit)
                     found = words(text)
-                    hit, _ = windows.scan(found)
+                    hit = _hits(windows, found, None) if alone else np.zeros(len(found), dtype=bool)
                 texts.append(text)
+                still_open.append(cut and not alone if last else is_open)
+                spans.append(None if last else _spans(hit))
                 keep.append(not cut or bool(found))
-            arrays = [whole.column(i) for i in range(whole.num_columns)]
-            arrays[at] = pa.array(texts, pa.string())
-            batch = pa.RecordBatch.from_arrays(arrays, names=whole.schema.names)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            fields[at] = pa.array(texts, fields[at].type)
+            names = [row.type.field(i).name for i in range(row.type.num_fields)]
+            out = pa.RecordBatch.from_arrays(
+                [pa.StructArray.from_arrays(fields, names=names), pa.array(still_open, pa.bool_()),
+                 pa.array(spans, _SPANS)],
+                names=["row", "open", "spans"],
+            )
+            yield out.filter(pa.array(keep, pa.bool_()))
 
     return run
+
+
+def _hits(windows: Windows, found: list[bytes], before: list[dict[str, int]] | None) -> np.ndarray:
+    hit, _ = windows.scan(found)
+    for span in before or []:
+        hit[span["first"] : span["last"] + 1] = True
+    return hit

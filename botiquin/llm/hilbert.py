@@ -11,8 +11,9 @@ its rows are written once with the number of their range, the ranges are counted
 is the rows of earlier ranges plus its place in its own. No task sees more than one range, and a
 value that a third of all rows share spreads over the ranges by the further columns.
 
-A dimension may have up to 2^16 levels (checked); pass a coarser expression for one with more.
-Without ``most_levels`` the table of levels would have no bound.
+A dimension's levels are counted and cut into cells the same way, by ranges and the rows before
+them. The table of levels is sent to all tasks up to ``most_levels`` (checked); beyond that rows
+and levels meet by shuffle, with the same cells.
 
 Defined cases: null is a level of its own before all others. Rows that agree in all order columns
 may change places with each other. An empty table gives none. All columns of the input are passed
@@ -94,18 +95,33 @@ def curve_place(cells: list[Column], bits: int) -> Column:
 
 
 def cells_of(rows: DataFrame, level: str, bits: int, most_levels: int = MOST_LEVELS) -> DataFrame:
-    """Each level of a column with its cell: the share of rows before it, times the cells."""
-    counts = rows.groupBy(level).count()
-    if counts.limit(most_levels + 1).count() > most_levels:
-        raise ValueError(f"{level} has more than {most_levels} levels; pass a coarser expression")
-    before = Window.orderBy(F.asc_nulls_first(level)).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    return counts.select(
-        F.col(level).alias("level"),
-        F.floor(
-            F.coalesce(F.sum("count").over(before), F.lit(0)) * (1 << bits) / F.sum("count").over(every)
-        ).cast("int").alias("cell"),
+    """Each level of a column with its cell: the share of rows before it, times the cells.
+
+    Levels lie in ranges of neighbours; the rows before a level are those of the ranges before its
+    own and of the levels before it there, so no task sees all levels. Up to ``most_levels`` of them
+    are sent to all tasks; more are joined by their shuffle.
+    """
+    order = F.asc_nulls_first(level)
+    counts = stored(
+        rows.groupBy(level).agg(F.count("*").alias("n")).repartitionByRange(order)
+        .select(F.col(level).alias("level"), "n", F.spark_partition_id().alias("range")),
+        "hilbert-levels",
     )
+    # One row per range.
+    ranges = counts.groupBy("range").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = ranges.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
+    inside = Window.partitionBy("range").orderBy(F.asc_nulls_first("level")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    placed = counts.join(F.broadcast(firsts), "range").withColumn(
+        "rows_before", F.col("first") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    )
+    cells = placed.select("level", F.expr(f"rows_before * {1 << bits} div {total}").cast("int").alias("cell"))
+    if counts.limit(most_levels + 1).count() <= most_levels:
+        return F.broadcast(cells)
+    return stored(cells, "hilbert-cells")
 
 
 def hilbert_shards(
@@ -128,8 +144,7 @@ def hilbert_shards(
     )
     placed = base
     for k, name in enumerate(names):
-        # At most most_levels rows, as checked.
-        cells = F.broadcast(cells_of(base, name, bits, most_levels))
+        cells = cells_of(base, name, bits, most_levels)
         placed = placed.join(cells, placed[name].eqNullSafe(cells["level"])).select(
             *placed.columns, F.col("cell").alias(f"cell_{k}")
         )

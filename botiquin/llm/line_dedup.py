@@ -53,9 +53,8 @@ def windows(
     else:
         lines = F.transform(_lines(F.col("text")), lambda line: F.trim(line))
         broken = F.col("text").contains("\n")
-    rows = docs.where(broken).select(
-        "id", F.xxhash64("text").alias("text_hash"), lines.alias("lines")
-    ).where(F.size("lines") >= size)
+    hashed = docs.where(broken).withColumn("text_hash", F.xxhash64("text"))
+    rows = _made(hashed, ["id", "text_hash"], lines=lines).where(F.size("lines") >= size)
     window = F.concat_ws("\n", F.slice("lines", F.col("line") + 1, size))
     if least_chars is None:
         counts = F.col("window").rlike("[\\p{L}\\p{N}]")

@@ -101,7 +101,7 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _bucketed(points: DataFrame, space: _Space, index: Index, queries: bool) -> DataFrame:
-    """A row per table, and for queries per probe: tbl, bucket, point, vector."""
+    """A row per table, and for queries per probe: tbl, bucket, point, its first id, vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -120,13 +120,14 @@ def _bucketed(points: DataFrame, space: _Space, index: Index, queries: bool) ->
                             pa.array(np.full(len(row), table, dtype=np.int32)),
                             pa.array(axes.reshape(-1).astype(np.int32)),
                             batch.column("point").take(places),
+                            batch.column("first").take(places),
                             batch.column("vector").take(places),
                         ],
-                        names=["tbl", "bucket", "point", "vector"],
+                        names=["tbl", "bucket", "point", "first", "vector"],
                     )
 
-    return points.select("point", "vector").mapInArrow(
-        run, "tbl int, bucket int, point long, vector array<double>"
+    return points.select("point", F.col("ids")[0].alias("first"), "vector").mapInArrow(
+        run, "tbl int, bucket int, point long, first long, vector array<double>"
     )
 
 
@@ -146,7 +147,7 @@ def _scored(vectors: DataFrame, queries: DataFrame, space: _Space, index: Index,
         mine = F.pmod(F.xxhash64("point"), F.col(own_blocks)).cast("int").alias(own)
         theirs = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other)
         return rows.join(F.broadcast(blocks), ["tbl", "bucket"]).select(
-            "tbl", "bucket", mine, theirs, "point", "vector"
+            "tbl", "bucket", mine, theirs, "point", "first", "vector"
         )
 
     keys = ["tbl", "bucket", "block", "query_block"]
@@ -155,16 +156,21 @@ def _scored(vectors: DataFrame, queries: DataFrame, space: _Space, index: Index,
         found: list[np.ndarray] = [np.empty((0,), dtype=np.int64)] * 2 + [np.empty(0)]
         if left.num_rows and right.num_rows:
             points, asked = (t.column("point").to_numpy() for t in (left, right))
+            firsts = left.column("first").to_numpy()
             data, wanted = (_rows_of(t.column("vector"), space.dims) for t in (left, right))
-            # A few more than needed by a fast product, then the scores in one fixed way.
-            most = min(len(points), k + 9)
             rough = wanted @ data.T
-            near = np.argpartition(-rough, most - 1, axis=1)[:, :most]
-            exact = np.stack([(data[row] * query).sum(axis=1) for row, query in zip(near, wanted)])
-            order = np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]
-            near = np.take_along_axis(near, order, axis=1)
-            exact = np.take_along_axis(exact, order, axis=1)
-            found = [np.repeat(asked, near.shape[1]), points[near.reshape(-1)], exact.reshape(-1)]
+            most = min(len(points), k + 1)
+            # Both forms of a product are off by less than this; ties must all be compared exactly.
+            off = 2 * (space.dims + 2) * np.finfo(float).eps * np.abs(wanted) @ np.abs(data).max(axis=0)
+            last = -np.partition(-rough, most - 1, axis=1)[:, most - 1] - 2 * off
+            near, scores = [], []
+            for row, query in enumerate(wanted):
+                close = np.flatnonzero(rough[row] >= last[row])
+                exact = (data[close] * query).sum(axis=1)
+                order = np.lexsort((firsts[close], -exact))[:most]
+                near.append(points[close[order]])
+                scores.append(exact[order])
+            found = [np.repeat(asked, most), np.concatenate(near), np.concatenate(scores)]
         return pa.table(found, names=["query", "point", "score"])
 
     return (
@@ -232,7 +238,7 @@ def nearest(
         everywhere = stored(
             again.select(
                 F.lit(0).alias("tbl"), F.explode(F.array(*[F.lit(b) for b in axes["buckets"]])).alias("bucket"),
-                "point", "vector",
+                "point", F.col("ids")[0].alias("first"), "vector",
             ),
             "ann-everywhere",
         )

@@ -1,3 +1,4 @@
+from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -46,9 +47,25 @@ def test_shard_edges_and_files(spark):
     hilbert.write_shards(plain, path, rows_per_file=2)
     assert spark.read.parquet(path).count() == len(frames.ROWS)
     assert hilbert.hilbert_shards(frames.docs(spark, []), dims, ["doc_id"]).count() == 0
-    many = spark.range(50).select(F.col("id").alias("doc_id"))
-    with pytest.raises(ValueError, match="levels"):
-        hilbert.hilbert_shards(many, [F.col("doc_id")], ["doc_id"], most_levels=10)
+
+
+def test_shards_of_many_levels(spark):
+    """Beyond the number of levels that are sent to all tasks the cells are the same."""
+    level = F.concat(F.lit("s"), F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("string"))
+    rows = spark.range(120_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, level).alias("source"))
+    dims = [F.col("source"), F.col("doc_id") % 7]
+
+    def shards(**options):
+        got = hilbert.hilbert_shards(rows, dims, ["doc_id"], **options)
+        return got.select("row.doc_id", "curve", "shard", "slot")
+
+    assert shards(most_levels=1000).exceptAll(shards(most_levels=1_000_000)).isEmpty()
+    cells = {r.level: r.cell for r in hilbert.cells_of(rows, "source", 8).collect()}
+    counts = Counter(r.source for r in rows.collect())
+    before = 0
+    for name in sorted(counts, key=lambda n: (n is not None, n or "")):
+        assert cells[name] == before * 256 // 120_000
+        before += counts[name]
 
 
 # --- nearest neighbours ---------------------------------------------------------------------
@@ -113,6 +130,18 @@ def test_copies_and_odd_vectors(spark):
     assert polytope.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_ties_go_to_the_smaller_id(spark):
+    """Different vectors with one product to the query, far more than an answer holds."""
+    draw = np.random.default_rng(8)
+    tied = draw.normal(size=(500, 7)).tolist()
+    rows = [(0, [1.0] + [0.0] * 7)] + [(k, [1.0] + v) for k, v in enumerate(tied, 1)]
+    draw.shuffle(rows[1:])
+    frame = spark.createDataFrame([rows[0], *reversed(rows[1:])], "vec_id long, embedding array<double>")
+    index = polytope.Index(tables=2, probes=1.0, block=100)
+    got = polytope.nearest(frame, F.col("vec_id") % 501 == 0, 20, index).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == list(range(1, 21))
+
+
 # --- URL rules ------------------------------------------------------------------------------
 
 

@@ -77,6 +77,19 @@ def test_passages_are_cut(spark):
     assert decontamination.contamination(frames.docs(spark, []), items(spark)).count() == 0
 
 
+@pytest.mark.parametrize("most_words", [8, 1000])
+def test_cuts_that_form_windows_of_other_blocks(spark, most_words):
+    """A cut for one block of items joins the halves of another's window, again and again."""
+    found = spark.createDataFrame([("a1", "one two three four"), ("b1", "x y z w"), ("c1", "p x y z w q")], ITEMS)
+    rows = [(1, "q1 one two x y z w three four q2", "", "", 1), (2, "one x two three four y z w", "", "", 1),
+            (3, "x y one x y z w two three four z w", "", "", 1), (4, "clean words", "", "", 1),
+            (5, "p x one two three four y z w q", "", "", 1), (6, None, None, None, None)]
+    got = decontamination.remove_passages(frames.docs(spark, rows), found, most_words=most_words)
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert {k: v.split() if v else v for k, v in texts.items()} == {
+        1: ["q1", "q2"], 2: rows[1][1].split(), 4: ["clean", "words"], 6: None}
+
+
 # --- line dedup -----------------------------------------------------------------------------
 
 
@@ -406,3 +419,9 @@ def test_pipeline_edges(spark):
             result.collect()
             if name != "packing":
                 assert result.columns == frame.columns
+
+
+def test_stage_two_works_out_its_lines_once(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plan = corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 3
