@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botiquin.llm import decontamination, jaccard, line_dedup, packing, quality
-from botiquin.llm.tables import small_batches, table
+from botiquin.llm.tables import intermediates, small_batches, table
 from botiquin.session import work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -85,6 +85,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = work_dir(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediates():
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
