@@ -34,6 +34,9 @@ MEASURE_NAME_HEADERS = ("Nombres de medidas", "nombres_de_medidas", "nombres de
 MEASURE_VALUE_HEADERS = ("Valores de medidas", "valores_de_medidas", "valores de medidas")
 # Year that marks a lot without expiry.
 NO_EXPIRY_YEAR = 5000
+# Orders the rows of loaded tables, the newest last: number of the batch, then file, split and place
+# in the split. Not part of the extracts.
+LOAD_ORDER_COLUMN = "orden_carga"
 # Columns the target table fills by itself.
 SELF_FILLED = ("id", "creado_en", "actualizado_en")
 
@@ -314,6 +317,14 @@ SCHEMAS: dict[str, T.StructType] = {
     }.items()
 }
 
+_PLACE = (
+    T.StructType()
+    .add("carga", T.LongType()).add("archivo", T.StringType()).add("bloque", T.LongType())
+    .add("fila", T.LongType())
+)
+for _name in ("ordenes", "ejecucion", "stock_critico", "pedidos", "vencimientos_parques"):
+    SCHEMAS[_name] = SCHEMAS[_name].add(LOAD_ORDER_COLUMN, _PLACE)
+
 ITEM_KEY = ("id_llamado", "licitacion", "codigo", "item")
 KEYS = {
     "ordenes": ("oc", "item", "codigo"),

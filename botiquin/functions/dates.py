@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botiquin.contracts import OPEN_ENDED_PHRASE
-from botiquin.functions.text import strip_ws
+from botiquin.functions.text import strip_ws, tokens_to_null
 
 # Formats in order of preference, for columns and for single values.
 COLUMN_FORMATS = (
@@ -64,44 +64,57 @@ def _read_any(stripped: Column) -> Column:
     return F.when(ordered.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), F.try_to_date(ordered, "yyyy-M-d"))
 
 
-def pick_formats(
-    df: DataFrame, columns: list[str], formats: tuple[str, ...] = COLUMN_FORMATS
-) -> dict[str, str | None]:
-    """For each column the first format that fits any of its values, in one pass over the rows.
+def first_values(df: DataFrame, columns: list[str], order: Column) -> dict[str, str | None]:
+    """For each column its first text that is not blank, in one pass; one row reaches the driver."""
+    texts = {c: tokens_to_null(strip_ws(F.col(c))) for c in columns}
+    firsts = [
+        F.min_by(text, F.when(text.isNotNull(), order)).alias(f"v{i}") for i, text in enumerate(texts.values())
+    ]
+    found = df.agg(*firsts).first()
+    return {c: found[f"v{i}"] for i, c in enumerate(columns)}
+
+
+def shape_of(value: str) -> str:
+    """A regular expression for texts with the separators of this one and as wide numbers.
 
-    Only one row of counts comes back to the driver.
+    Days, months and hours may have one digit or two.
     """
-    hits = [
-        F.count(parse_date(F.col(name), (fmt,))).alias(f"{i}_{j}")
-        for i, name in enumerate(columns)
-        for j, fmt in enumerate(formats)
-    ]
-    counts = df.agg(*hits).first()
-    return {
-        name: next((fmt for j, fmt in enumerate(formats) if counts[f"{i}_{j}"]), None)
-        for i, name in enumerate(columns)
-    }
+    def digits(number: re.Match) -> str:
+        width = len(number[0])
+        return r"\d{1,2}" if width < 3 else rf"\d{{{width}}}" if width == 4 else r"\d+"
 
+    return "".join(
+        digits(part) if part[0].isdigit() else re.escape(part[0]) for part in re.finditer(r"\d+|\D+", value)
+    )
 
-def parse_dates(df: DataFrame, columns: list[str], strict_first_format: bool = False) -> DataFrame:
+
+def parse_dates(
+    df: DataFrame, columns: list[str], strict_first_format: bool = False, order: Column | None = None
+) -> DataFrame:
     """Parse the columns in place. (FN-9)
 
-    By default every value is tried against all formats. ``strict_first_format`` keeps to one
-    format per column, the first that fits any value, and leaves the others null.
+    By default every value is read in whichever format it has. ``strict_first_format`` goes by the
+    column's first value in the given order (by default the place in the extract): the others are
+    read only if they have its shape, so a column that begins with year first keeps no day first
+    dates. If the first value is no date, every value is read by itself.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    chosen: dict[str, str | None] = pick_formats(df, columns) if strict_first_format else {}
+    firsts: dict[str, str | None] = {}
+    if strict_first_format:
+        firsts = first_values(df, columns, F.col("_row") if order is None else order)
+        # One row: which of the first values are dates.
+        texts = [F.lit(firsts[c]).cast("string") for c in columns]
+        dated = df.sparkSession.range(1).select(*[_read_any(t).isNotNull() for t in texts]).first()
+        firsts = {c: firsts[c] if ok else None for c, ok in zip(columns, dated)}
     df = df.withColumns({c: strip_ws(F.col(c)) for c in columns})
-    if not strict_first_format:
-        return df.withColumns({c: read_date(F.col(c)) for c in columns})
-    return df.withColumns(
-        {
-            c: read_date(F.col(c), (fmt,)) if fmt else F.lit(None).cast("date")
-            for c, fmt in chosen.items()
-        }
-    )
+
+    def read(c: str) -> Column:
+        value = read_date(F.col(c))
+        return F.when(F.col(c).rlike(f"^{shape_of(firsts[c])}\\z"), value) if firsts.get(c) else value
+
+    return df.withColumns({c: read(c) for c in columns})
 
 
 def parse_date_or_phrase(c: Column) -> tuple[Column, Column]:

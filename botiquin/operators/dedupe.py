@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from botiquin.contracts import LOAD_ORDER_COLUMN
+
 _RN = "_rn"
 
 
@@ -32,25 +34,33 @@ def has_code(name: str = "codigo") -> Column:
     return trimmed(name) != ""
 
 
+def load_order(df: DataFrame) -> list[str]:
+    """The columns that tell which of two rows was loaded later: the place that loads keep with a row,
+    then the id, whichever the frame has."""
+    return [c for c in (LOAD_ORDER_COLUMN, "id") if c in df.columns]
+
+
 def keep_latest(
-    df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ("id",), trim: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], newest: Sequence[str] | None = None, trim: Sequence[str] = ()
 ) -> DataFrame:
-    """The row with the highest value of the ``newest`` columns per key. (WIN-1)"""
+    """The row with the highest value of the ``newest`` columns per key, by default the one that was
+    loaded last. (WIN-1)"""
     parts = [trimmed(k) if k in trim else F.col(k) for k in keys]
-    return keep_top(df, parts, [F.col(c).desc_nulls_last() for c in newest])
+    order = load_order(df) if newest is None else newest
+    return keep_top(df, parts, [F.col(c).desc_nulls_last() for c in order])
 
 
 def latest_items(
     execution: DataFrame,
     keys: Sequence[str] = ("id_llamado", "licitacion", "codigo", "item"),
-    newest: Sequence[str] = ("id",),
+    newest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Execution lines with a code, the newest of each item. (WIN-1)"""
     return keep_latest(execution.where(has_code()), keys, newest, trim=("codigo", "item"))
 
 
 def delete_older(
-    df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ("id",)
+    df: DataFrame, keys: Sequence[str], newest: Sequence[str] | None = None
 ) -> DataFrame:
     """Drop all but the newest of each key; rows without a code stay untouched. (WIN-2, WIN-3)
 
@@ -59,8 +69,9 @@ def delete_older(
     """
     alone = F.when(~F.coalesce(has_code(), F.lit(False)), F.monotonically_increasing_id())
     parts = [trimmed(k) if k in ("codigo", "item") else F.col(k) for k in keys]
+    order = load_order(df) if newest is None else newest
     kept = keep_top(
-        df.withColumn("_alone", alone), ["_alone", *parts], [F.col(c).desc_nulls_last() for c in newest]
+        df.withColumn("_alone", alone), ["_alone", *parts], [F.col(c).desc_nulls_last() for c in order]
     )
     return kept.drop("_alone")
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +22,10 @@ def _unpivot(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[st
     return df.select(F.inline(F.array(*entries)))
 
 
-def quality_report(
-    df: DataFrame, required: Sequence[str], numeric: Sequence[str] = NUMERIC_COLUMNS
-) -> DataFrame:
-    """Counts per check and column, all from one pass. (DQ-1, DQ-2, DQ-3)
-
-    ``vacia`` is 1 for an empty frame, ``falta`` 1 for a missing required column, ``no_numerico``
-    counts values that are not numbers, ``nulos`` counts nulls. The first two are errors, the
-    others warnings; a column without findings shows 0.
-    """
+def _checks(
+    df: DataFrame, required: Sequence[str], numeric: Sequence[str]
+) -> list[tuple[str, str, str, Column]]:
+    """Kind, check, column and count of each finding."""
     have = [c for c in required if c in df.columns]
     numbers = [c for c in numeric if c in df.columns]
     checks: list[tuple[str, str, str, Column]] = [
@@ -44,6 +39,19 @@ def quality_report(
         checks.append(("aviso", "no_numerico", c, bad))
     for c in have:
         checks.append(("aviso", "nulos", c, F.count_if(quoted(c).isNull())))
+    return checks
+
+
+def quality_report(
+    df: DataFrame, required: Sequence[str], numeric: Sequence[str] = NUMERIC_COLUMNS
+) -> DataFrame:
+    """Counts per check and column, all from one pass. (DQ-1, DQ-2, DQ-3)
+
+    ``vacia`` is 1 for an empty frame, ``falta`` 1 for a missing required column, ``no_numerico``
+    counts values that are not numbers, ``nulos`` counts nulls. The first two are errors, the
+    others warnings; a column without findings shows 0.
+    """
+    checks = _checks(df, required, numeric)
     totals = df.agg(*[count.alias(f"n{i}") for i, (*_, count) in enumerate(checks)])
     rows = [
         [F.lit(kind), F.lit(check), F.lit(column), F.col(f"n{i}")]
@@ -66,23 +74,59 @@ def validate(
     df: DataFrame, table: str, required: Sequence[str], numeric: Sequence[str] = NUMERIC_COLUMNS
 ) -> Validation:
     """The report as messages; errors mean the frame must not be loaded. (DQ-1 to DQ-3)"""
+    found = [(r.control, r.columna, r.cantidad) for r in quality_report(df, required, numeric).collect()]
+    return _messages(table, found)
+
+
+def _messages(table: str, found: Sequence[tuple[str, str, int]]) -> Validation:
     out = Validation()
-    findings = [r for r in quality_report(df, required, numeric).collect() if r.cantidad]
-    if any(r.control == "vacia" for r in findings):
+    findings = [finding for finding in found if finding[2]]
+    if any(check == "vacia" for check, _, _ in findings):
         out.errors.append(f"{table}: sin filas")
         return out
-    missing = [r.columna for r in findings if r.control == "falta"]
+    missing = [column for check, column, _ in findings if check == "falta"]
     if missing:
         out.errors.append(f"{table}: faltan columnas {', '.join(missing)}")
     words = {"no_numerico": "valores no numéricos", "nulos": "valores nulos"}
     out.warnings += [
-        f"{table}: {r.cantidad} {words[r.control]} en {r.columna}"
-        for r in findings
-        if r.control in words
+        f"{table}: {count} {words[check]} en {column}" for check, column, count in findings if check in words
     ]
     return out
 
 
+class Watched:
+    """The checks of ``validate`` and further counts, taken while the frame is written.
+
+    ``frame`` is to be written once, without a shuffle behind it; then ``figures`` and ``findings``
+    hold. An observation of no rows gives none, so the number of written rows is asked for.
+    """
+
+    def __init__(
+        self, df: DataFrame, table: str, required: Sequence[str],
+        counts: Mapping[str, Column] | None = None, numeric: Sequence[str] = NUMERIC_COLUMNS,
+    ):
+        self._table = table
+        self._checks = _checks(df, required, numeric)
+        self._counts = dict(counts or {})
+        self._seen = Observation()
+        self.frame = df.observe(
+            self._seen,
+            *[count.alias(f"n{i}") for i, (*_, count) in enumerate(self._checks)],
+            *[F.coalesce(count, F.lit(0)).alias(name) for name, count in self._counts.items()],
+        )
+
+    def figures(self, rows: int) -> dict[str, int]:
+        return {name: self._seen.get[name] for name in self._counts} if rows else dict.fromkeys(self._counts, 0)
+
+    def findings(self, rows: int) -> Validation:
+        if not rows:
+            return _messages(self._table, [("vacia", "", 1)])
+        seen = self._seen.get
+        return _messages(
+            self._table, [(check, column, seen[f"n{i}"]) for i, (_, check, column, _) in enumerate(self._checks)]
+        )
+
+
 def schema_contract(
     df: DataFrame, contract: T.StructType, max_lengths: Mapping[str, int] | None = None
 ) -> DataFrame:

@@ -139,7 +139,7 @@ def board(
     legacy: bool = False,
     null_safe_keys: bool = False,
     dedupe_keys: Sequence[str] = ITEM_KEY,
-    newest: Sequence[str] = ("id",),
+    newest: Sequence[str] | None = None,
     stock_row: str | None = None,
 ) -> DataFrame:
     """One row per contract item. (JN-1 to JN-5, PRJ-12, FN-14 to FN-18)

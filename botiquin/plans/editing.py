@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botiquin.contracts import KEYS, SCHEMAS
-from botiquin.operators.merge import changed_rows, contract_edits, edit_rows, stamp, unusable_ids
+from botiquin.operators.merge import contract_edits, edit_rows, stamp, unusable_ids
+from botiquin.operators.reconcile import changed_rows_by_digest
 from botiquin.sources.store import TableStore
 
 
@@ -19,7 +20,7 @@ def save_requested(
     """
     table = "cantidad_solicitada"
     if original is not None:
-        edits = changed_rows(edits, original, KEYS[table])
+        edits = changed_rows_by_digest(edits, original, KEYS[table])
     store.create(table, SCHEMAS[table])
     rows = stamp(edit_rows(edits), at=at)
     return store.merge(table, rows, KEYS[table])

@@ -8,7 +8,8 @@ differs per extract.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +20,27 @@ from botiquin.contracts import (
     EXPIRY_HEADERS,
     KEYS,
     LOAD_ORDER,
+    LOAD_ORDER_COLUMN,
     MEASURE,
     MEASURE_NAME_HEADERS,
     MEASURE_VALUE_HEADERS,
     ORDERS_HEADERS,
     REQUESTS_HEADERS,
     SCHEMAS,
+    SELF_FILLED,
     STOCK_HEADERS,
 )
 from botiquin.functions.dates import date_text, parse_dates
 from botiquin.functions.numbers import normalize_id, read_number
 from botiquin.functions.text import strip_ws, tokens_to_null
 from botiquin.operators.dedupe import keep_first, keep_newest_date
-from botiquin.operators.quality import validate
+from botiquin.operators.quality import Watched
 from botiquin.session import remove_dir, work_dir
 from botiquin.sources.csv import (
     ROW,
     excess_rows,
     find_files,
+    hidden_files,
     read_extract,
     with_clean_headers,
 )
@@ -113,7 +117,14 @@ def _numbers(df: DataFrame, table: str, columns: Sequence[str], zero: bool) -> D
     return df.withColumns({c: number(c) for c in columns if c in df.columns})
 
 
-def clean_orders(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
+def _done(df: DataFrame, keep_row: bool) -> DataFrame:
+    """Without the place of the rows, unless it is asked for."""
+    return df if keep_row else df.drop(ROW)
+
+
+def clean_orders(
+    raw: DataFrame, strict_first_format: bool = False, keep_row: bool = False
+) -> DataFrame:
     """Texts never null, numbers never null, dates as dd/mm/yyyy text, newest order date kept.
     (FN-2, FN-6, FN-9, FN-11, WIN-4)
 
@@ -128,42 +139,43 @@ def clean_orders(raw: DataFrame, strict_first_format: bool = False) -> DataFrame
     df = _texts(df, keys, empty=True)
     df = parse_dates(df, early, strict_first_format)
     df = keep_newest_date(df, keys, F.col("fecha_oc") if "fecha_oc" in dates else None, ROW)
-    df = _texts(df.drop(ROW), _ORDERS_TEXT, but=keys, empty=True)
+    df = _texts(_done(df, keep_row), _ORDERS_TEXT, but=keys, empty=True)
     df = _numbers(df, "ordenes", _ORDERS_NUMBERS, zero=True)
     df = parse_dates(df, [c for c in dates if c not in early])
     return _apply(df, dates, date_text)
 
 
-def clean_execution(raw: DataFrame) -> DataFrame:
+def clean_execution(raw: DataFrame, keep_row: bool = False) -> DataFrame:
     """Texts blank to null, then the first row per item, numbers never null.
     (FN-1, WIN-5, FN-6)"""
     keys = KEYS["ejecucion"]
     df = select_mapped(with_clean_headers(raw), EXECUTION_HEADERS, ROW)
-    df = keep_first(_texts(df, keys), keys, ROW).drop(ROW)
+    df = _done(keep_first(_texts(df, keys), keys, ROW), keep_row)
     df = _texts(df, _EXECUTION_TEXT, but=keys)
     return _numbers(df, "ejecucion", _EXECUTION_NUMBERS, zero=True)
 
 
-def clean_stock(raw: DataFrame) -> DataFrame:
+def clean_stock(raw: DataFrame, keep_row: bool = False) -> DataFrame:
     """Code never null, first row per code, missing columns added, the rest blank to null.
     (FN-2, WIN-6, PRJ-5, FN-3, FN-7)"""
     keys = KEYS["stock_critico"]
     df = select_mapped(with_clean_headers(raw), STOCK_HEADERS, ROW)
-    df = keep_first(_texts(df, keys, empty=True), keys, ROW).drop(ROW)
+    df = _done(keep_first(_texts(df, keys, empty=True), keys, ROW), keep_row)
     df = add_missing(df, {"stock_hosp": "string", "oc": "string"})
     df = _texts(df, _STOCK_TEXT)
     return _numbers(df, "stock_critico", _STOCK_NUMBERS, zero=False)
 
 
-def clean_requests(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
+def clean_requests(
+    raw: DataFrame, strict_first_format: bool = False, keep_row: bool = False
+) -> DataFrame:
     """First row per request and code as written, then blank to null throughout.
     (WIN-7, FN-1, FN-7, FN-9)"""
     df = select_mapped(with_clean_headers(raw), REQUESTS_HEADERS, ROW)
     if {"nro_pedido", "codigo"} <= set(df.columns):
         df = keep_first(df, KEYS["pedidos"], ROW)
-    df = _texts(df.drop(ROW), _REQUESTS_TEXT)
-    df = _numbers(df, "pedidos", _REQUESTS_NUMBERS, zero=False)
-    return parse_dates(df, ["fecha_pedido", "fecha_oc"], strict_first_format)
+    df = _numbers(_texts(df, _REQUESTS_TEXT), "pedidos", _REQUESTS_NUMBERS, zero=False)
+    return _done(parse_dates(df, ["fecha_pedido", "fecha_oc"], strict_first_format), keep_row)
 
 
 def keep_measure(raw: DataFrame) -> DataFrame:
@@ -176,15 +188,16 @@ def keep_measure(raw: DataFrame) -> DataFrame:
     return kept.withColumnRenamed(value, "stock_disponible")
 
 
-def clean_expiry(raw: DataFrame, strict_first_format: bool = False) -> DataFrame:
+def clean_expiry(
+    raw: DataFrame, strict_first_format: bool = False, keep_row: bool = False
+) -> DataFrame:
     """First lot per code, depot and date as written, then texts blank to null, stock never
     null. (FIL-1, WIN-8, FN-1, FN-6, FN-9)"""
     df = keep_measure(with_clean_headers(raw))
     df = select_mapped(df, EXPIRY_HEADERS, ROW)
-    df = keep_first(df, KEYS["vencimientos_parques"], ROW).drop(ROW)
-    df = _texts(df, _EXPIRY_TEXT)
+    df = _texts(keep_first(df, KEYS["vencimientos_parques"], ROW), _EXPIRY_TEXT)
     df = _numbers(df, "vencimientos_parques", ["stock_disponible"], zero=True)
-    return parse_dates(df, ["fec_vencimiento"], strict_first_format)
+    return _done(parse_dates(df, ["fec_vencimiento"], strict_first_format), keep_row)
 
 
 @dataclass(frozen=True)
@@ -204,15 +217,11 @@ EXTRACTS: Mapping[str, Extract] = {
 }
 
 
-def split_bad_ids(df: DataFrame, dtype: str = "bigint") -> tuple[DataFrame, DataFrame]:
-    """Rows whose id_llamado is a number, with it as one, and the rows to set aside. (FN-23)
-
-    Blank ids are kept as null.
-    """
-    number = normalize_id(F.col("id_llamado"), dtype)
-    blank = F.coalesce(F.trim("id_llamado"), F.lit("")) == ""
-    good = df.where(number.isNotNull() | blank).withColumn("id_llamado", number)
-    return good, df.where(number.isNull() & ~blank)
+def unusable_id(dtype: str = "bigint") -> Column:
+    """Whether a row's id_llamado is neither a number of the type nor blank. (FN-23)"""
+    return normalize_id(F.col("id_llamado"), dtype).isNull() & (
+        F.coalesce(F.trim("id_llamado"), F.lit("")) != ""
+    )
 
 
 @dataclass(frozen=True)
@@ -220,7 +229,8 @@ class Loaded:
     """What became of one extract.
 
     ``set_aside`` counts rows with an unusable id and rows with too many cells, ``misfits`` cells
-    that do not fit their column's type, ``omitted`` the target columns the extract does not bring.
+    that do not fit their column's type, ``omitted`` the target columns the extract does not bring,
+    ``hidden`` names the files that a file of exactly the extract's name keeps from being read.
     """
 
     name: str
@@ -231,6 +241,17 @@ class Loaded:
     misfits: int = 0
     omitted: tuple[str, ...] = ()
     findings: tuple[str, ...] = ()
+    hidden: tuple[str, ...] = ()
+
+
+_ASIDE = "_aparte"
+
+
+def _load_order() -> Column:
+    """A row's place as the loaded tables keep it; the store adds the number of the batch."""
+    row = F.col(ROW)
+    place = {"carga": F.lit(None).cast("bigint"), "archivo": row["file"], "bloque": row["block"], "fila": row["n"]}
+    return F.struct(*[c.alias(name) for name, c in place.items()])
 
 
 def load_extract(
@@ -242,47 +263,78 @@ def load_extract(
 ) -> Loaded:
     """Clean an extract and replace its table; rows with an unusable id go to
     ``<table>_apartados``, rows with more cells than the header to ``<table>_sobrantes``.
-    (SNK-1, SNK-2, DQ-1 to DQ-3)"""
+    (SNK-1, SNK-2, DQ-1 to DQ-3)
+
+    The tables become visible together or not at all; a load without rows changes none of them.
+    Findings and misfits are counted while the cleaned rows are staged, and the staged copy is read
+    once: the rows of the table and those set aside lie in partitions of their own.
+    """
     extract = EXTRACTS[name]
     target = target or SCHEMAS[extract.table]
-    cleaned, aside = extract.clean(raw), 0
-    # The extract is read and deduped once; what follows starts from the written copy.
+    cleaned = extract.clean(raw, keep_row=True)
+    has_id = "id_llamado" in cleaned.columns
+    kind = target["id_llamado"].dataType.simpleString() if has_id else ""
+    aside = unusable_id(kind) if has_id else F.lit(False)
+    own = cleaned.drop(ROW)
+    # Fails before anything is written if the extract has no column of the target.
+    fit_to(own, target)
+    lost = F.sum(F.when(~aside, misfits(own.drop("id_llamado"), target)).otherwise(0))
+    watched = Watched(
+        cleaned, extract.table, [c for c in KEYS[extract.table] if c in cleaned.columns], {"misfits": lost}
+    )
     staged = work_dir(store.spark, f"load-{name}")
-    cleaned.write.parquet(staged)
-    df = store.spark.read.schema(cleaned.schema).parquet(staged)
-    findings = validate(df, extract.table, [c for c in KEYS[extract.table] if c in df.columns])
-    if "id_llamado" in df.columns:
-        kind = target["id_llamado"].dataType.simpleString()
-        df, bad = split_bad_ids(df, kind)
-        # May become empty: a clean load leaves nothing of an earlier one's rejects.
-        aside = store.refresh(f"{extract.table}_apartados", bad, allow_empty=True)
+    watched.frame.withColumn(_ASIDE, aside).write.partitionBy(_ASIDE).parquet(staged)
+    schema = T.StructType([*cleaned.schema.fields, T.StructField(_ASIDE, T.BooleanType())])
+    df = store.spark.read.schema(schema).parquet(staged)
+    staged_rows = df.count()
+    good, bad = df.where(~F.col(_ASIDE)), df.where(F.col(_ASIDE))
+    if has_id:
+        good = good.withColumn("id_llamado", normalize_id(F.col("id_llamado"), kind))
+    ordered = LOAD_ORDER_COLUMN in target.names and ROW in cleaned.columns
+    if ordered:
+        good = good.withColumn(LOAD_ORDER_COLUMN, _load_order())
+    fitted, omitted = fit_to(good, target)
+    load = store.load(extract.table)
+    rows = load.write(extract.table, stamp_defaults(fitted, target))
+    set_aside = 0
+    if has_id:
+        # May be empty: a clean load leaves nothing of an earlier one's rejects.
+        set_aside += load.write(f"{extract.table}_apartados", bad.drop(_ASIDE, ROW))
     if excess is not None:
-        aside += store.refresh(f"{extract.table}_sobrantes", excess, allow_empty=True)
-    fitted, omitted = fit_to(df, target)
-    lost = df.agg(F.sum(misfits(df, target)).alias("n")).first()["n"] or 0
-    rows = store.refresh(extract.table, stamp_defaults(fitted, target))
+        set_aside += load.write(f"{extract.table}_sobrantes", excess)
+    if rows:
+        load.commit()
     remove_dir(store.spark, staged)
+    findings = watched.findings(staged_rows)
     return Loaded(
-        name, extract.table, "OK" if rows else "VACIO", rows, aside, lost, tuple(omitted),
-        (*findings.errors, *findings.warnings),
+        name, extract.table, "OK" if rows else "VACIO", rows, set_aside,
+        watched.figures(staged_rows)["misfits"], tuple(omitted), (*findings.errors, *findings.warnings),
     )
 
 
+def _load_one(spark: SparkSession, folder: str, store: TableStore, name: str) -> Loaded:
+    files, table = find_files(spark, folder, name), EXTRACTS[name].table
+    hidden = tuple(hidden_files(spark, folder, name))
+    if not files:
+        return Loaded(name, table, "OMITIDO", 0, 0)
+    try:
+        raw, excess = read_extract(spark, files), excess_rows(spark, files)
+        return replace(load_extract(store, name, raw, excess=excess), hidden=hidden)
+    except Exception as error:  # noqa: BLE001 - reported per extract, as the others go on
+        return Loaded(name, table, f"ERROR: {error}", 0, 0, hidden=hidden)
+
+
 def load_folder(
-    spark: SparkSession, folder: str, store: TableStore, names: Sequence[str] = LOAD_ORDER
+    spark: SparkSession,
+    folder: str,
+    store: TableStore,
+    names: Sequence[str] = LOAD_ORDER,
+    at_once: int = len(LOAD_ORDER),
 ) -> list[Loaded]:
-    """Load the extracts found in a folder in their fixed order, each from all its files; missing
-    extracts are skipped and a failing one does not stop the rest. (SRC-7, SRC-8)"""
-    results = []
-    for name in names:
-        files = find_files(spark, folder, name)
-        table = EXTRACTS[name].table
-        if not files:
-            results.append(Loaded(name, table, "OMITIDO", 0, 0))
-            continue
-        try:
-            raw, excess = read_extract(spark, files), excess_rows(spark, files)
-            results.append(load_extract(store, name, raw, excess=excess))
-        except Exception as error:  # noqa: BLE001 - reported per extract, as the others go on
-            results.append(Loaded(name, table, f"ERROR: {error}", 0, 0))
-    return results
+    """Load the extracts found in a folder, each from all its files, and report them in their fixed
+    order; missing extracts are skipped and a failing one does not stop the rest. (SRC-7, SRC-8)
+
+    The extracts fill tables of their own, so ``at_once`` of them share the cluster.
+    """
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(lambda name: _load_one(spark, folder, store, name), names))

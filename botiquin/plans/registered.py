@@ -14,16 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from botiquin.contracts import BOARD_TITLES, ITEM_KEY
+from botiquin.contracts import BOARD_TITLES, ITEM_KEY, SCHEMAS
 from botiquin.functions import dates, numbers, stock, text
-from botiquin.operators import dedupe, filters, merge, paging, quality
+from botiquin.operators import dedupe, filters, merge, paging, quality, reconcile
 from botiquin.plans import kpis, loads, roles, sync
 from botiquin.plans.board import BoardInputs, board, pending_delivery, unexpired_stock
 from botiquin.plans.roles import AS_OF, ITEM, Tables
 from botiquin.session import work_dir
 from botiquin.sources import csv, headers
 from botiquin.sources.csv import ROW
-from botiquin.sources.store import TableStore
+from botiquin.sources.store import TableStore, fit_to, stamp_defaults
 from botiquin.streaming.incremental import follow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,15 @@ def board_page(t: Tables) -> DataFrame:
     return paging.page(whole_board(t, *columns), ("id_llamado", "item"), number=3, size=200)
 
 
+@query
+def board_page_deep(t: Tables) -> DataFrame:
+    """The last full page of 200 rows, read from a sorted copy by its place."""
+    columns = ("id_llamado", "licitacion", "codigo", "item", "nivel_stock")
+    path = work_dir(t.spark, "paginas")
+    index = paging.PageIndex.build(whole_board(t, *columns), ("id_llamado", "item"), path, ranges=16)
+    return index.page(index.total // 200, 200)
+
+
 @query
 def board_page_after(t: Tables) -> DataFrame:
     columns = ("id_llamado", "licitacion", "codigo", "item", "nivel_stock")
@@ -175,6 +184,42 @@ def dedupe_orders(t: Tables) -> DataFrame:
     return dedupe.delete_older(roles.orders(t), keys).drop("id")
 
 
+@query
+def dedupe_orders_five_keys(t: Tables) -> DataFrame:
+    """The whole key over orders that came twice: an older copy with another balance beside each
+    order of a closed line, with its padding."""
+    orders = roles.orders(t)
+    older = F.struct(F.lit(0).alias("vez"), F.col("id").alias("fila"))
+    newer = F.struct(F.lit(1).alias("vez"), F.col("id").alias("fila"))
+    again = orders.where(F.col("llamado").startswith(" ")).withColumns(
+        {"id": older, "saldo": (F.col("saldo") + 1).cast("decimal(18,6)"),
+         "codigo": F.concat(F.lit(" "), "codigo"), "item": F.concat("item", F.lit("  "))}
+    )
+    both = orders.withColumn("id", newer).unionByName(again)
+    return dedupe.delete_older(both, ("id_llamado", "llamado", "codigo", "item", "oc")).drop("id")
+
+
+@query
+def append_newest_wins(t: Tables) -> DataFrame:
+    """Execution loaded from accepted lines, then appended to twice: of each item the row of the
+    newest batch counts, whatever is in it."""
+    store = TableStore(t.spark, work_dir(t.spark, "lotes"))
+    schema = SCHEMAS["ejecucion"]
+    for nth, flag in enumerate("ANR"):
+        part = Tables(t.spark, t.folder)
+        part.lineitem = t.lineitem.where(F.col("l_returnflag") == flag)
+        batch = roles.execution(part, names=False)
+        rows = stamp_defaults(fit_to(dedupe.keep_latest(batch, ITEM), schema)[0], schema)
+        if nth:
+            store.append("ejecucion", rows)
+        else:
+            store.refresh("ejecucion", rows)
+    return dedupe.latest_items(store.read("ejecucion"), ITEM).select(
+        F.col("id_llamado").cast("bigint").alias("id_llamado"), "licitacion", "codigo", "item",
+        "cantidad_maxima", "monto_total", "fecha_ejecucion",
+    )
+
+
 @query
 def dedupe_by_date(t: Tables) -> DataFrame:
     """Newest order date per order, item and code, dateless last, then input order."""
@@ -464,15 +509,21 @@ def coerce_dates(t: Tables) -> DataFrame:
 
 @query
 def coerce_dates_strict(t: Tables) -> DataFrame:
-    """One format per column: the mixed column keeps d/M/yyyy only, the other is all dashes."""
+    """One format per column, that of the first line: the mixed column keeps dates with slashes, the
+    one that begins with the year first keeps those, the third is all dashes."""
+    first_lines = F.struct("l_linenumber", roles.line_order())
     df = t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
+        first_lines.alias("orden"),
         _date_texts().alias("mezclada"),
+        F.when(F.col("l_linenumber") % 3 == 1, F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("iso_primero"),
         F.date_format("l_shipdate", "dd-MM-yyyy").alias("guiones"),
         F.lit("sin dato").alias("nada"),
     )
-    return dates.parse_dates(df, ["mezclada", "guiones", "nada"], strict_first_format=True)
+    columns = ["mezclada", "iso_primero", "guiones", "nada"]
+    return dates.parse_dates(df, columns, strict_first_format=True, order=F.col("orden")).drop("orden")
 
 
 @query
@@ -792,10 +843,7 @@ def upsert_contracts(t: Tables) -> DataFrame:
     return merge.upsert(base, merge.contract_edits(edits), ["id_llamado"])
 
 
-@query
-def changed_rows(t: Tables) -> DataFrame:
-    """Requests whose quantity or date an edit changed."""
-    keys = ["id_llamado", "licitacion", "codigo", "item"]
+def _edited_requests(t: Tables) -> tuple[DataFrame, DataFrame]:
     original = roles.requested(t)
     edited = original.withColumns(
         {
@@ -806,7 +854,19 @@ def changed_rows(t: Tables) -> DataFrame:
             "comentario": F.col("comentario"),
         }
     )
-    return merge.changed_rows(edited, original, keys)
+    return edited, original
+
+
+@query
+def changed_rows(t: Tables) -> DataFrame:
+    """Requests whose quantity or date an edit changed."""
+    return merge.changed_rows(*_edited_requests(t), list(ITEM_KEY))
+
+
+@query
+def changed_rows_by_digest(t: Tables) -> DataFrame:
+    """The same found by keys and digests; cells travel for changed keys only."""
+    return reconcile.changed_rows_by_digest(*_edited_requests(t), list(ITEM_KEY))
 
 
 @query
@@ -824,24 +884,23 @@ def incremental_delta(t: Tables) -> DataFrame:
 
 @query
 def incremental_stream(t: Tables) -> DataFrame:
-    """The event log as a stream of files that come out of time order, a batch each, merged into
-    a table of the newest per user and kind."""
+    """The event log as a stream of files that come out of time order, a third of it between runs,
+    merged into a table of the newest per user and kind."""
     root = work_dir(t.spark, "stream")
     store = TableStore(t.spark, f"{root}/tablas")
-    # Thirds of the log by hour of the day, so each batch has rows older and newer than the last.
+    # Thirds of the log by hour of the day, so each run has rows older and newer than the last.
     for third in (2, 0, 1):
         part = t.events.where(F.floor(F.hour("ts") / 8) == third)
-        part.coalesce(1).write.mode("append").parquet(f"{root}/llegadas")
-    follow(
-        t.spark,
-        f"{root}/llegadas",
-        t.events.schema,
-        store,
-        "novedades",
-        ["user_id", "event_type"],
-        newest=("ts", "event_id"),
-        files_per_batch=1,
-    ).awaitTermination()
+        part.write.mode("append").parquet(f"{root}/llegadas")
+        follow(
+            t.spark,
+            f"{root}/llegadas",
+            t.events.schema,
+            store,
+            "novedades",
+            ["user_id", "event_type"],
+            newest=("ts", "event_id"),
+        ).awaitTermination()
     return store.read("novedades")
 
 
@@ -894,6 +953,63 @@ def load_folder_many_files(t: Tables) -> DataFrame:
     return store.read("pedidos").select("nro_pedido", "codigo", "prioridad", "estado", "fecha_pedido")
 
 
+@query
+def load_folder_all_kinds(t: Tables) -> DataFrame:
+    """One folder with an extract of each kind, all loaded at once: key and quantity of every row, and
+    of those set aside."""
+    root = work_dir(t.spark, "carpeta")
+    lines = roles.lines_of_orders(t).dropDuplicates(["l_orderkey", "l_linenumber"]).select(
+        F.col("l_orderkey").cast("string").alias("pedido"), F.col("l_linenumber").cast("string").alias("linea")
+    )
+    shipped = t.orders.select(
+        F.concat(F.lit("OC-"), "o_orderkey").alias("OC"),
+        F.when(F.col("o_orderstatus") == "P", "LL-").otherwise("").alias("marca"),
+        F.col("o_orderkey"), F.lit("1").alias("Item"), F.col("o_custkey").cast("string").alias("Codigo"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("Saldo"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Fecha OC"),
+    )
+    extracts = {
+        "ordenes": shipped.select(
+            F.concat("marca", F.col("o_orderkey").cast("string")).alias("Id.Llamado"),
+            "OC", "Item", "Codigo", "Saldo", "Fecha OC",
+        ),
+        "ejecucion": lines.select(
+            F.col("pedido").alias("Id. Llamado"), F.lit("L").alias("Licitación"),
+            F.concat(F.lit("K"), "linea").alias("Codigo"), F.col("linea").alias("Item"),
+            F.col("linea").alias("Cantidad Máxima"),
+        ),
+        "stock": t.part.select(
+            F.col("p_partkey").cast("string").alias("Código"), F.col("p_name").alias("Producto"),
+            F.col("p_size").cast("string").alias("DMP"),
+        ),
+        "pedidos": t.orders.select(
+            F.col("o_orderkey").cast("string").alias("Nro. Pedido"),
+            F.col("o_custkey").cast("string").alias("Código"), F.col("o_orderstatus").alias("Estado"),
+            F.lit("3").alias("Cantidad"),
+        ),
+        "vencimientos_parques": t.part.select(
+            F.col("p_partkey").cast("string").alias("codigo"), F.lit("Central").alias("parque"),
+            F.lit("31/12/2030").alias("fec_vencimiento"), F.col("p_size").cast("string").alias("stock_disponible"),
+        ),
+    }
+    for name, rows in extracts.items():
+        rows.write.csv(f"{root}/{name}.csv", header=True)
+    store = TableStore(t.spark, f"{root}/tablas")
+    loads.load_folder(t.spark, root, store)
+    wanted = {
+        "ordenes": ("oc", "saldo"), "ordenes_apartados": ("oc", "saldo"), "ejecucion": ("codigo", "cantidad_maxima"),
+        "stock_critico": ("codigo", "dmp"), "pedidos": ("nro_pedido", "cantidad"),
+        "vencimientos_parques": ("codigo", "stock_disponible"),
+    }
+    parts = [
+        store.read(name).select(
+            F.lit(name).alias("tabla"), F.col(key).alias("clave"), F.col(value).cast("double").alias("valor")
+        )
+        for name, (key, value) in wanted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def lower_headers(t: Tables) -> DataFrame:
     """Column names in capitals, brought to lower case."""
@@ -921,6 +1037,28 @@ def sync_verify(t: Tables) -> DataFrame:
     return sync.verify(source, target, list(tables))
 
 
+@query
+def sync_content_verify(t: Tables) -> DataFrame:
+    """Requests and stock copied to a store where some cells then change and one kind of order is
+    replaced by as many others: counts agree, contents do not."""
+    root = work_dir(t.spark, "contenido")
+    source, target = TableStore(t.spark, f"{root}/origen"), TableStore(t.spark, f"{root}/destino")
+    requests, stock_rows = roles.requests(t), roles.stock(t)
+    large, small = F.col("cantidad_solicitada") > 490_000, F.col("cantidad_solicitada") < 6_000
+    copied = requests.withColumns({
+        "prioridad": F.when(large, "X").otherwise(F.col("prioridad")),
+        "cantidad_pendiente": F.when(large, F.coalesce("cantidad_pendiente", F.lit(0)) + 1)
+        .otherwise(F.col("cantidad_pendiente")).cast("decimal(18,2)"),
+        "nro_pedido": F.when(small, F.concat(F.lit("N"), "nro_pedido")).otherwise(F.col("nro_pedido")),
+    })
+    for store, rows in ((source, requests), (target, copied)):
+        store.refresh("pedidos", rows)
+        store.refresh("stock_critico", stock_rows)
+    return sync.verify_content(
+        source, target, {"pedidos": ("nro_pedido", "codigo"), "stock_critico": ("codigo",)}
+    )
+
+
 @query
 def smoke_run(t: Tables) -> DataFrame:
     """Requests and lots in a fresh store, one of them copied to another."""

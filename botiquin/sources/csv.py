@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import csv
 import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,12 @@ from botiquin.sources.headers import clean_headers, quoted
 
 # Fixed value: separators in the order they are tried.
 SEPARATORS = (",", ";", "\t", "|")
-_BOM_AS_LATIN1 = "ï»¿"
+# What Windows-1252 writes as the bytes 128 to 159, which Latin-1 has no text for;
+# five of them stand for nothing and stay.
+_WINDOWS = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+_CONTROLS = "".join(map(chr, range(128, 160)))
+# Lines of a file's beginning that are looked at for its header at a time.
+_HEADER_LINES = 64
 # Position of a row in its extract; see read_extract.
 ROW = "_row"
 
@@ -30,6 +38,16 @@ def find_files(spark: SparkSession, folder: str, name: str, suffix: str = ".csv"
     return sorted(status.getPath().toString() for status in found)
 
 
+def hidden_files(spark: SparkSession, folder: str, name: str, suffix: str = ".csv") -> list[str]:
+    """Files with the name inside theirs that are not read, as one of exactly that name is there. (SRC-7)"""
+    chosen = find_files(spark, folder, name, suffix)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(f"{folder}/*{name}*{suffix}")) or []
+    names = sorted(status.getPath().getName() for status in found)
+    return [n for n in names if n not in {c.rsplit("/", 1)[-1] for c in chosen}]
+
+
 def sniff_separator(header: str) -> str:
     """The first separator that splits the header line into more than one name. (SRC-2)"""
     bare = re.sub(r'"[^"]*"', "", header)
@@ -37,45 +55,58 @@ def sniff_separator(header: str) -> str:
 
 
 def _decoded(c: Column, is_utf8: Column) -> Column:
-    """Text whose bytes were read as Latin-1, put right where they are UTF-8."""
+    """Text whose bytes were read as Latin-1, put right where they are UTF-8 or Windows-1252."""
     as_utf8 = F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")
-    return F.when(is_utf8, as_utf8).otherwise(c)
+    return F.when(is_utf8, as_utf8).otherwise(F.translate(c, _CONTROLS, _WINDOWS))
 
 
 def _has_valid_utf8(c: Column) -> Column:
     return F.is_valid_utf8(F.encode(c, "ISO-8859-1").cast("string"))
 
 
-def _decoded_text(raw: str) -> str:
+def _decoded_text(raw: bytes) -> str:
     try:
-        return raw.encode("latin-1").decode("utf-8")
+        return raw.decode("utf-8")
     except UnicodeDecodeError:
-        return raw
+        return raw.decode("latin-1").translate(str.maketrans(_CONTROLS, _WINDOWS))
 
 
-def first_record(spark: SparkSession, path: str) -> str:
-    """The header record of a file as Latin-1 text, with line breaks inside quotes."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark._jsc.hadoopConfiguration()
-    ).getCodec(where)
-    stream = fs.open(where)
-    try:
-        plain = codec.createInputStream(stream) if codec is not None else stream
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "ISO-8859-1"))
-        record = lines.readLine()
-        if record is None:
-            raise ValueError(f"no header line in {path}")
-        while record.count('"') % 2:
-            line = lines.readLine()
-            if line is None:
-                break
-            record += "\n" + line
-        return record
-    finally:
-        stream.close()
+def first_records(spark: SparkSession, paths: list[str]) -> dict[str, bytes]:
+    """The header record of each file, with line breaks inside quotes. (SRC-2)
+
+    One job reads the files, each in a task of its own that stops behind the record; a row per
+    file reaches the driver, which has the files' names anyway.
+    """
+
+    def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines: list[bytes] = []
+        where = None
+        for batch in batches:
+            for path, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                where = path
+                lines.append(line)
+                if b"".join(lines).count(b'"') % 2 == 0:
+                    yield pa.RecordBatch.from_pydict(
+                        {"path": pa.array([path]), "record": pa.array([b"\n".join(lines)], pa.binary())}
+                    )
+                    return
+        if lines:
+            yield pa.RecordBatch.from_pydict(
+                {"path": pa.array([where]), "record": pa.array([b"\n".join(lines)], pa.binary())}
+            )
+
+    # A session of its own, so that other reads keep their settings: here a file is one split and a
+    # split one task, whatever its size, and few lines go to Python at once.
+    probe = spark.newSession()
+    for name, value in {
+        "spark.sql.files.maxPartitionBytes": 1 << 50,
+        "spark.sql.files.openCostInBytes": 1 << 50,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": _HEADER_LINES,
+    }.items():
+        probe.conf.set(name, str(value))
+    texts = probe.read.text(paths).select(F.col("_metadata.file_path"), F.col("value").cast("binary"))
+    found = texts.mapInArrow(record, "path string, record binary").collect()
+    return {row["path"]: bytes(row["record"]) for row in found}
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
@@ -94,14 +125,23 @@ def _header_groups(
 ) -> dict[tuple[str, tuple[str, ...], bool], list[str]]:
     """Files by separator, headers and whether the header takes several lines."""
     groups: dict[tuple[str, tuple[str, ...], bool], list[str]] = {}
+    records = {_plain(path): record for path, record in first_records(spark, paths).items()}
     for path in paths:
-        record = _decoded_text(first_record(spark, path).removeprefix(_BOM_AS_LATIN1))
+        found = records.get(_plain(path))
+        if not found or not found.strip(b"\xef\xbb\xbf\r"):
+            raise ValueError(f"no header line in {path}")
+        record = _decoded_text(found.removeprefix(b"\xef\xbb\xbf")).rstrip("\r")
         own = sep or sniff_separator(record)
         headers = tuple(clean_headers(next(csv.reader([record], delimiter=own))))
         groups.setdefault((own, headers, "\n" in record), []).append(path)
     return groups
 
 
+def _plain(path: str) -> str:
+    """A path without its file system, and with characters instead of their escapes."""
+    return unquote(re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path))
+
+
 def read_extract(
     spark: SparkSession,
     path: str | list[str],

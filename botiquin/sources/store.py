@@ -1,15 +1,17 @@
-"""Tables as Parquet folders, one folder per full refresh.
+"""Tables as Parquet folders whose files Spark lays out and replaces.
 
-A refresh writes a new folder next to the one being read and marks it ready once Spark has
-committed it, so a job may read a table and replace it, and a lost executor or driver leaves the
-last ready folder in force. A merge by key writes only the hash buckets it touches and lists the
-others where they are.
+A load writes all its tables into one new folder and makes them visible together by one marker, so a
+job may read a table and replace it, and a load that is lost half way leaves the last one in force,
+with its rejects and all. Inside a load's folder a table is partitioned, by Spark's own folders: by
+the number of the batch that brought the rows (a refresh is the first batch, appends follow) or,
+once rows have been merged by key, by a hash bucket of the key. Appends and merges write partitions
+by Spark's dynamic partition overwrite, which moves a finished folder into place, and touch no other.
+
+There is one writer at a time.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -17,13 +19,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from botiquin.contracts import SELF_FILLED
+from botiquin.contracts import LOAD_ORDER_COLUMN, SELF_FILLED
 from botiquin.operators.merge import upsert
-from botiquin.session import remove_dir, work_dir
+from botiquin.session import work_dir
 
 _READY = "_READY"
-_LAYOUT = "_LAYOUT"
-_BUCKET = "cubo"
+_BATCH = "_lote"
+_BUCKET = "_cubo"
+
+
+def bucket_column(keys: Sequence[str], buckets: int) -> str:
+    """The partition column of a merged table; its name says by what rows are dealt."""
+    return "__".join([_BUCKET, str(buckets), *keys])
+
+
+def _dealt_by(column: str) -> tuple[list[str], int]:
+    _, buckets, *keys = column.split("__")
+    return keys, int(buckets)
+
+
+def _bucket(column: str) -> Column:
+    keys, buckets = _dealt_by(column)
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(column)
 
 
 class TableStore:
@@ -35,71 +52,104 @@ class TableStore:
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _versions(self, table: str) -> list[int]:
-        found = self._fs.globStatus(self._path(f"{self.root}/{table}/v*")) or []
-        names = [status.getPath().getName()[1:] for status in found]
-        return sorted(int(name) for name in names if name.isdigit())
+    def _found(self, pattern: str) -> list[str]:
+        statuses = self._fs.globStatus(self._path(f"{self.root}/{pattern}")) or []
+        return sorted(status.getPath().toString() for status in statuses)
+
+    def _exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
 
-    def _folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:010d}"
+    def _loads(self, group: str, complete: bool = True) -> list[str]:
+        """Folders of a group's loads, the oldest first."""
+        found = self._found(f"{group}/v*/{_READY}" if complete else f"{group}/v*")
+        return [path.removesuffix(f"/{_READY}") for path in found]
 
     def path(self, table: str) -> str | None:
-        """Folder of the newest complete refresh."""
-        for version in reversed(self._versions(table)):
-            folder = self._folder(table, version)
-            if self._fs.exists(self._path(f"{folder}/{_READY}")):
-                return folder
+        """Folder of a table in the newest complete load of its group.
+
+        A table's group has its name, unless it came beside another table.
+        """
+        groups = sorted({path.rsplit("/", 3)[1] for path in self._found(f"*/v*/{table}")})
+        for group in sorted(groups, key=lambda g: g != table):
+            newest = self._loads(group)[-1:]
+            if newest and self._exists(f"{newest[0]}/{table}"):
+                return f"{newest[0]}/{table}"
         return None
 
     def exists(self, table: str) -> bool:
         return self.path(table) is not None
 
+    def _partitions(self, folder: str) -> tuple[str, list[str]]:
+        """The partition column of a table and its values."""
+        names = [path.rsplit("/", 1)[1] for path in self._found(folder.removeprefix(f"{self._base()}/") + "/_*=*")]
+        column = names[0].split("=")[0] if names else _BATCH
+        return column, [name.split("=")[1] for name in names]
+
+    def _base(self) -> str:
+        """The root as the file system spells it."""
+        return self._fs.makeQualified(self._path(self.root)).toString()
+
+    def _rows(self, folder: str) -> tuple[DataFrame, str]:
+        """A table's rows with its partition column, and that column."""
+        self._finish(folder)
+        return self.spark.read.parquet(folder), self._partitions(folder)[0]
+
     def read(self, table: str) -> DataFrame:
         """The whole table. (SRC-3, SRC-4)"""
         folder = self.path(table)
         if folder is None:
             raise ValueError(f"no table {table} below {self.root}")
-        layout = self._layout(folder)
-        if layout is None:
-            return self.spark.read.parquet(folder, *self._deltas(folder))
-        rows = self._read_buckets(layout, layout["buckets"])
-        deltas = self._deltas(folder)
-        return rows.unionByName(self.spark.read.parquet(*deltas)) if deltas else rows
+        rows, column = self._rows(folder)
+        return rows.drop(column)
 
     def count(self, table: str) -> int:
         return self.read(table).count()
 
+    def load(self, group: str) -> Load:
+        """A new load of a table and those that come beside it."""
+        return Load(self, group)
+
     def refresh(self, table: str, df: DataFrame, allow_empty: bool = False) -> int:
         """Replace the table by the frame and return its row count. (SNK-1)
 
         An empty frame leaves the table as it was. Rows are counted from the written files'
         footers, so the frame is computed once and the number is that of the committed files.
         """
-        folder = self._folder(table, max(self._versions(table), default=0) + 1)
-        df.write.parquet(folder)
-        rows = self.spark.read.schema(df.schema).parquet(folder).count()
+        load = self.load(table)
+        rows = load.write(table, df)
         if rows or allow_empty:
-            self._fs.create(self._path(f"{folder}/{_READY}"), True).close()
+            load.commit()
         return rows
 
-    def _layout(self, folder: str) -> dict | None:
-        """Keys, number of buckets, schema and the folder of each bucket of a merged version."""
-        place = self._path(f"{folder}/{_LAYOUT}")
-        if not self._fs.exists(place):
-            return None
-        stream = self._fs.open(place)
-        try:
-            reader = self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
-            return json.loads(self.spark._jvm.java.io.BufferedReader(reader).readLine())
-        finally:
-            stream.close()
-
-    def _read_buckets(self, layout: dict, wanted: Iterable[str]) -> DataFrame:
-        schema = T.StructType.fromJson(layout["schema"])
-        paths = [layout["buckets"][b] for b in wanted if b in layout["buckets"]]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths).select(*schema.names)
+    def create(self, table: str, schema: T.StructType) -> None:
+        """An empty table with the given columns, if there is none yet."""
+        if not self.exists(table):
+            self.refresh(table, self.spark.createDataFrame([], schema), allow_empty=True)
+
+    def append(self, table: str, df: DataFrame) -> None:
+        """Add rows as the table's next batch. (SNK-3)
+
+        Spark's partitions are the batches of the write. The new folder is moved into place when it
+        is complete, so a job that is lost half way leaves the table as it was. Columns that the
+        frame lacks are null. Rows of a table laid out by key go to its buckets.
+        """
+        folder = self.path(table)
+        if folder is None:
+            self.refresh(table, df)
+            return
+        have, column = self._rows(folder)
+        rows = df.select(
+            *[
+                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in have.schema.fields if f.name != column
+            ]
+        )
+        if column == _BATCH:
+            batch = max((int(value) for value in self._partitions(folder)[1]), default=0) + 1
+            self._overwrite(folder, in_load_order(rows, batch).withColumn(_BATCH, F.lit(batch)), _BATCH)
+            return
+        new = self._staged(rows.withColumn(column, _bucket(column)))
+        self._replace(folder, self._touched(have, new, column).unionByName(new), column)
 
     def merge(
         self,
@@ -111,101 +161,142 @@ class TableStore:
     ) -> int:
         """Insert or update by key, rewriting only the buckets that the updates touch. (SNK-4)
 
-        A merged version holds its rows in folders by a hash of the key and a list of the folder of
-        each bucket; those without updates stay where an earlier version wrote them. The first
-        merge of a table, or one by other keys, lays the whole table out. Returns the rows of the
-        table, counted from the files' footers.
+        The first merge of a table, or one by other keys, lays the whole table out in a new load.
+        Returns the rows of the table, counted from the files' footers.
         """
+        if any("__" in key for key in keys):
+            raise ValueError("names of key columns may not hold two underscores in a row")
         folder = self.path(table)
-        have = self.read(table)
+        if folder is None:
+            raise ValueError(f"no table {table} below {self.root}")
+        have, dealt = self._rows(folder)
+        column = bucket_column(keys, buckets)
         schema = have.schema
-        layout = self._layout(folder) if not self._deltas(folder) else None
-        if layout and (layout["keys"], layout["count"]) != (list(keys), buckets):
-            layout = None
         typed = updates.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
-        if layout:
-            # The updates alone are looked at for their buckets, of which there are few.
-            staged = work_dir(self.spark, f"merge-{table}")
-            typed.write.parquet(staged)
-            typed = self.spark.read.schema(typed.schema).parquet(staged)
-            touched = [str(r[0]) for r in typed.select(bucket).distinct().collect()]
-            base = self._read_buckets(layout, touched)
-        else:
-            base = have
-        merged = upsert(base, typed, keys, newest)
-        version = max(self._versions(table), default=0) + 1
-        target = self._folder(table, version)
-        merged.select("*", bucket).repartition(bucket).write.partitionBy(_BUCKET).parquet(target)
-        found = self._fs.globStatus(self._path(f"{target}/{_BUCKET}=*")) or []
-        new = {s.getPath().getName().split("=")[1]: s.getPath().toString() for s in found}
-        old = layout["buckets"] if layout else {}
-        described = {
-            "keys": list(keys), "count": buckets, "schema": schema.jsonValue(), "buckets": {**old, **new},
-        }
-        stream = self._fs.create(self._path(f"{target}/{_LAYOUT}"), True)
-        stream.write(bytearray(json.dumps(described).encode()))
-        stream.close()
-        self._fs.create(self._path(f"{target}/{_READY}"), True).close()
-        if layout:
-            remove_dir(self.spark, staged)
+        if dealt != column:
+            return self._lay_out(table, folder, upsert(have.drop(dealt), typed, keys, newest), column)
+        new = self._staged(typed.withColumn(column, _bucket(column)))
+        base = self._touched(have, new, column).drop(column)
+        merged = upsert(base, new.drop(column), keys, newest)
+        self._replace(folder, merged.withColumn(column, _bucket(column)), column)
         return self.count(table)
 
-    def create(self, table: str, schema: T.StructType) -> None:
-        """An empty table with the given columns, if there is none yet."""
-        if not self.exists(table):
-            self.refresh(table, self.spark.createDataFrame([], schema), allow_empty=True)
+    def _staged(self, rows: DataFrame) -> DataFrame:
+        """Rows written beside the tables: they may derive from the very table that changes."""
+        path = work_dir(self.spark, "cambios")
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows as a folder of their own beside the refresh they belong to. (SNK-3)
+    def _touched(self, have: DataFrame, new: DataFrame, column: str) -> DataFrame:
+        """The table's rows in the buckets of the new ones; there are as few numbers as buckets."""
+        numbers = [row[0] for row in new.select(column).distinct().collect()]
+        return have.where(F.col(column).isin(numbers))
+
+    def _replace(self, folder: str, rows: DataFrame, column: str) -> None:
+        """Put new contents into a merged table's buckets.
 
-        Spark's partitions are the batches. The folder counts once it is complete, so a job that is
-        lost half way leaves the table as it was.
+        They are complete beside the table first. A job that is lost while Spark moves them into
+        place is finished by whoever reads or writes the table next.
         """
-        folder = self.path(table)
-        if folder is None:
-            self.refresh(table, df)
+        waiting = self._waiting(folder)
+        rows.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(waiting)
+        self._finish(folder)
+
+    def _waiting(self, folder: str) -> str:
+        load, table = folder.rsplit("/", 1)
+        return f"{load}/_pendiente-{table}"
+
+    def _finish(self, folder: str) -> None:
+        """Move complete new contents into place; Spark's own marker says that they are."""
+        waiting = self._waiting(folder)
+        if not self._exists(f"{waiting}/_SUCCESS"):
             return
-        delta = f"{folder}-delta{len(self._deltas(folder)):06d}-{uuid.uuid4().hex}"
-        df.write.parquet(delta)
-        self._fs.create(self._path(f"{delta}/{_READY}"), True).close()
-
-    def _deltas(self, folder: str) -> list[str]:
-        """Complete additions to a refresh, in the order they were made."""
-        found = self._fs.globStatus(self._path(f"{folder}-delta*")) or []
-        paths = sorted(status.getPath().toString() for status in found)
-        return [path for path in paths if self._fs.exists(self._path(f"{path}/{_READY}"))]
-
-    def clean(self, table: str, keep: int = 2) -> list[str]:
-        """Remove all but the newest ``keep`` complete refreshes, with their additions, and what
-        incomplete writes before them left behind. Returns the removed folders.
-
-        Nothing may read the older versions any more when this is called.
+        if self._fs.globStatus(self._path(f"{waiting}/{_BUCKET}*")):
+            rows = self.spark.read.parquet(waiting)
+            self._overwrite(folder, rows.hint("rebalance", F.col(rows.columns[-1])), rows.columns[-1])
+        self._fs.delete(self._path(waiting), True)
+
+    def _overwrite(self, folder: str, rows: DataFrame, column: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(folder)
+
+    def _lay_out(self, table: str, folder: str, rows: DataFrame, column: str) -> int:
+        """A new load of the table's group with the table in buckets and the others as they are."""
+        old = folder.rsplit("/", 1)[0]
+        group = old.rsplit("/", 2)[1]
+        load = self.load(group)
+        others = [path.rsplit("/", 1)[1] for path in self._found(f"{group}/{old.rsplit('/', 1)[1]}/*")]
+        for other in others:
+            if other != table and not other.startswith("_"):
+                load.write(other, self.read(other))
+        written = load.write(table, rows, by=column)
+        load.commit()
+        return written
+
+    def clean(self, group: str, keep: int = 2) -> list[str]:
+        """Remove all but the newest ``keep`` complete loads of a group, and what incomplete ones
+        before them left behind. Returns the removed folders.
+
+        Nothing may read the older ones any more when this is called.
         """
-        ready = [
-            v for v in self._versions(table)
-            if self._fs.exists(self._path(f"{self._folder(table, v)}/{_READY}"))
-        ]
+        ready = self._loads(group)
         if len(ready) < keep or keep < 1:
             return []
-        # Buckets that a kept version still reads from an older one's folder stay.
-        layouts = [self._layout(self._folder(table, version)) for version in ready[-keep:]]
-        used = {path for layout in layouts if layout for path in layout["buckets"].values()}
-        removed = []
-        for version in self._versions(table):
-            if version >= ready[-keep]:
-                continue
-            folder = self._folder(table, version)
-            whole = not any(f"/{folder.rsplit('/', 1)[-1]}/" in path for path in used)
-            pattern = f"{folder}*" if whole else f"{folder}/{_BUCKET}=*"
-            for status in self._fs.globStatus(self._path(pattern)) or []:
-                path = status.getPath().toString()
-                if path not in used:
-                    self._fs.delete(status.getPath(), True)
-                    removed.append(path)
+        removed = [path for path in self._loads(group, complete=False) if path < ready[-keep]]
+        for path in removed:
+            self._fs.delete(self._path(path), True)
         return removed
 
 
+class Load:
+    """New contents of a table and of those that come beside it, visible together once committed."""
+
+    def __init__(self, store: TableStore, group: str):
+        self.store, self.group = store, group
+        folders = store._loads(group, complete=False)
+        numbers = [int(path.rsplit("/v", 1)[1]) for path in folders]
+        # Batches appended to the last load count on from its number.
+        for path in store._loads(group)[-1:]:
+            for table in store._found(f"{group}/{path.rsplit('/', 1)[1]}/*/{_BATCH}=*"):
+                numbers.append(int(table.rsplit("=", 1)[1]))
+        self.number = max(numbers, default=0) + 1
+        self.folder = f"{store._base()}/{group}/v{self.number:010d}"
+
+    def write(self, table: str, df: DataFrame, by: str | None = None) -> int:
+        """A table of this load, laid out by bucket if ``by`` names its column; returns its rows."""
+        folder = f"{self.folder}/{table}"
+        rows = in_load_order(df, self.number)
+        if by is not None:
+            rows.withColumn(by, _bucket(by)).hint("rebalance", F.col(by)).write.partitionBy(by).parquet(folder)
+            if self.store._found(f"{self.group}/v{self.number:010d}/{table}/{by}=*"):
+                return self.store.spark.read.parquet(folder).count()
+            rows = rows.limit(0)
+        # One batch, which has its columns even without rows.
+        rows.write.parquet(f"{folder}/{_BATCH}={self.number}")
+        return self.store.spark.read.parquet(folder).count()
+
+    def commit(self) -> None:
+        """Make all tables of the load visible at once."""
+        self.store._fs.create(self.store._path(f"{self.folder}/{_READY}"), True).close()
+
+
+def in_load_order(df: DataFrame, batch: int) -> DataFrame:
+    """Complete the column that orders rows by load where the frame has it. (WIN-1)
+
+    Rows that come without a batch number get this one; where they do not know their place in the
+    files either, the order in which they are written counts.
+    """
+    if LOAD_ORDER_COLUMN not in df.columns:
+        return df
+    at = F.col(LOAD_ORDER_COLUMN)
+    place = F.struct(
+        F.coalesce(at["carga"], F.lit(batch).cast("bigint")).alias("carga"),
+        at["archivo"].alias("archivo"),
+        at["bloque"].alias("bloque"),
+        F.coalesce(at["fila"], F.monotonically_increasing_id()).alias("fila"),
+    )
+    return df.withColumn(LOAD_ORDER_COLUMN, place)
+
+
 def fit_to(
     df: DataFrame, target: T.StructType, skip: Iterable[str] = SELF_FILLED
 ) -> tuple[DataFrame, list[str]]:

@@ -192,6 +192,9 @@ ORACLE["pending_delivery_by_item"] = _with(ORDERS, PENDING) + """SELECT id_llama
     proveedor, codigo, CAST(pendiente AS DOUBLE) AS pendiente_entrega FROM pending"""
 ORACLE["board_page"] = BOARD + """SELECT id_llamado, licitacion, codigo, item, nivel_stock,
     cobertura_meses FROM board ORDER BY id_llamado, item LIMIT 200 OFFSET 400"""
+ORACLE["board_page_deep"] = BOARD + """SELECT id_llamado, licitacion, codigo, item, nivel_stock
+  FROM board ORDER BY id_llamado, item LIMIT 200
+  OFFSET (SELECT (count(*) // 200 - 1) * 200 FROM board)"""
 ORACLE["board_page_after"] = BOARD + """SELECT id_llamado, licitacion, codigo, item, nivel_stock
   FROM board WHERE id_llamado > 100 OR (id_llamado = 100 AND item > '3')
   ORDER BY id_llamado, item LIMIT 500"""
@@ -223,6 +226,19 @@ ORDER_ROW = """id_llamado, llamado, proveedor, codigo, item, oc, estado,
     CAST(saldo AS DOUBLE) AS saldo, strftime(fecha_orden, '%Y-%m-%d') AS fecha_orden"""
 ORACLE["dedupe_orders"] = _with(ORDERS) + f"""SELECT {ORDER_ROW} FROM ordenes
   QUALIFY row_number() OVER (PARTITION BY llamado, codigo, item, oc ORDER BY {NEWEST}) = 1"""
+ORACLE["dedupe_orders_five_keys"] = _with(ORDERS, """twice AS (
+  SELECT *, 1 AS vez FROM ordenes
+  UNION ALL SELECT * REPLACE (saldo + 1 AS saldo, ' ' || codigo AS codigo, item || '  ' AS item), 0
+  FROM ordenes WHERE l_linestatus = 'O')""") + f"""SELECT {ORDER_ROW} FROM twice
+  QUALIFY row_number() OVER (PARTITION BY id_llamado, llamado, trim(codigo), trim(item), oc
+    ORDER BY vez DESC, {NEWEST}) = 1"""
+ORACLE["append_newest_wins"] = f"""SELECT l_orderkey AS id_llamado, o_orderpriority AS licitacion,
+    CAST(l_partkey AS VARCHAR) AS codigo, CAST(l_linenumber AS VARCHAR) AS item,
+    CAST(l_quantity AS DOUBLE) AS cantidad_maxima, CAST(l_extendedprice AS DOUBLE) AS monto_total,
+    strftime(l_shipdate, '%Y-%m-%d') AS fecha_ejecucion
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, o_orderpriority, l_linenumber
+    ORDER BY strpos('ANR', l_returnflag) DESC, {NEWEST}) = 1"""
 ORACLE["dedupe_by_date"] = f"""SELECT l_suppkey AS oc, l_linenumber AS item, l_quantity AS codigo,
     CASE WHEN l_returnflag <> 'N' THEN strftime(l_shipdate, '%Y-%m-%d') END AS fecha_oc,
     l_extendedprice AS monto_oc
@@ -385,6 +401,7 @@ SELECT l_orderkey, l_linenumber, strftime(f, '%Y-%m-%d') AS fecha,
 ORACLE["coerce_dates_strict"] = """SELECT l_orderkey, l_linenumber,
     CASE WHEN l_linenumber <= 2 THEN strftime(l_shipdate, '%Y-%m-%d')
       WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN '5000-12-31' END AS mezclada,
+    CASE WHEN l_linenumber % 3 = 1 THEN strftime(l_shipdate, '%Y-%m-%d') END AS iso_primero,
     strftime(l_shipdate, '%Y-%m-%d') AS guiones, CAST(NULL AS VARCHAR) AS nada
   FROM lineitem"""
 
@@ -568,6 +585,7 @@ ORACLE["changed_rows"] = _with(REQUESTED) + """SELECT id_llamado, licitacion, co
       AS cantidad_solicitada,
     CASE WHEN solicitada >= 5 THEN strftime(emitir_en, '%Y-%m-%d') END AS emitir_en, comentario
   FROM requested WHERE solicitada > 40 OR solicitada < 5"""
+ORACLE["changed_rows_by_digest"] = ORACLE["changed_rows"]
 _EVENT = "event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props"
 ORACLE["edit_log_latest"] = f"""SELECT {_EVENT} FROM events AS e
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY e.ts DESC, event_id DESC) = 1"""
@@ -582,6 +600,24 @@ ORACLE["sync_appended"] = """SELECT event_id, value,
 ORACLE["load_folder_many_files"] = """SELECT CAST(o_orderkey AS VARCHAR) AS nro_pedido,
     'C' || CAST(o_custkey AS VARCHAR) AS codigo, o_orderpriority AS prioridad,
     o_orderstatus AS estado, strftime(o_orderdate, '%Y-%m-%d') AS fecha_pedido FROM orders"""
+ORACLE["load_folder_all_kinds"] = """
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'ordenes_apartados' ELSE 'ordenes' END AS tabla,
+    'OC-' || o_orderkey AS clave, CAST(o_totalprice AS DOUBLE) AS valor FROM orders
+UNION ALL SELECT 'ejecucion', 'K' || l_linenumber, l_linenumber::DOUBLE
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+UNION ALL SELECT 'stock_critico', p_partkey::VARCHAR, p_size::DOUBLE FROM part
+UNION ALL SELECT 'pedidos', o_orderkey::VARCHAR, 3.0 FROM orders
+UNION ALL SELECT 'vencimientos_parques', p_partkey::VARCHAR, p_size::DOUBLE FROM part"""
+ORACLE["sync_content_verify"] = """WITH p AS (
+  SELECT o_orderkey AS nro, 'C' || o_custkey AS codigo, o_totalprice AS monto
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+d AS (
+  SELECT nro::VARCHAR AS nro, codigo, 'cambiada' AS diferencia, 'prioridad,cantidad_pendiente' AS columnas
+  FROM p WHERE monto > 490000
+  UNION ALL SELECT nro::VARCHAR, codigo, 'falta', '' FROM p WHERE monto < 6000
+  UNION ALL SELECT 'N' || nro, codigo, 'sobra', '' FROM p WHERE monto < 6000)
+SELECT 'pedidos' AS tabla, '{"nro_pedido":"' || nro || '","codigo":"' || codigo || '"}' AS clave,
+  diferencia, columnas FROM d"""
 ORACLE["lower_headers"] = """SELECT o_orderkey AS id_llamado, o_orderpriority AS licitacion,
     o_orderstatus AS estado FROM orders"""
 ORACLE["sync_verify"] = """WITH n AS (

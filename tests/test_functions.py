@@ -120,10 +120,24 @@ def test_dates(spark):
 
 
 def test_one_format_per_column(spark):
-    rows = [("05-03-2024", "x", "2024-03-05"), ("5/3/2024", "y", "2024-03-05 00:00:00")]
-    df = spark.createDataFrame(rows, "a string, b string, c string")
-    got = dates.parse_dates(df, ["a", "b", "c", "no"], strict_first_format=True).collect()
-    assert [tuple(r) for r in got] == [(None, None, DAY), (DAY, None, None)]
+    """The first value that is not blank gives the format, whatever stands behind it."""
+    rows = [
+        (3, "5/3/2024", "y", "2024-03-05 00:00:00", "2024-03-05", "2024-03-05"),
+        (2, "05-03-2024", "x", "2024-03-05", "05/03/2024", "5/3/24"),
+        (1, " nan", None, "", "no date", None),
+        (4, "5-3-2024", "NaT", "2024-3-5", "5-3-2024", "2024-03-05"),
+    ]
+    df = spark.createDataFrame(rows, "_row int, a string, b string, c string, d string, e string")
+    got = dates.parse_dates(df, ["a", "b", "c", "d", "e", "no"], strict_first_format=True)
+    assert [tuple(r)[1:] for r in got.orderBy("_row").collect()] == [
+        (None, None, None, None, None),
+        (DAY, None, DAY, DAY, DAY),
+        (None, None, None, DAY, None),
+        (DAY, None, DAY, DAY, None),
+    ]
+    iso = spark.createDataFrame([(2, "05/03/2024"), (1, "2024-03-05"), (3, "2024-03-05 10:00:00")], "n int, a string")
+    got = dates.parse_dates(iso, ["a"], strict_first_format=True, order=F.col("n")).orderBy("n").collect()
+    assert [r.a for r in got] == [DAY, None, None]
 
 
 def test_open_ended_phrase(spark):

@@ -165,7 +165,7 @@ def test_empty_refresh_keeps_the_table(spark, store):
 def test_unfinished_refresh_is_not_read(spark, store):
     store.refresh("t", spark.range(5))
     # a job that died before its folder was marked
-    spark.range(9).write.parquet(f"{store.root}/t/v0000000002")
+    spark.range(9).write.parquet(f"{store.root}/t/v0000000002/t/_lote=2")
     assert store.count("t") == 5
     assert store.refresh("t", spark.range(7)) == 7
     assert store.count("t") == 7

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from botiquin.contracts import SCHEMAS
 from botiquin.functions.dates import parse_date
 from botiquin.functions.text import sanitize
 from botiquin.operators import merge
@@ -159,38 +158,3 @@ def test_verification_shows_what_is_missing(spark, stores):  # noqa: F811
     assert sync.smoke_run(*stores, "pedidos").count() == 4
     empty = TableStore(spark, source.root + "-x")
     assert sync.smoke_run(empty, empty).count() == 4
-
-
-def test_merge_leaves_other_buckets_alone(spark, stores):  # noqa: F811
-    store = stores[0]
-    rows = spark.range(200).select("id", F.lit("a").alias("v"), F.lit(1).alias("actualizado_en"))
-    store.refresh("t", rows.limit(0), allow_empty=True)
-    assert store.merge("t", rows, ["id"], buckets=16) == 200
-    before = store._layout(store.path("t"))["buckets"]
-    one = spark.createDataFrame([(7, "b", 2)], "id long, v string, actualizado_en int")
-    assert store.merge("t", one, ["id"], buckets=16) == 200
-    after = store._layout(store.path("t"))["buckets"]
-    assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
-    assert [r.id for r in store.read("t").where("v = 'b'").collect()] == [7]
-    assert store.merge("t", one, ["id"], buckets=16) == 200
-    store.append("t", spark.createDataFrame([(900, "c", 3)], one.schema))
-    assert store.count("t") == 201
-    null = spark.createDataFrame([(None, "n", 3)], one.schema)
-    assert store.merge("t", null, ["id"], buckets=16) == store.merge("t", null, ["id"], buckets=16) == 202
-    assert store.clean("t", keep=1) and store.count("t") == 202
-    assert store.merge("t", one.limit(0), ["id"], buckets=16) == 202
-
-
-def test_appends_and_old_versions(spark, stores):  # noqa: F811
-    store = stores[0]
-    store.refresh("t", spark.range(3))
-    store.append("t", spark.range(3, 5))
-    store.append("t", spark.range(5, 6))
-    assert sorted(r.id for r in store.read("t").collect()) == list(range(6))
-    # What a lost job leaves behind does not count.
-    spark.range(100).write.parquet(f"{store.path('t')}-delta999999-lost")
-    assert store.count("t") == 6
-    store.refresh("t", spark.range(2))
-    store.refresh("t", spark.range(1))
-    assert store.clean("t", keep=1) and store.count("t") == 1
-    assert len(store._versions("t")) == 1 and SCHEMAS
