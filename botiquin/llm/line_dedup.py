@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from botiquin.llm.tables import stored, worked_out
+
 SIZE = 3
 LEAST_CHARS = 30
 
@@ -54,7 +56,7 @@ def windows(
         lines = F.transform(_lines(F.col("text")), lambda line: F.trim(line))
         broken = F.col("text").contains("\n")
     hashed = docs.where(broken).withColumn("text_hash", F.xxhash64("text"))
-    rows = _made(hashed, ["id", "text_hash"], lines=lines).where(F.size("lines") >= size)
+    rows = worked_out(hashed, ["id", "text_hash"], lines=lines).where(F.size("lines") >= size)
     window = F.concat_ws("\n", F.slice("lines", F.col("line") + 1, size))
     if least_chars is None:
         counts = F.col("window").rlike("[\\p{L}\\p{N}]")
@@ -71,12 +73,16 @@ def windows(
 
 
 def later_windows(found: DataFrame) -> DataFrame:
-    """Windows that have an earlier occurrence: id, text_hash, line."""
+    """Windows that have an earlier occurrence: id, text_hash, line.
+
+    The repeated ones are stored before they are joined, so that the join can split a hot window.
+    """
     place = F.struct("id", "text_hash", "line")
-    repeated = (
+    repeated = stored(
         found.groupBy("high", "low")
         .agg(F.min(place).alias("first"), F.count("*").alias("times"))
-        .where("times > 1").select("high", "low", "first")
+        .where("times > 1").select("high", "low", "first"),
+        "repeated-windows",
     )
     return found.join(repeated, ["high", "low"]).where(~place.eqNullSafe(F.col("first"))).select(
         "id", "text_hash", "line"
@@ -124,16 +130,6 @@ def remove_repeated_passages(
     return _removed(docs, size, least_chars, True, id_col, text_col)
 
 
-def _made(rows: DataFrame, carried: list[str], **columns: Column) -> DataFrame:
-    """Columns that are worked out once per row, whoever reads them.
-
-    They come out of a generator of one element. A filter on a plain column moves below it with the
-    column's whole expression in place of its name, into every reader's loop.
-    """
-    made = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return rows.select(*carried, F.inline(F.array(made)))
-
-
 def _removed(
     docs: DataFrame, size: int, least_chars: int | None, sentences: bool, id_col: str, text_col: str
 ) -> DataFrame:
@@ -150,7 +146,7 @@ def _removed(
         F.col(text_col).alias("text"),
     )
     same = rows["id"].eqNullSafe(covered["id"]) & (rows["text_hash"] == covered["text_hash"])
-    with_cover = _made(
+    with_cover = worked_out(
         rows.join(covered, same, "left").select("row", rows["text"], "covered"),
         ["row", "text", "covered"],
         lines=_sentences(F.col("text")) if sentences else _lines(F.col("text")),
@@ -159,8 +155,8 @@ def _removed(
     joined = F.substr(F.array_join("kept", ""), F.lit(2)) if sentences else F.array_join("kept", "\n")
     kept = F.when(F.col("covered").isNotNull(), _kept(F.col("lines"), F.col("covered"), size))
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long")
-    left = _made(with_cover.withColumn("n_lines", n_lines), ["row", "text", "n_lines"], kept=kept)
-    return _made(
+    left = worked_out(with_cover.withColumn("n_lines", n_lines), ["row", "text", "n_lines"], kept=kept)
+    return worked_out(
         left, ["row", "n_lines"],
         text=F.when(F.col("kept").isNull(), F.col("text")).otherwise(joined),
         n_removed=F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("kept")).cast("long"),

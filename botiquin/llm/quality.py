@@ -14,7 +14,9 @@ a sample cannot judge, so do not count against a document.
 
 k follows from the data: half of the labelled documents, which the target model does not see, give
 the weight that parts quality 1 from 0 with the fewest errors, and k is the number of all documents
-that reach it. Ratios and weights are whole numbers in units of 2^-16 and the variate is a function
+that reach it. The Gumbel variate counts ``temperature`` times: as set here, 0.05, a document within a
+tenth or two of the cut is kept or rejected by chance and one farther off almost surely by its weight,
+as the draw is meant to part sound text from unsound and not to thin either. Ratios and weights are whole numbers in units of 2^-16 and the variate is a function
 of the document and the seed, so the result does not depend on how rows are dealt out. Documents
 that tie with the k-th are kept as well.
 

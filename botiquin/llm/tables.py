@@ -7,7 +7,8 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from botiquin.session import remove_dir, work_dir
 
@@ -65,6 +66,16 @@ def intermediates() -> Iterator[None]:
             _remove(path)
 
 
+def worked_out(rows: DataFrame, carried: list[str], **columns: Column) -> DataFrame:
+    """Columns that are worked out once per row, whoever reads them.
+
+    They come out of a generator of one element. A filter on a plain column moves below it with the
+    column's whole expression in place of its name, into every reader's loop.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select(*carried, F.inline(F.array(made)))
+
+
 def slices(
     batches: Iterator[pa.RecordBatch],
     column: str | Callable[[pa.RecordBatch], pa.Array],

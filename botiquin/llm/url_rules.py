@@ -8,9 +8,9 @@ share, it names something of the host, and no rule on fewer of its tokens is as
 
 Rules match by an inverted index: each is filed under its rarest token, the tokens of a URL look
 their rules up, and the whole combination is compared. Each distinct URL is judged once, by the
-most confident rule that fits it (then the best supported, then block before allow). URLs without
-label take part in the mining as well and speak against every label, so a combination must be
-typical of the label among all URLs. What no rule fits is allowed.
+most confident rule that fits it (then the best supported, then block before allow). Support and
+confidence are shares of the labelled URLs; those without label say nothing about rules, they are
+what the rules are for. What no rule fits is allowed.
 
 Given rules come first. They are a short list of (verdict, host, path): a rule fits its host and
 all subdomains if the URL's path starts with the rule's, and the longest wins.
@@ -36,7 +36,7 @@ _LABELS = ("=allow", "=block")
 
 @dataclass(frozen=True)
 class Mining:
-    """Least share of URLs with a combination and its label, and least confidence of a rule."""
+    """Least share of labelled URLs with a combination and its label, and least confidence of a rule."""
 
     support: float = 0.005
     confidence: float = 0.95
@@ -97,11 +97,13 @@ def tokens_of(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
-    """Rules from ``tokens`` and ``label`` (block, allow or null): rule tokens, label, figures."""
-    items = F.concat("tokens", F.when(F.col("label").isNotNull(), F.array(F.concat(F.lit("="), "label")))
-                     .otherwise(F.array().cast("array<string>")))
+    """Rules from ``tokens`` and ``label`` (block or allow): rule tokens, label, figures.
+
+    Rows without label are passed over.
+    """
+    items = F.concat("tokens", F.array(F.concat(F.lit("="), "label")))
     growth = FPGrowth(itemsCol="items", minSupport=mining.support, minConfidence=mining.confidence)
-    found = growth.fit(labelled.select(items.alias("items"))).associationRules
+    found = growth.fit(labelled.where(F.col("label").isNotNull()).select(items.alias("items"))).associationRules
     of_host = F.exists("antecedent", lambda x: F.substring_index(x, ":", 1).isin("tld", "domain", "label"))
     rules = stored(
         found.where(

@@ -177,6 +177,7 @@ def brute_rules(transactions, support, confidence):
     """All combinations by counting, and the same pruning."""
     from itertools import combinations
 
+    transactions = [(items, label) for items, label in transactions if label]
     n, rules = len(transactions), {}
     tokens = sorted({t for items, _ in transactions for t in items})
     for size in (1, 2, 3):
@@ -230,6 +231,23 @@ def test_mined_rules_judge_other_urls(spark):
     assert url_rules.judge(nothing, queries.URL_RULES).count() == 0
 
 
+def test_rules_judge_urls_held_out(spark):
+    """Rules mined from half of the labelled pages, by their verdicts of the other half."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").distinct()
+    host, path = url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url"))
+    rule, label = url_rules.given_rule(host, path, queries.URL_RULES)
+    labelled = pages.select("url", label.alias("label")).where("label is not null")
+    half = F.pmod(F.xxhash64("url", F.lit("half")), F.lit(2)) == 0
+    got = url_rules.judge(labelled.where(~half), [], labelled.where(half))
+    rows = got.select("row.label", "verdict", "mined_confidence").collect()
+    judged = [r for r in rows if r.mined_confidence]
+    assert len(judged) > 0.8 * len(rows) and len({r.verdict for r in judged}) == 2
+    assert sum(r.label == r.verdict for r in judged) > 0.95 * len(judged)
+    # In the query rules judge pages that no given rule fits.
+    open_rows = queries.url_association_rules(spark, "/root/testdata/sf0.1").where("rule is null").collect()
+    assert sum(r.mined_confidence is not None for r in open_rows) > 0.3 * len(open_rows)
+
+
 # --- secrets --------------------------------------------------------------------------------
 
 
@@ -275,3 +293,86 @@ def test_secret_edges(spark):
     assert [r.word for r in sorted(hits, key=lambda r: r.word)] == [2, 7]
     assert all(r.is_secret for r in hits)
     assert secrets.scan(frames.docs(spark, [])).count() == 0
+
+
+def planted(seed, n):
+    """Texts with credentials, and with values of the same shapes that are none; and the truth."""
+    draw = np.random.default_rng(seed)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def random_of(alphabet, size):
+        return "".join(draw.choice(list(alphabet), size))
+
+    def card():
+        digits = [int(d) for d in random_of("0123456789", 15)]
+        total = sum(d if i % 2 else (d * 2 - 9 if d > 4 else d * 2) for i, d in enumerate(digits))
+        return "".join(map(str, digits)) + str(-total % 10)
+
+    kinds = [
+        (True, 'api_key = "{}"', lambda: random_of(letters, 32)),
+        (True, "Authorization: Bearer {} in the header", lambda: random_of(letters + "-_", 40)),
+        (True, "export AWS_SECRET_ACCESS_KEY={}", lambda: random_of(letters + "+/", 40)),
+        (True, "the password is '{}'", lambda: random_of(letters + "!@#%", 11)),
+        (False, "as of commit {} this holds", lambda: random_of("0123456789abcdef", 40)),
+        (False, "request id {} failed", lambda: "-".join(random_of("0123456789abcdef", k) for k in (8, 4, 4, 4, 12))),
+        (False, "sha256 {} of the licence", lambda: random_of("0123456789abcdef", 64)),
+        (False, "order {} was paid", card),
+        (False, "see {} for more", lambda: "".join(draw.choice(["river", "mountain", "valley", "forest"], 5))),
+    ]
+    rows, truth = [], {}
+    for k in range(n):
+        is_secret, template, value = kinds[k % len(kinds)]
+        made = value()
+        truth[made] = is_secret
+        rows.append((k, f"river and mountain, valley of forest {k % 7}. " + template.format(made), None, "src/a.py", 1))
+    return rows, truth
+
+
+def test_planted_kinds_held_out(spark):
+    """Trained on true labels of half of the planted findings, judged on the other half's."""
+    rows, truth = planted(3, 900)
+    frame = frames.docs(spark, rows)
+    known = secrets.dictionary(frame, "text", 3)
+    found = secrets.featured(secrets.candidates(frame, "doc_id", "text", "source"), known)
+    labels = spark.createDataFrame(list(truth.items()), "value string, is_secret boolean")
+    labelled = found.join(labels, "value").where("id % 2 = 0")
+    judged = secrets.scan(frame, labelled).where("id % 2 = 1").select("value", "is_secret").collect()
+    judged = [(truth[r.value], r.is_secret) for r in judged if r.value in truth]
+    assert {v for v, t in truth.items() if t} and len(judged) >= 400
+    hits = sum(real and said for real, said in judged)
+    assert hits >= 0.95 * sum(real for real, _ in judged)       # recall
+    assert hits >= 0.95 * sum(said for _, said in judged)       # precision
+
+
+def test_card_numbers_and_features(spark):
+    values = {"4111111111111111": True, "4111111111111112": False, "79927398713": False, "4242424242424242": True,
+              "x411111111111111": False, "": False}
+    frame = spark.createDataFrame([(v,) for v in values], "value string")
+    got = frame.select("value", F.coalesce(secrets.card_number(F.col("value")), F.lit(False)).alias("card")).collect()
+    assert {r.value: r.card for r in got} == values
+    docs = frames.docs(spark, [(k, 'the word there "aB3-cD4=eF5/gH6+" there', None, "a/b/test.py", 1) for k in range(3)])
+    known = secrets.dictionary(docs, "text", 3)
+    row = secrets.featured(secrets.candidates(docs, "doc_id", "text", "source"), known).first()
+    assert (row.chars, row.variety, row.covered_share, row.path_depth, row.path_example) == (16, 1.0, 0, 3, 1)
+    pairs = row.features[len(secrets._SHAPE):][:16]
+    kinds = ["a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" for c in row.value]
+    counted = Counter(zip(kinds, kinds[1:]))
+    assert [round(p * 15) for p in pairs] == [counted[a, b] for a in "aA0-" for b in "aA0-"]
+    beside = row.features[len(secrets._SHAPE) + 16 :]
+    assert len(beside) == 32 and sum(beside) == 2
+
+
+@pytest.mark.parametrize("unit", ["a1B2c3D4e5F6g7H8 ", "a1B2c3D4e5F6g7H8,", 'token="short{}" ', "secret" * 3 + "."])
+def test_work_in_proportion_to_the_text(spark, unit):
+    import time
+
+    def seconds(n):
+        text = "".join(unit.format(k) for k in range(n))
+        frame = frames.docs(spark, [(1, text, None, "x", 1)])
+        start = time.perf_counter()
+        rows = secrets.candidates(frame, "doc_id", "text", "source").count()
+        return time.perf_counter() - start, rows
+
+    seconds(10)
+    took, rows = seconds(40_000)
+    assert took < 10 and rows >= (40_000 if "secret" not in unit else 1)

@@ -425,3 +425,73 @@ def test_stage_two_works_out_its_lines_once(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     plan = corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") <= 3
+
+
+def test_weights_like_counting_in_plain_python(spark):
+    """Counts, log ratios, weights, keys, cut and toxicity of the whole smallest tables, by loops."""
+    import math
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    options = quality.Settings(least=2.0, bits=14, toxic_bits=16)
+    model = quality.fit(docs, labels, options)
+    got = {(r.doc_id, r.text): r for r in quality.classify(docs, model).select(
+        "row.doc_id", "row.text", "log_weight", "key", "toxicity", "kept").collect()}
+
+    hashed = {}
+
+    def hash_of(token):
+        if token not in hashed:
+            hashed[token] = int(words.token_hashes(pa.array([token]), words.WORDS_AND_MARKS)[0][0])
+        return hashed[token]
+
+    def grams(text):
+        data = re.findall(rb"[0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff \t-\r]+", (text or "").encode().lower())
+        codes = [hash_of(token.decode()) for token in data]
+        pairs = words.joined(np.array(codes, dtype=np.uint64), 2).tolist()
+        return codes, [c >> (64 - options.bits) for c in codes] + [
+            (c >> (64 - options.bits)) + (1 << options.bits) for c in pairs]
+
+    sample = {r.id: r for r in quality.labelled_sample(labels, options, "doc_id").collect()}
+    rows = [(r.doc_id, r.text, *grams(r.text)) for r in docs.collect()]
+    raw, target = Counter(), Counter()
+    for doc, _, _, found in rows:
+        raw.update(found)
+        if doc in sample and sample[doc].good and sample[doc].clean and sample[doc].fit:
+            target.update(found)
+    half = 1 << options.bits
+    totals = [(sum(n for b, n in raw.items() if (b >= half) == p), sum(n for b, n in target.items() if (b >= half) == p))
+              for p in (False, True)]
+    ratio = {}
+    for bucket, n in raw.items():
+        of_raw, of_target = totals[bucket >= half]
+        expected = n * (of_target / of_raw) if of_target else 0
+        if of_target and expected >= options.least:
+            ratio[bucket] = round(math.log((target[bucket] + options.smooth) / (expected + options.smooth)) * 65536)
+    assert ratio and {b: int(model.ratios[b]) for b in ratio} == ratio
+    assert np.count_nonzero(model.ratios) == sum(v != 0 for v in ratio.values())
+
+    spotted, counted = {True: Counter(), False: Counter()}, Counter()
+    for doc, _, codes, _ in rows:
+        if doc in sample and sample[doc].fit:
+            counted[sample[doc].clean] += 1
+            spotted[sample[doc].clean].update({c >> (64 - options.toxic_bits) for c in codes})
+    harsh = {}
+    for bucket, n in spotted[False].items():
+        if n >= options.least_toxic:
+            value = round(math.log(((n + 1) / (counted[False] + 2)) / ((spotted[True][bucket] + 1) / (counted[True] + 2))) * 65536)
+            if value > 0:
+                harsh[bucket] = value
+    for doc, text, codes, found in rows:
+        total = sum(ratio.get(b, 0) for b in found)
+        row = got[doc, text]
+        assert row.log_weight == round(total / math.sqrt(max(len(codes), 1))) / 65536
+        worst = sorted((harsh.get(b, 0) for b in {c >> (64 - options.toxic_bits) for c in codes}), reverse=True)
+        assert row.toxicity == sum(worst[: options.strongest]) / 65536
+    if model.cutoff is not None:
+        keys = sorted((round(got[d, t].key * 65536) for d, t, _, _ in rows), reverse=True)
+        passed = sum(round(got[d, t].key * 65536) >= model.cutoff for d, t, _, _ in rows)
+        assert keys[passed - 1] >= model.cutoff > (keys[passed] if passed < len(keys) else -10**18)
+    # The draw: the same variate for the same document, spread as a Gumbel variate is.
+    noise = np.array([(r.key - r.log_weight) / options.temperature for r in got.values()])
+    assert abs(noise.mean() - 0.5772) < 0.35 and abs(noise.std() - math.pi / math.sqrt(6)) < 0.35
