@@ -1,8 +1,9 @@
 """How far sources of a language diverge in their words, from in-mapper stripes.
 
 Every task folds whole documents into stripes, one per language and term: the number of documents
-that hold the term and its occurrences by source. What a task holds is bounded; beyond ``most_held``
-entries it spills its stripes as rows and starts anew. Stripes are dealt and sorted by their key and
+that hold the term and its occurrences by source. Terms are told apart by 64-bit hashes within a task.
+What a task holds is bounded; beyond ``most_held`` entries it spills its stripes as rows and starts
+anew. Stripes are dealt and sorted by their key and
 merged as they stream by, one key at a time. Merged stripes emit divergences directly: of each term
 they give every source its share, and each pair of sources its squared difference.
 
@@ -23,28 +24,31 @@ pairs of value 0 and no terms. Other columns may have any name. An empty table g
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from botiquin.llm.tables import slices, stored
+from botiquin.llm.words import token_hashes, token_spans
 
 SCALE = 1_000_000_000
 LEAST_DOCS = 10
-# Entries of term and source, some 150 bytes each, that a task holds before it spills.
-MOST_HELD = 400_000
+# Entries of term and source, some 40 bytes each, that a task holds before it spills.
+MOST_HELD = 2_000_000
 TILE = 64
 # Terms whose shares are laid out side by side for one tile.
 _TERMS_AT_ONCE = 128
+# Stripes of a batch.
+_ROWS = 20_000
 
 # Letters of ASCII and every byte beyond it; in UTF-8 all bytes of other characters are.
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
+_TERMS = np.zeros(256, dtype=np.uint8)
+_TERMS[65:91] = _TERMS[97:123] = _TERMS[128:] = 1
+_SMALL = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 STRIPE = "lang string, term string, docs long, sources array<string>, counts array<long>"
 
@@ -63,96 +67,177 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
+class _Names:
+    """Numbers for the names that a task meets."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+
+    def of(self, column: pa.Array) -> np.ndarray:
+        coded = pc.dictionary_encode(column)
+        known = [self.numbers.setdefault(name, len(self.numbers)) for name in coded.dictionary.to_pylist()]
+        return np.array(known, dtype=np.int64)[coded.indices.to_numpy()]
+
+    def names(self, numbers: np.ndarray) -> pa.Array:
+        return pa.array(list(self.numbers), pa.string()).take(pa.array(numbers))
+
+
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The distinct keys, sorted by the first and on, and the sums of their values."""
+    order = np.lexsort(keys[::-1])
+    keys = [key[order] for key in keys]
+    new = np.ones(len(order), dtype=bool)
+    if len(order):
+        new[1:] = False
+        for key in keys:
+            new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    sums = [np.add.reduceat(value[order], first) if len(first) else value[:0] for value in values]
+    return [key[first] for key in keys], sums
+
+
 class _Stripes:
-    """The stripes that one task holds: per language documents by term, per group occurrences."""
+    """The stripes that one task holds: hash of the term, language, source, documents, occurrences."""
 
     def __init__(self):
-        self.docs: dict[str, Counter] = {}
-        self.counts: dict[str, dict[str, Counter]] = {}
-
-    def fold(self, lang: str, source: str, text: str) -> int:
-        """Take in a whole document; gives the number of entries it may have added."""
-        found = Counter(_TERM.findall(text.encode().lower()))
-        self.docs.setdefault(lang, Counter()).update(found.keys())
-        self.counts.setdefault(lang, {}).setdefault(source, Counter()).update(found)
-        return 2 * len(found)
-
-    def held(self) -> int:
-        return sum(map(len, self.docs.values())) + sum(
-            len(counts) for of_lang in self.counts.values() for counts in of_lang.values()
-        )
+        self.langs, self.sources = _Names(), _Names()
+        self.parts: list[list[np.ndarray]] = []
+        self.held = 0
+        self.hashes = np.empty(0, dtype=np.uint64)
+        self.terms = pa.array([], pa.string())
+
+    def fold(self, batch: pa.RecordBatch) -> None:
+        """Take in whole documents."""
+        texts = pc.fill_null(batch.column("text"), "")
+        hashes, cuts = token_hashes(texts, _TERMS)
+        if not len(hashes):
+            return
+        doc = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        self._learn(texts, hashes)
+        (hashes, doc), (occurrences,) = _summed([hashes, doc], [np.ones(len(hashes), dtype=np.int64)])
+        lang, source = self.langs.of(batch.column("lang"))[doc], self.sources.of(batch.column("source"))[doc]
+        keys, sums = _summed([hashes, lang, source], [np.ones(len(hashes), dtype=np.int64), occurrences])
+        self.parts.append([*keys, *sums])
+        self.held += len(keys[0])
+
+    def _learn(self, texts: pa.Array, hashes: np.ndarray) -> None:
+        """Keep the words of hashes that were not met before."""
+        found, at = np.unique(hashes, return_index=True)
+        fresh = ~np.isin(found, self.hashes, assume_unique=True)
+        if not fresh.any():
+            return
+        data, starts, ends = token_spans(texts, _TERMS)
+        data = data.tobytes()
+        words = [data[a:b].translate(_SMALL) for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist())]
+        known = np.concatenate([self.hashes, found[fresh]])
+        order = np.argsort(known)
+        words = pa.array(words, pa.binary()).cast(pa.string())
+        self.terms = pa.concat_arrays([self.terms, words]).take(pa.array(order))
+        self.hashes = known[order]
+
+    def merge(self) -> int:
+        """Bring equal entries together; gives the number that is left."""
+        if len(self.parts) > 1:
+            keys, sums = _summed(*(
+                [np.concatenate([part[k] for part in self.parts]) for k in ks] for ks in ((0, 1, 2), (3, 4))
+            ))
+            self.parts = [[*keys, *sums]]
+        self.held = len(self.parts[0][0]) if self.parts else 0
+        return self.held
 
     def spill(self) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for lang, docs in self.docs.items():
-            of_lang = self.counts[lang]
-            for term, number in docs.items():
-                stripe = [(source, counts[term]) for source, counts in of_lang.items() if term in counts]
-                rows.append((lang, term, number, stripe))
-                if len(rows) >= 20_000:
-                    yield _stripe_batch(rows)
-                    rows = []
-        if rows:
-            yield _stripe_batch(rows)
-
-
-def _stripe_batch(rows: list[tuple]) -> pa.RecordBatch:
-    langs, terms, docs, stripes = zip(*rows)
-    ends = pa.array(np.cumsum([0, *map(len, stripes)]).astype(np.int32))
-    sources = pa.array([source for stripe in stripes for source, _ in stripe], pa.string())
-    counts = pa.array([count for stripe in stripes for _, count in stripe], pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
-            pa.array(docs, pa.int64()),
-            pa.ListArray.from_arrays(ends, sources), pa.ListArray.from_arrays(ends, counts),
-        ],
-        names=["lang", "term", "docs", "sources", "counts"],
-    )
+        if not self.merge():
+            return
+        hashes, lang, source, docs, counts = self.parts[0]
+        order = np.lexsort((source, hashes, lang))
+        hashes, lang, source, docs, counts = (x[order] for x in (hashes, lang, source, docs, counts))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (lang[1:] != lang[:-1])
+        first = np.flatnonzero(new)
+        ends = np.append(first, len(order))
+        docs = np.add.reduceat(docs, first)
+        terms = self.terms.take(pa.array(np.searchsorted(self.hashes, hashes[first])))
+        langs, sources = self.langs.names(lang[first]), self.sources.names(source)
+        yield from _stripe_batches(langs, terms, docs, ends, sources, counts)
+
+
+def _stripe_batches(
+    langs: pa.Array, terms: pa.Array, docs: np.ndarray, ends: np.ndarray, sources: pa.Array, counts: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Stripe k has the sources and counts from ends[k] to ends[k + 1]."""
+    for a in range(0, len(docs), _ROWS):
+        b = min(a + _ROWS, len(docs))
+        offsets = pa.array((ends[a : b + 1] - ends[a]).astype(np.int32))
+        cells = slice(int(ends[a]), int(ends[b]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                langs[a:b], terms[a:b], pa.array(docs[a:b]),
+                pa.ListArray.from_arrays(offsets, sources[cells]),
+                pa.ListArray.from_arrays(offsets, pa.array(counts[cells])),
+            ],
+            names=["lang", "term", "docs", "sources", "counts"],
+        )
 
 
 def fold(docs: DataFrame, most_held: int = MOST_HELD) -> DataFrame:
     """Stripes of documents given as lang, source and text, as many per term as tasks and spills."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, added = _Stripes(), 0
-        for batch in slices(batches, "text", 8_000_000):
-            columns = (batch.column(name).to_pylist() for name in ("lang", "source", "text"))
-            for lang, source, text in zip(*columns):
-                added += held.fold(lang, source, text)
-                if added > most_held:
-                    added = held.held()
-                    # Most entries were there already: go on until they are not.
-                    if added > most_held // 2:
-                        yield from held.spill()
-                        held, added = _Stripes(), 0
+        held = _Stripes()
+        for batch in slices(batches, "text", 4_000_000):
+            held.fold(batch)
+            # Mostly the entries were there already: spill only if they are not.
+            if held.held > most_held and held.merge() > most_held // 2:
+                yield from held.spill()
+                held = _Stripes()
         yield from held.spill()
 
     return docs.select("lang", "source", "text").mapInArrow(run, STRIPE)
 
 
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return np.diff(lists.offsets.to_numpy()).astype(np.int64)
+
+
+def _merged(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """Neighbouring stripes of one key as one."""
+    n = batch.num_rows
+    lang, term = batch.column("lang"), batch.column("term")
+    new = np.ones(n, dtype=bool)
+    for column in (lang, term):
+        differ = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+        new[1:] = differ.to_numpy(zero_copy_only=False) | (new[1:] if column is term else False)
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    coded = pc.dictionary_encode(batch.column("sources").flatten())
+    row = np.repeat(group, _lengths(batch.column("sources")))
+    counts = batch.column("counts").flatten().to_numpy()
+    (row, source), (counts,) = _summed([row, coded.indices.to_numpy().astype(np.int64)], [counts])
+    ends = np.searchsorted(row, np.arange(len(first) + 1))
+    docs = np.add.reduceat(batch.column("docs").to_numpy(), first)
+    keys = pa.array(first)
+    return list(
+        _stripe_batches(lang.take(keys), term.take(keys), docs, ends, coded.dictionary.take(pa.array(source)), counts)
+    )
+
+
 def merge(stripes: DataFrame) -> DataFrame:
     """One stripe per language and term, with a total of its counts as ``occurrences``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, counts, ready = None, 0, Counter(), []
+        last = None
         for batch in batches:
-            rows = zip(*(batch.column(name).to_pylist() for name in ("lang", "term", "docs", "sources", "counts")))
-            for lang, term, number, sources, found in rows:
-                if (lang, term) != key:
-                    if key is not None:
-                        ready.append((key[0], key[1].encode(), docs, sorted(counts.items())))
-                    if len(ready) >= 20_000:
-                        yield _stripe_batch(ready)
-                        ready = []
-                    key, docs, counts = (lang, term), 0, Counter()
-                docs += number
-                for source, count in zip(sources, found):
-                    counts[source] += count
-        if key is not None:
-            ready.append((key[0], key[1].encode(), docs, sorted(counts.items())))
-        if ready:
-            yield _stripe_batch(ready)
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            *ready, whole = _merged(batch)
+            yield from ready
+            # The last key may go on in the next batch.
+            yield whole.slice(0, whole.num_rows - 1)
+            last = whole.slice(whole.num_rows - 1)
+        if last is not None:
+            yield last
 
     dealt = stripes.repartition("lang", "term").sortWithinPartitions("lang", "term")
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda n, c: n + c)
@@ -166,32 +251,39 @@ def _tile_sums(cells: DataFrame, tile: int) -> DataFrame:
     tile the totals of its rows and columns and the kept terms of its language.
     """
 
-    def summed(tile_rows: list[tuple]) -> np.ndarray:
-        (_, _, _, _, _, a_totals, b_totals, terms) = tile_rows[0]
-        totals = [np.array(t, dtype=np.int64) for t in (a_totals, b_totals)]
+    def summed(part: pa.RecordBatch) -> np.ndarray:
+        """Of the rows of one tile."""
+        totals = [part.column(name)[0].values.to_numpy() for name in ("a_totals", "b_totals")]
+        terms = part.column("terms").to_numpy()[0]
         value = np.zeros((len(totals[0]), len(totals[1])), dtype=np.int64)
-        for first in range(0, len(tile_rows), _TERMS_AT_ONCE):
-            part = tile_rows[first : first + _TERMS_AT_ONCE]
+        for first in range(0, part.num_rows, _TERMS_AT_ONCE):
+            rows = part.slice(first, _TERMS_AT_ONCE)
             sides = []
-            for side, total in enumerate(totals):
-                counts = np.zeros((len(part), len(total)), dtype=np.int64)
-                for k, row in enumerate(part):
-                    for place, count in row[3 + side] or ():
-                        counts[k, place] = count
-                sides.append(shares(counts, total, np.int64(terms)))
+            for name, total in zip(("a_side", "b_side"), totals):
+                lists = rows.column(name)
+                counts = np.zeros((rows.num_rows, len(total)), dtype=np.int64)
+                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+                cells = lists.flatten()
+                at = np.repeat(np.arange(rows.num_rows), lengths), cells.field("place").to_numpy()
+                counts[at] = cells.field("count").to_numpy()
+                sides.append(shares(counts, total, terms))
             value += divergence(sides[0][:, :, None], sides[1][:, None, :]).sum(axis=0)
         return value
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = ("lang", "a_block", "b_block", "a_side", "b_side", "a_totals", "b_totals", "terms")
-            rows = [batch.column(name).to_pylist() for name in names]
-            for side in (3, 4):
-                rows[side] = [[(c["place"], c["count"]) for c in cells or ()] for cells in rows[side]]
-            table = sorted(zip(*rows), key=lambda row: row[:3])
-            for (lang, a_block, b_block), group in groupby(table, key=lambda row: row[:3]):
-                group = list(group)
-                value = summed(group)
+            n = batch.num_rows
+            new = np.ones(n, dtype=bool)
+            new[1:] = False
+            for name in ("lang", "a_block", "b_block"):
+                column = batch.column(name)
+                differ = pc.not_equal(column.slice(1), column.slice(0, max(n - 1, 0)))
+                new[1:] |= differ.to_numpy(zero_copy_only=False)
+            cuts = np.append(np.flatnonzero(new), n).tolist() if n else []
+            for first, last in zip(cuts, cuts[1:]):
+                part = batch.slice(first, last - first)
+                lang, a_block, b_block = (part.column(name)[0].as_py() for name in ("lang", "a_block", "b_block"))
+                value = summed(part)
                 a, b = np.indices(value.shape).reshape(2, -1)
                 size = value.size
                 yield pa.RecordBatch.from_arrays(
@@ -200,7 +292,7 @@ def _tile_sums(cells: DataFrame, tile: int) -> DataFrame:
                         pa.array(np.full(size, a_block, dtype=np.int32)),
                         pa.array(np.full(size, b_block, dtype=np.int32)),
                         pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
-                        pa.array(value.reshape(-1)), pa.array(np.full(size, len(group), dtype=np.int64)),
+                        pa.array(value.reshape(-1)), pa.array(np.full(size, last - first, dtype=np.int64)),
                     ],
                     names=["lang", "a_block", "b_block", "a", "b", "value", "n_terms"],
                 )

@@ -38,25 +38,46 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def token_hashes(
-    texts: pa.Array, classes: np.ndarray, exact: bool = False
-) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens in order, and the cuts between texts: text i has cuts[i]:cuts[i+1]."""
-    texts = pc.fill_null(texts, "")
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and the places between them."""
     wide = pa.types.is_large_string(texts.type)
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64 if wide else np.int32)
     offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = texts.buffers()[2]
     if data is None or offsets[0] == offsets[-1]:
-        return np.empty(0, dtype=np.uint64), np.zeros(len(texts) + 1, dtype=np.int64)
-    data = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    kinds = classes[data]
-    edge = np.empty(len(data), dtype=bool)
+        return np.empty(0, dtype=np.uint8), np.zeros(len(texts) + 1, dtype=np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _run_starts(kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where runs of one class begin; a text's end ends a run."""
+    edge = np.empty(len(kinds), dtype=bool)
     edge[0] = True
     np.not_equal(kinds[1:], kinds[:-1], out=edge[1:])
-    edge[offsets[:-1][offsets[:-1] < len(data)]] = True
-    starts = np.flatnonzero(edge)
+    edge[offsets[:-1][offsets[:-1] < len(kinds)]] = True
+    return np.flatnonzero(edge)
+
+
+def token_spans(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, and where each token begins and ends there, in the order of its hash."""
+    data, offsets = _bytes_of(pc.fill_null(texts, ""))
+    if not len(data):
+        return data, offsets[:0], offsets[:0]
+    kinds = classes[data]
+    starts = _run_starts(kinds, offsets)
+    tokens = kinds[starts] != 0
+    return data, starts[tokens], np.append(starts[1:], len(data))[tokens]
+
+
+def token_hashes(
+    texts: pa.Array, classes: np.ndarray, exact: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens in order, and the cuts between texts: text i has cuts[i]:cuts[i+1]."""
+    data, offsets = _bytes_of(pc.fill_null(texts, ""))
+    if not len(data):
+        return np.empty(0, dtype=np.uint64), offsets
+    kinds = classes[data]
+    starts = _run_starts(kinds, offsets)
     hashes = np.empty(len(starts), dtype=np.uint64)
     first = 0
     while first < len(starts):
