@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from botiquin.contracts import BOARD_TITLES, ITEM_KEY, SCHEMAS
 from botiquin.functions import dates, numbers, stock, text
-from botiquin.operators import dedupe, filters, merge, paging, quality, reconcile
+from botiquin.operators import dedupe, drift, filters, merge, paging, quality, reconcile
 from botiquin.plans import kpis, loads, roles, sync
 from botiquin.plans.board import BoardInputs, board, pending_delivery, unexpired_stock
 from botiquin.plans.roles import AS_OF, ITEM, Tables
@@ -148,6 +148,14 @@ def board_page_deep(t: Tables) -> DataFrame:
     return index.page(index.total // 200, 200)
 
 
+@query
+def execution_capped(t: Tables) -> DataFrame:
+    """As many of the largest execution lines as the caller asks for."""
+    lines = roles.execution(t, names=False).select("id_llamado", "item", "codigo", "monto_total")
+    order = ("monto_total", "id_llamado", "item", "codigo")
+    return paging.capped(lines.orderBy(*[F.col(c).desc_nulls_last() for c in order]), 15_000)
+
+
 @query
 def board_page_after(t: Tables) -> DataFrame:
     columns = ("id_llamado", "licitacion", "codigo", "item", "nivel_stock")
@@ -1127,6 +1135,25 @@ def text_migration(t: Tables) -> DataFrame:
     return quality.to_text_columns(df, ["item", "codigo", "observaciones"])
 
 
+@query
+def schema_drift(t: Tables) -> DataFrame:
+    """A table whose files came over time: items and codes as numbers in some, as text in others.
+    Only the drifted files are written again, as text."""
+    root = work_dir(t.spark, "deriva")
+    contract = (
+        T.StructType().add("id_llamado", T.LongType()).add("item", T.StringType()).add("codigo", T.StringType())
+    )
+    kinds = {"A": ("string", "string"), "N": ("int", "string"), "R": ("string", "bigint")}
+    for flag, (item, code) in kinds.items():
+        t.lineitem.where(F.col("l_returnflag") == flag).select(
+            F.col("l_orderkey").cast("bigint").alias("id_llamado"),
+            F.col("l_linenumber").cast(item).alias("item"), F.col("l_partkey").cast(code).alias("codigo"),
+        ).write.parquet(f"{root}/{flag}")
+    files = [path for flag in kinds for path in csv.data_files(t.spark, f"{root}/{flag}")]
+    kept, _ = drift.rewrite_drifted(t.spark, files, contract, f"{root}/texto")
+    return t.spark.read.schema(contract).parquet(*kept)
+
+
 @query
 def table_counts(t: Tables) -> DataFrame:
     return quality.table_counts(

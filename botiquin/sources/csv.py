@@ -125,7 +125,8 @@ def _header_groups(
 ) -> dict[tuple[str, tuple[str, ...], bool], list[str]]:
     """Files by separator, headers and whether the header takes several lines."""
     groups: dict[tuple[str, tuple[str, ...], bool], list[str]] = {}
-    records = {_plain(path): record for path, record in first_records(spark, paths).items()}
+    # Spark gives the names of files back with escapes.
+    records = {_plain(unquote(path)): record for path, record in first_records(spark, paths).items()}
     for path in paths:
         found = records.get(_plain(path))
         if not found or not found.strip(b"\xef\xbb\xbf\r"):
@@ -138,8 +139,8 @@ def _header_groups(
 
 
 def _plain(path: str) -> str:
-    """A path without its file system, and with characters instead of their escapes."""
-    return unquote(re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path))
+    """A path without its file system."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path)
 
 
 def read_extract(

@@ -618,6 +618,12 @@ d AS (
   UNION ALL SELECT 'N' || nro, codigo, 'sobra', '' FROM p WHERE monto < 6000)
 SELECT 'pedidos' AS tabla, '{"nro_pedido":"' || nro || '","codigo":"' || codigo || '"}' AS clave,
   diferencia, columnas FROM d"""
+ORACLE["schema_drift"] = """SELECT l_orderkey AS id_llamado, l_linenumber::VARCHAR AS item,
+    l_partkey::VARCHAR AS codigo FROM lineitem"""
+ORACLE["execution_capped"] = """SELECT l_orderkey AS id_llamado, l_linenumber::VARCHAR AS item,
+    l_partkey::VARCHAR AS codigo, CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE) AS monto_total
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  ORDER BY CAST(l_extendedprice AS DECIMAL(18, 2)) DESC, 1 DESC, 2 DESC, 3 DESC LIMIT 15000"""
 ORACLE["lower_headers"] = """SELECT o_orderkey AS id_llamado, o_orderpriority AS licitacion,
     o_orderstatus AS estado FROM orders"""
 ORACLE["sync_verify"] = """WITH n AS (
