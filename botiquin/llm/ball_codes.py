@@ -52,7 +52,7 @@ class Coding:
     entries: int = 256
     rounds: int = 4
     chunk: int = 1024
-    leaf: int = 8
+    leaf: int = 32
 
 
 @dataclass
