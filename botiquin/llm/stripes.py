@@ -14,8 +14,8 @@ floor((p - q)^2 / (p + q)). All of it is whole numbers; p is divided digit by di
 reach 10^15.
 
 Pairs of sources are summed in tiles of ``tile`` by ``tile`` sources, so that memory does not grow with
-their number; a tile looks at the terms that one of its sources has, and the rest, equal for all, is
-added by their number. Its result has a row per ordered pair of a language's sources, as asked.
+their number; a stripe goes to the tiles that one of its sources is in, and the rest of the terms, equal
+for all, is added by their number. Its result has a row per ordered pair of a language's sources, as asked.
 
 Defined cases: null text, language and source count as ''. Documents without terms count as a group
 of their source. Rows with the same id are documents of their own. A language without kept terms has
@@ -29,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from botiquin.llm.tables import slices, stored
+from botiquin.llm.tables import discard, slices, stored
 from botiquin.llm.words import token_hashes, token_spans
 
 SCALE = 1_000_000_000
@@ -50,7 +50,7 @@ _TERMS = np.zeros(256, dtype=np.uint8)
 _TERMS[65:91] = _TERMS[97:123] = _TERMS[128:] = 1
 _SMALL = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-STRIPE = "lang string, term string, docs long, sources array<string>, counts array<long>"
+STRIPE = "lang string, term string, docs long, places array<int>, counts array<long>"
 
 
 def shares(counts: np.ndarray, total: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -97,10 +97,11 @@ def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.n
 
 
 class _Stripes:
-    """The stripes that one task holds: hash of the term, language, source, documents, occurrences."""
+    """The stripes that one task holds: hash of the term, language, place of the source, documents,
+    occurrences."""
 
     def __init__(self):
-        self.langs, self.sources = _Names(), _Names()
+        self.langs = _Names()
         self.parts: list[list[np.ndarray]] = []
         self.held = 0
         self.hashes = np.empty(0, dtype=np.uint64)
@@ -115,8 +116,9 @@ class _Stripes:
         doc = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
         self._learn(texts, hashes)
         (hashes, doc), (occurrences,) = _summed([hashes, doc], [np.ones(len(hashes), dtype=np.int64)])
-        lang, source = self.langs.of(batch.column("lang"))[doc], self.sources.of(batch.column("source"))[doc]
-        keys, sums = _summed([hashes, lang, source], [np.ones(len(hashes), dtype=np.int64), occurrences])
+        lang = self.langs.of(batch.column("lang"))[doc]
+        place = batch.column("place").to_numpy().astype(np.int64)[doc]
+        keys, sums = _summed([hashes, lang, place], [np.ones(len(hashes), dtype=np.int64), occurrences])
         self.parts.append([*keys, *sums])
         self.held += len(keys[0])
 
@@ -148,23 +150,22 @@ class _Stripes:
     def spill(self) -> Iterator[pa.RecordBatch]:
         if not self.merge():
             return
-        hashes, lang, source, docs, counts = self.parts[0]
-        order = np.lexsort((source, hashes, lang))
-        hashes, lang, source, docs, counts = (x[order] for x in (hashes, lang, source, docs, counts))
+        hashes, lang, place, docs, counts = self.parts[0]
+        order = np.lexsort((place, hashes, lang))
+        hashes, lang, place, docs, counts = (x[order] for x in (hashes, lang, place, docs, counts))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (lang[1:] != lang[:-1])
         first = np.flatnonzero(new)
         ends = np.append(first, len(order))
         docs = np.add.reduceat(docs, first)
         terms = self.terms.take(pa.array(np.searchsorted(self.hashes, hashes[first])))
-        langs, sources = self.langs.names(lang[first]), self.sources.names(source)
-        yield from _stripe_batches(langs, terms, docs, ends, sources, counts)
+        yield from _stripe_batches(self.langs.names(lang[first]), terms, docs, ends, place, counts)
 
 
 def _stripe_batches(
-    langs: pa.Array, terms: pa.Array, docs: np.ndarray, ends: np.ndarray, sources: pa.Array, counts: np.ndarray
+    langs: pa.Array, terms: pa.Array, docs: np.ndarray, ends: np.ndarray, places: np.ndarray, counts: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Stripe k has the sources and counts from ends[k] to ends[k + 1]."""
+    """Stripe k has the places and counts from ends[k] to ends[k + 1]."""
     for a in range(0, len(docs), _ROWS):
         b = min(a + _ROWS, len(docs))
         offsets = pa.array((ends[a : b + 1] - ends[a]).astype(np.int32))
@@ -172,15 +173,16 @@ def _stripe_batches(
         yield pa.RecordBatch.from_arrays(
             [
                 langs[a:b], terms[a:b], pa.array(docs[a:b]),
-                pa.ListArray.from_arrays(offsets, sources[cells]),
+                pa.ListArray.from_arrays(offsets, pa.array(places[cells].astype(np.int32))),
                 pa.ListArray.from_arrays(offsets, pa.array(counts[cells])),
             ],
-            names=["lang", "term", "docs", "sources", "counts"],
+            names=["lang", "term", "docs", "places", "counts"],
         )
 
 
 def fold(docs: DataFrame, most_held: int = MOST_HELD) -> DataFrame:
-    """Stripes of documents given as lang, source and text, as many per term as tasks and spills."""
+    """Stripes of documents given as lang, place (of the source) and text, as many per term as tasks and
+    spills."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Stripes()
@@ -192,7 +194,7 @@ def fold(docs: DataFrame, most_held: int = MOST_HELD) -> DataFrame:
                 held = _Stripes()
         yield from held.spill()
 
-    return docs.select("lang", "source", "text").mapInArrow(run, STRIPE)
+    return docs.select("lang", "place", "text").mapInArrow(run, STRIPE)
 
 
 def _lengths(lists: pa.Array) -> np.ndarray:
@@ -209,16 +211,13 @@ def _merged(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         new[1:] = differ.to_numpy(zero_copy_only=False) | (new[1:] if column is term else False)
     first = np.flatnonzero(new)
     group = np.cumsum(new) - 1
-    coded = pc.dictionary_encode(batch.column("sources").flatten())
-    row = np.repeat(group, _lengths(batch.column("sources")))
-    counts = batch.column("counts").flatten().to_numpy()
-    (row, source), (counts,) = _summed([row, coded.indices.to_numpy().astype(np.int64)], [counts])
+    row = np.repeat(group, _lengths(batch.column("places")))
+    places, counts = (batch.column(name).flatten().to_numpy() for name in ("places", "counts"))
+    (row, places), (counts,) = _summed([row, places], [counts])
     ends = np.searchsorted(row, np.arange(len(first) + 1))
     docs = np.add.reduceat(batch.column("docs").to_numpy(), first)
     keys = pa.array(first)
-    return list(
-        _stripe_batches(lang.take(keys), term.take(keys), docs, ends, coded.dictionary.take(pa.array(source)), counts)
-    )
+    return list(_stripe_batches(lang.take(keys), term.take(keys), docs, ends, places, counts))
 
 
 def merge(stripes: DataFrame) -> DataFrame:
@@ -244,65 +243,75 @@ def merge(stripes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, STRIPE).withColumn("occurrences", total)
 
 
-def _tile_sums(cells: DataFrame, tile: int) -> DataFrame:
-    """lang, a_block, b_block, a, b, value, terms: sums over the terms that a tile's sources have.
+_SUMS = "lang string, a_block int, b_block int, a int, b int, value long, n_terms long"
+# Tiles whose sums a task holds before it hands them on.
+_TILES_HELD = 256
+
+
+def _tile_value(part: pa.RecordBatch) -> np.ndarray:
+    """The sums over the rows of one tile."""
+    totals = [part.column(name)[0].values.to_numpy() for name in ("a_totals", "b_totals")]
+    terms = part.column("terms").to_numpy()[0]
+    value = np.zeros((len(totals[0]), len(totals[1])), dtype=np.int64)
+    for first in range(0, part.num_rows, _TERMS_AT_ONCE):
+        rows = part.slice(first, _TERMS_AT_ONCE)
+        sides = []
+        for name, total in zip(("a_side", "b_side"), totals):
+            lists = rows.column(name)
+            counts = np.zeros((rows.num_rows, len(total)), dtype=np.int64)
+            cells = lists.flatten()
+            at = np.repeat(np.arange(rows.num_rows), _lengths(lists)), cells.field("places").to_numpy()
+            counts[at] = cells.field("counts").to_numpy()
+            sides.append(shares(counts, total, terms))
+        value += divergence(sides[0][:, :, None], sides[1][:, None, :]).sum(axis=0)
+    return value
+
+
+def _tile_sums(cells: DataFrame) -> DataFrame:
+    """lang, a_block, b_block, a, b, value, n_terms: sums over the terms that a tile's sources have.
 
     ``cells`` has a row per tile and kept term with the places and counts of its sources, and of the
     tile the totals of its rows and columns and the kept terms of its language.
     """
 
-    def summed(part: pa.RecordBatch) -> np.ndarray:
-        """Of the rows of one tile."""
-        totals = [part.column(name)[0].values.to_numpy() for name in ("a_totals", "b_totals")]
-        terms = part.column("terms").to_numpy()[0]
-        value = np.zeros((len(totals[0]), len(totals[1])), dtype=np.int64)
-        for first in range(0, part.num_rows, _TERMS_AT_ONCE):
-            rows = part.slice(first, _TERMS_AT_ONCE)
-            sides = []
-            for name, total in zip(("a_side", "b_side"), totals):
-                lists = rows.column(name)
-                counts = np.zeros((rows.num_rows, len(total)), dtype=np.int64)
-                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
-                cells = lists.flatten()
-                at = np.repeat(np.arange(rows.num_rows), lengths), cells.field("place").to_numpy()
-                counts[at] = cells.field("count").to_numpy()
-                sides.append(shares(counts, total, terms))
-            value += divergence(sides[0][:, :, None], sides[1][:, None, :]).sum(axis=0)
-        return value
+    def sums(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, a_block, b_block), (value, n) in held.items():
+            a, b = np.indices(value.shape, dtype=np.int32).reshape(2, -1)
+            size = value.size
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * size, pa.string()), pa.array(np.full(size, a_block, dtype=np.int32)),
+                    pa.array(np.full(size, b_block, dtype=np.int32)), pa.array(a), pa.array(b),
+                    pa.array(value.reshape(-1)), pa.array(np.full(size, n, dtype=np.int64)),
+                ],
+                names=["lang", "a_block", "b_block", "a", "b", "value", "n_terms"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[np.ndarray, int]] = {}
         for batch in batches:
-            n = batch.num_rows
-            new = np.ones(n, dtype=bool)
+            coded = pc.dictionary_encode(batch.column("lang"))
+            keys = [coded.indices.to_numpy()] + [batch.column(n).to_numpy() for n in ("a_block", "b_block")]
+            order = np.lexsort(keys[::-1])
+            new = np.ones(len(order), dtype=bool)
             new[1:] = False
-            for name in ("lang", "a_block", "b_block"):
-                column = batch.column(name)
-                differ = pc.not_equal(column.slice(1), column.slice(0, max(n - 1, 0)))
-                new[1:] |= differ.to_numpy(zero_copy_only=False)
-            cuts = np.append(np.flatnonzero(new), n).tolist() if n else []
+            for key in keys:
+                new[1:] |= key[order][1:] != key[order][:-1]
+            cuts = np.append(np.flatnonzero(new), len(order)).tolist() if len(order) else []
             for first, last in zip(cuts, cuts[1:]):
-                part = batch.slice(first, last - first)
-                lang, a_block, b_block = (part.column(name)[0].as_py() for name in ("lang", "a_block", "b_block"))
-                value = summed(part)
-                a, b = np.indices(value.shape).reshape(2, -1)
-                size = value.size
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * size, pa.string()),
-                        pa.array(np.full(size, a_block, dtype=np.int32)),
-                        pa.array(np.full(size, b_block, dtype=np.int32)),
-                        pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
-                        pa.array(value.reshape(-1)), pa.array(np.full(size, last - first, dtype=np.int64)),
-                    ],
-                    names=["lang", "a_block", "b_block", "a", "b", "value", "n_terms"],
-                )
-
-    # One tile after the other, so that a batch makes few sums.
-    sums = cells.sortWithinPartitions("lang", "a_block", "b_block").mapInArrow(
-        run, "lang string, a_block int, b_block int, a int, b int, value long, n_terms long"
-    )
+                part = batch.take(pa.array(order[first:last]))
+                tile = tuple(part.column(name)[0].as_py() for name in ("lang", "a_block", "b_block"))
+                value, n = held.get(tile, (0, 0))
+                held[tile] = (value + _tile_value(part), n + part.num_rows)
+            if len(held) > _TILES_HELD:
+                yield from sums(held)
+                held = {}
+        yield from sums(held)
+
     keys = ["lang", "a_block", "b_block", "a", "b"]
-    return sums.groupBy(*keys).agg(F.sum("value").alias("value"), F.sum("n_terms").alias("n_terms"))
+    return cells.mapInArrow(run, _SUMS).groupBy(*keys).agg(
+        F.sum("value").alias("value"), F.sum("n_terms").alias("n_terms")
+    )
 
 
 def divergences(
@@ -323,27 +332,27 @@ def divergences(
     rows = docs.select(
         text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text")
     )
-    merged = merge(stored(fold(rows, most_held), "stripes-spilled")).where(F.col("docs") >= least_docs)
-    kept = stored(merged.select("lang", "term", "occurrences", F.arrays_zip("sources", "counts").alias("cells")),
-                  "stripes-kept")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    sources = stored(rows.select("lang", "source").distinct().withColumn("place", nth), "stripes-sources")
+    placed = rows.join(sources, ["lang", "source"]).select("lang", "place", "text")
+    spilled = stored(fold(placed, most_held), "stripes-spilled")
+    kept = stored(
+        merge(spilled).where(F.col("docs") >= least_docs).drop("docs"), "stripes-kept"
+    )
+    discard(spilled)
     of_lang = kept.groupBy("lang").agg(
         F.count("*").alias("terms"), F.sum("occurrences").alias("lang_total")
     )
-    flat = kept.select("lang", "term", "occurrences", F.explode("cells").alias("cell")).select(
-        "lang", "term", "occurrences", F.col("cell.sources").alias("source"), F.col("cell.counts").alias("count")
+    flat = kept.select("lang", "term", "occurrences", F.explode(F.arrays_zip("places", "counts")).alias("cell")).select(
+        "lang", "term", "occurrences", F.col("cell.places").alias("place"), F.col("cell.counts").alias("count")
     )
-    of_group = flat.groupBy("lang", "source").agg(F.sum("count").alias("total"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    of_group = flat.groupBy("lang", "place").agg(F.sum("count").alias("total"))
     groups = stored(
-        rows.select("lang", "source").distinct().join(of_group, ["lang", "source"], "left")
-        .join(of_lang, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
-        .withColumn("nth", nth)
-        .withColumns({"block": F.floor(F.col("nth") / tile).cast("int"), "place": (F.col("nth") % tile).cast("int")}),
+        sources.join(of_group, ["lang", "place"], "left").join(of_lang, "lang", "left")
+        .na.fill(0, ["total", "terms", "lang_total"]),
         "stripes-groups",
     )
-    placed = flat.join(groups, ["lang", "source"])
-    named = groups.select("lang", "source", "block", "place")
-    return _pairs(placed, groups, named, tile).unionByName(_terms(placed, top_terms))
+    return _pairs(kept, groups, tile).unionByName(_terms(flat.join(groups, ["lang", "place"]), top_terms))
 
 
 def _ranked(rows: DataFrame, part: str) -> DataFrame:
@@ -353,38 +362,43 @@ def _ranked(rows: DataFrame, part: str) -> DataFrame:
     )
 
 
-def _pairs(placed: DataFrame, groups: DataFrame, named: DataFrame, tile: int) -> DataFrame:
-    blocks = groups.groupBy("lang", "block").agg(
+def _pairs(kept: DataFrame, groups: DataFrame, tile: int) -> DataFrame:
+    def block(place: Column) -> Column:
+        return F.floor(place / tile).cast("int")
+
+    blocks = groups.groupBy("lang", block(F.col("place")).alias("block")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "total"))), lambda c: c["total"]).alias("totals"),
         F.first("terms").alias("terms"),
     )
     a, b = (blocks.select("lang", F.col("block").alias(f"{s}_block"), F.col("totals").alias(f"{s}_totals"), "terms")
             for s in ("a", "b"))
-    tiles = a.join(b.drop("terms"), "lang").where("a_block <= b_block")
-    # A term's sources by block; each block goes to the tiles of its row and column.
-    sides = placed.groupBy("lang", "term", "block").agg(
-        F.collect_list(F.struct("place", "count")).alias("side")
-    )
-    as_row = sides.select("lang", "term", F.col("block").alias("a_block"), F.col("side").alias("a_side"))
-    as_column = sides.select("lang", "term", F.col("block").alias("b_block"), F.col("side").alias("b_side"))
-    at = tiles.select("lang", "a_block", "b_block")
+    tiles = stored(a.join(b.drop("terms"), "lang").where("a_block <= b_block"), "stripes-tiles")
+
+    def side(name: str) -> Column:
+        """The cells of a stripe in a block, by their place there."""
+        inside = F.filter(F.arrays_zip("places", "counts"), lambda c: block(c["places"]) == F.col(f"{name}_block"))
+        return F.transform(
+            inside, lambda c: F.struct((c["places"] % tile).alias("places"), c["counts"].alias("counts"))
+        ).alias(f"{name}_side")
+
+    # A stripe goes to the tiles of which it has a row or a column.
+    own = F.array_distinct(F.transform("places", block))
     cells = (
-        as_row.join(at, ["lang", "a_block"])
-        .join(as_column.join(at, ["lang", "b_block"]), ["lang", "term", "a_block", "b_block"], "full")
-        .join(tiles, ["lang", "a_block", "b_block"])
-    )
-    sums = _tile_sums(cells, tile)
-    both = named.select("lang", F.col("source").alias("a_source"), F.col("block").alias("a_block"),
-                        F.col("place").alias("a")).join(
-        named.select("lang", F.col("source").alias("b_source"), F.col("block").alias("b_block"),
-                     F.col("place").alias("b")), "lang"
-    ).where("a_source < b_source")
-    totals = groups.select("lang", "source", "total", "terms")
-    known = (
-        both.join(sums, ["lang", "a_block", "b_block", "a", "b"], "left")
-        .join(totals.withColumnsRenamed({"source": "a_source", "total": "a_total"}), ["lang", "a_source"])
-        .join(totals.drop("terms").withColumnsRenamed({"source": "b_source", "total": "b_total"}), ["lang", "b_source"])
+        kept.select("lang", "places", "counts", own.alias("own")).join(tiles, "lang")
+        .where(F.arrays_overlap("own", F.array("a_block", "b_block")))
+        .select("lang", "a_block", "b_block", side("a"), side("b"), "a_totals", "b_totals", "terms")
     )
+    sums = _tile_sums(cells).withColumns(
+        {"a_place": F.col("a_block") * tile + F.col("a"), "b_place": F.col("b_block") * tile + F.col("b")}
+    ).select("lang", "a_place", "b_place", "value", "n_terms")
+
+    def named(prefix: str) -> DataFrame:
+        return groups.select(
+            "lang", "terms", *[F.col(n).alias(f"{prefix}_{n}") for n in ("source", "place", "total")]
+        )
+
+    both = named("a").join(named("b").drop("terms"), "lang").where("a_place < b_place")
+    known = both.join(sums, ["lang", "a_place", "b_place"], "left")
     p, q = (_share_of_none(f"{side}_total") for side in ("a", "b"))
     absent = F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div (({p}) + ({q}))")
     rest = F.col("terms") - F.coalesce("n_terms", F.lit(0))

@@ -16,6 +16,7 @@ from botiquin.llm.components import components
 from botiquin.llm.jaccard import Similarity
 from botiquin.llm.oracle import ORACLE
 from botiquin.llm.queries import QUERIES
+from botiquin.llm.tables import discard, intermediates, stored
 from tests.compare import connect, difference
 from tests.llm import frames
 
@@ -495,3 +496,18 @@ def test_weights_like_counting_in_plain_python(spark):
     # The draw: the same variate for the same document, spread as a Gumbel variate is.
     noise = np.array([(r.key - r.log_weight) / options.temperature for r in got.values()])
     assert abs(noise.mean() - 0.5772) < 0.35 and abs(noise.std() - math.pi / math.sqrt(6)) < 0.35
+
+
+def test_intermediate_tables_go(spark):
+    import os
+
+    kept = stored(spark.range(3), "kept")
+    with pytest.raises(RuntimeError), intermediates():
+        inner, early = stored(spark.range(4), "inner"), stored(spark.range(5), "early")
+        discard(early)
+        assert not os.path.isdir(early.stored_at.removeprefix("file:")) and inner.count() == 4
+        raise RuntimeError
+    assert not os.path.isdir(inner.stored_at.removeprefix("file:"))
+    assert kept.count() == 3
+    discard(kept, early)
+    assert not os.path.isdir(kept.stored_at.removeprefix("file:"))
