@@ -36,10 +36,16 @@ _LABELS = ("=allow", "=block")
 
 @dataclass(frozen=True)
 class Mining:
-    """Least share of labelled URLs with a combination and its label, and least confidence of a rule."""
+    """Least share of labelled URLs with a combination and its label, the least number of them, and
+    the least confidence of a rule.
+
+    The number holds where there are few labels: a share of a few URLs would make every combination of
+    their tokens a rule.
+    """
 
     support: float = 0.005
     confidence: float = 0.95
+    least: int = 5
 
 
 def host_of(url: Column) -> Column:
@@ -102,8 +108,10 @@ def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
     Rows without label are passed over.
     """
     items = F.concat("tokens", F.array(F.concat(F.lit("="), "label")))
-    growth = FPGrowth(itemsCol="items", minSupport=mining.support, minConfidence=mining.confidence)
-    found = growth.fit(labelled.where(F.col("label").isNotNull()).select(items.alias("items"))).associationRules
+    transactions = labelled.where(F.col("label").isNotNull()).select(items.alias("items"))
+    support = min(1.0, max(mining.support, mining.least / max(transactions.count(), 1)))
+    growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence)
+    found = growth.fit(transactions).associationRules
     of_host = F.exists("antecedent", lambda x: F.substring_index(x, ":", 1).isin("tld", "domain", "label"))
     rules = stored(
         found.where(
@@ -117,13 +125,18 @@ def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
         ).withColumn("rule_id", F.xxhash64("needed", "says")),
         "url-rules",
     )
-    # A rule is redundant where one on fewer tokens with the same label is as confident.
-    general = rules.select(
+    # A rule is redundant where one on fewer tokens with the same label is as confident. The fewer ones
+    # are filed under the token that the fewest rules have, which the longer ones have too.
+    each = rules.select("rule_id", "needed", "says", "confidence", F.explode("needed").alias("token"))
+    uses = each.groupBy("token").count()
+    heads = each.join(uses, "token").groupBy("rule_id").agg(
+        F.min(F.struct("count", "token")).alias("head")
+    )
+    general = rules.join(heads, "rule_id").select(
         F.col("needed").alias("fewer"), F.col("says").alias("same"), F.col("confidence").alias("sure"),
-        F.explode("needed").alias("token"),
+        F.col("head.token").alias("token"),
     )
-    specific = rules.select("rule_id", "needed", "says", "confidence", F.explode("needed").alias("token"))
-    redundant = specific.join(general, "token").where(
+    redundant = each.join(general, "token").where(
         (F.col("same") == F.col("says")) & (F.size("fewer") < F.size("needed"))
         & (F.col("sure") >= F.col("confidence")) & (F.size(F.array_except("fewer", "needed")) == 0)
     ).select("rule_id").distinct()
