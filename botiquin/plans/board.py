@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +127,24 @@ def stock_by_code(
     )
 
 
+def _by_call(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys``, of which only the first, id_llamado, deals rows out; the others are
+    checked within each id.
+
+    The execution side is dealt out by id_llamado from its join with the orders, so the right sides
+    keyed by call reuse that partitioning instead of each shuffling the wide lines again. Plain
+    equality throughout: a missing key matches nothing. With one right row per key no row is
+    multiplied.
+    """
+    right = right.select(*[F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
+    on = reduce(
+        Column.__and__,
+        [F.coalesce(F.col(k) == F.col(f"_r{k}"), F.lit(False)) for k in keys[1:]],
+        F.col(keys[0]) == F.col(f"_r{keys[0]}"),
+    )
+    return df.join(right, on, "left").drop(*[f"_r{k}" for k in keys])
+
+
 def _newest_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
     """A total order by time of change, then by the other columns."""
     rest = [c for c in df.columns if c not in keys and c != "actualizado_en"]
@@ -192,12 +211,8 @@ def board(
             "codigo",
             "pendiente_entrega",
         )
-        df = df.join(pending, ["id_llamado", "_licitacion", "_proveedor", "codigo"], "left")
+        df = _by_call(df, pending, ["id_llamado", "_licitacion", "_proveedor", "codigo"])
         have.add("pending")
-    if wanted & _STOCK:
-        goods = stock_by_code(inputs.stock, inputs.lots, as_of, stock_row)
-        if goods is not None:
-            df = df.join(goods, "codigo", "left")
     if inputs.requested is not None and wanted & _REQUEST:
         r = inputs.requested.select(
             "id_llamado",
@@ -212,8 +227,13 @@ def board(
         )
         request_key = ["id_llamado", "_licitacion", "codigo", "_item"]
         r = keep_latest(r, request_key, ["_cambio", "_solicitada", "emitir_en", "comentario"])
-        df = df.join(r.drop("_cambio"), request_key, "left")
+        df = _by_call(df, r.drop("_cambio"), request_key)
         have.add("request")
+    # Last, as the only join by code.
+    if wanted & _STOCK:
+        goods = stock_by_code(inputs.stock, inputs.lots, as_of, stock_row)
+        if goods is not None:
+            df = df.join(goods, "codigo", "left")
 
     def col(name: str, dtype: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast(dtype)

@@ -3,6 +3,7 @@
 import datetime as dt
 import decimal
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -521,3 +522,34 @@ def test_board_against_a_loop(spark):
     ids = {k: e["id"] for k, e in newest.items()}
     got = [(ids[tuple(r)[:4]], *tuple(r)[4:]) for r in df.collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_board_joins_by_call_reuse_the_partitioning(spark):
+    """Pending deliveries and requests join within each call id: the execution lines, dealt out by
+    id_llamado, are not shuffled again by their full keys, and missing keys still match nothing."""
+    lines = table(spark, "ejecucion", [
+        line(1, "c1", item="1", id_llamado=1, licitacion="L", proveedor="P"),
+        line(2, "c1", item="2", id_llamado=1, licitacion=None, proveedor="P"),
+        line(3, "c2", item="1", id_llamado=2, licitacion="L", proveedor="P"),
+    ]).repartition(4, "id_llamado")
+    orders = table(spark, "ordenes", [
+        {"id_llamado": 1, "llamado": "L", "proveedor": "P", "codigo": "c1", "saldo": D(5), "estado": "x"},
+        {"id_llamado": 1, "llamado": None, "proveedor": "P", "codigo": "c1", "saldo": D(7), "estado": "x"},
+    ])
+    requested = table(spark, "cantidad_solicitada", [
+        {"id_llamado": 2, "licitacion": "L", "codigo": "c2", "item": "1", "cantidad_solicitada": D(3)},
+    ])
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        df = board(BoardInputs(execution=lines, orders=orders, requested=requested), TODAY,
+                   ("id_llamado", "item", "pendiente_entrega", "cantidad_solicitada"), legacy=True)
+        got = sorted((r.id_llamado, r.item, r.pendiente_entrega, r.cantidad_solicitada) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    assert got == [(1, "1", D(5), D(0)), (1, "2", D(0), D(0)), (2, "1", D(0), D(3))]
+    # Only the requests' own dedupe deals rows out by a full key.
+    assert len(set(re.findall(r"hashpartitioning\(id_llamado#\d+L?, _licitacion", plan))) == 1
+    assert not re.search(r"hashpartitioning\([^)]*_proveedor", plan)
