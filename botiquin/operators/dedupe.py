@@ -19,8 +19,13 @@ from botiquin.contracts import LOAD_ORDER_COLUMN
 _RN = "_rn"
 
 
-def keep_top(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key in the given order."""
+def keep_top(
+    df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], partitions: int | None = None
+) -> DataFrame:
+    """The first row of each key in the given order; ``partitions``, if given, deals the rows out by
+    key into that many partitions first, so that each reducer of a large input holds a bounded share."""
+    if partitions:
+        df = df.repartition(partitions, *keys)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(window)).where(F.col(_RN) == 1).drop(_RN)
 
@@ -76,15 +81,17 @@ def delete_older(
     return kept.drop("_alone")
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], row: str = "_row") -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], row: str = "_row", partitions: int | None = None
+) -> DataFrame:
     """The first row of each key as it stands in the input; without keys all rows.
     (WIN-5 to WIN-8)"""
     present = [k for k in keys if k in df.columns]
-    return keep_top(df, present, [F.col(row).asc()]) if present else df
+    return keep_top(df, present, [F.col(row).asc()], partitions) if present else df
 
 
 def keep_newest_date(
-    df: DataFrame, keys: Sequence[str], date: Column | None, row: str = "_row"
+    df: DataFrame, keys: Sequence[str], date: Column | None, row: str = "_row", partitions: int | None = None
 ) -> DataFrame:
     """The row of each key with the newest date, dateless rows last, then input order. (WIN-4)
 
@@ -94,7 +101,7 @@ def keep_newest_date(
     if len(present) < 2:
         return df
     order = [] if date is None else [date.desc_nulls_last()]
-    return keep_top(df, present, [*order, F.col(row).asc()])
+    return keep_top(df, present, [*order, F.col(row).asc()], partitions)
 
 
 def filled_cells(df: DataFrame) -> Column:

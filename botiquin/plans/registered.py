@@ -20,7 +20,7 @@ from botiquin.operators import dedupe, drift, filters, merge, paging, quality, r
 from botiquin.plans import kpis, loads, roles, sync
 from botiquin.plans.board import BoardInputs, board, pending_delivery, unexpired_stock
 from botiquin.plans.roles import AS_OF, ITEM, Tables
-from botiquin.session import work_dir
+from botiquin.session import partitions_for, work_dir
 from botiquin.sources import csv, headers
 from botiquin.sources.csv import ROW
 from botiquin.sources.store import TableStore, fit_to, stamp_defaults
@@ -30,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ALERT_DAY = dt.date(1998, 6, 15)
+# Fixed value: bytes of a table's Parquet files per partition where a query deals the table out itself.
+_TABLE_BYTES = 4 * 1024 * 1024
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -966,7 +968,14 @@ def load_folder_all_kinds(t: Tables) -> DataFrame:
     """One folder with an extract of each kind, all loaded at once: key and quantity of every row, and
     of those set aside."""
     root = work_dir(t.spark, "carpeta")
-    lines = roles.lines_of_orders(t).dropDuplicates(["l_orderkey", "l_linenumber"]).select(
+    # Dealt out by order into partitions that grow with the tables, so one task's share stays bounded.
+    spread = partitions_for(t.spark, t.lineitem.inputFiles() + t.orders.inputFiles(), _TABLE_BYTES)
+    items, orders = (t.lineitem, t.orders) if spread is None else (
+        t.lineitem.repartition(spread, "l_orderkey"), t.orders.repartition(spread, "o_orderkey")
+    )
+    lines = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).dropDuplicates(
+        ["l_orderkey", "l_linenumber"]
+    ).select(
         F.col("l_orderkey").cast("string").alias("pedido"), F.col("l_linenumber").cast("string").alias("linea")
     )
     shipped = t.orders.select(

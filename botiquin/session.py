@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,3 +48,15 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate data once nothing reads it any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def partitions_for(spark: SparkSession, paths: list[str], bytes_each: int) -> int | None:
+    """A shuffle's number of partitions so that each gets about ``bytes_each`` of the files at
+    ``paths``; None where the session's number already gives no more than that."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    size = 0
+    for path in paths:
+        found = jvm.org.apache.hadoop.fs.Path(path)
+        size += found.getFileSystem(conf).getContentSummary(found).getLength()
+    wanted = math.ceil(size / bytes_each)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
