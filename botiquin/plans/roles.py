@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from botiquin.contracts import CLOSED_STATES
 from botiquin.operators.dedupe import keep_latest
 from botiquin.plans.board import BoardInputs
+from botiquin.session import partitions_for
 
 # The day that counts as today for expiry and alerts: inside the ship dates, near their end.
 AS_OF = dt.date(2001, 6, 1)
 # Items repeat per tender and line; the product code alone would make nearly all unique.
 ITEM = ("id_llamado", "licitacion", "item")
+# Fixed value: bytes of lineitem's and orders' Parquet files per partition of their join.
+_TABLE_BYTES = 4 * 1024 * 1024
 
 
 class Tables:
@@ -52,7 +55,14 @@ def line_order() -> Column:
 
 
 def lines_of_orders(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    """Lines with their orders, dealt out by order into partitions that grow with the tables where
+    the session's number is too few. Windows and joins keyed by the order reuse that partitioning,
+    so one task's share stays bounded."""
+    items, orders = t.lineitem, t.orders
+    spread = partitions_for(t.spark, items.inputFiles() + orders.inputFiles(), _TABLE_BYTES)
+    if spread is not None:
+        items, orders = items.repartition(spread, "l_orderkey"), orders.repartition(spread, "o_orderkey")
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def execution(t: Tables, names: bool = True, dirty: bool = False) -> DataFrame:
