@@ -127,9 +127,16 @@ def stock_by_code(
     )
 
 
-def _by_call(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys``, of which only the first, id_llamado, deals rows out; the others are
-    checked within each id.
+def _by_call(
+    df: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    dealt: int = 1,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Left join on ``keys``, of which only the first ``dealt``, id_llamado first, deal rows out; the
+    others are checked within them. ``partitions``, if given, deals both sides out by those keys
+    into that many partitions first.
 
     The execution side is dealt out by id_llamado from its join with the orders, so the right sides
     keyed by call reuse that partitioning instead of each shuffling the wide lines again. Plain
@@ -139,9 +146,14 @@ def _by_call(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     right = right.select(*[F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
     on = reduce(
         Column.__and__,
-        [F.coalesce(F.col(k) == F.col(f"_r{k}"), F.lit(False)) for k in keys[1:]],
-        F.col(keys[0]) == F.col(f"_r{keys[0]}"),
+        [
+            *[F.col(k) == F.col(f"_r{k}") for k in keys[:dealt]],
+            *[F.coalesce(F.col(k) == F.col(f"_r{k}"), F.lit(False)) for k in keys[dealt:]],
+        ],
     )
+    if partitions:
+        df = df.repartition(partitions, *keys[:dealt])
+        right = right.repartition(partitions, *[f"_r{k}" for k in keys[:dealt]])
     return df.join(right, on, "left").drop(*[f"_r{k}" for k in keys])
 
 
@@ -160,13 +172,16 @@ def board(
     dedupe_keys: Sequence[str] = ITEM_KEY,
     newest: Sequence[str] | None = None,
     stock_row: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per contract item. (JN-1 to JN-5, PRJ-12, FN-14 to FN-18)
 
     ``as_of`` is the day that counts as today. ``legacy`` gives the older definition: no item
     dedupe, coverage without stock and unrounded, levels by share of a month's demand.
     ``null_safe_keys`` lets a missing item, supplier or name match a missing one, which plain
-    SQL equality does not.
+    SQL equality does not. ``partitions``, if given, is the number of partitions into which the
+    request join deals both sides out by call id and, with null-safe keys, by tender; those keys
+    are then never null and compared plainly, so the join deals rows out by them.
     """
     wanted = set(columns)
     execution = inputs.execution
@@ -227,7 +242,8 @@ def board(
         )
         request_key = ["id_llamado", "_licitacion", "codigo", "_item"]
         r = keep_latest(r, request_key, ["_cambio", "_solicitada", "emitir_en", "comentario"])
-        df = _by_call(df, r.drop("_cambio"), request_key)
+        dealt = 2 if null_safe_keys else 1
+        df = _by_call(df, r.drop("_cambio"), request_key, dealt, partitions)
         have.add("request")
     # Last, as the only join by code.
     if wanted & _STOCK:

@@ -116,6 +116,7 @@ def board_null_safe(t: Tables) -> DataFrame:
         columns,
         null_safe_keys=True,
         dedupe_keys=("id_llamado", "licitacion", "codigo", "item"),
+        partitions=roles.spread(t),
     )
 
 

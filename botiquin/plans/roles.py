@@ -58,13 +58,18 @@ def lines_of_orders(t: Tables) -> DataFrame:
     """Lines with their orders, dealt out by order into partitions that grow with the tables where
     the session's number is too few. Windows and joins keyed by the order reuse that partitioning,
     so one task's share stays bounded."""
-    items, orders = t.lineitem, t.orders
-    spread = partitions_for(t.spark, items.inputFiles() + orders.inputFiles(), _TABLE_BYTES)
-    if spread is not None:
-        items, orders = items.repartition(spread, "l_orderkey"), orders.repartition(spread, "o_orderkey")
+    items, orders, parts = t.lineitem, t.orders, spread(t)
+    if parts is not None:
+        items, orders = items.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def spread(t: Tables) -> int | None:
+    """Partitions for lineitem and orders and what derives from them, by the size of their files;
+    None where the session's number already suffices."""
+    return partitions_for(t.spark, t.lineitem.inputFiles() + t.orders.inputFiles(), _TABLE_BYTES)
+
+
 def execution(t: Tables, names: bool = True, dirty: bool = False) -> DataFrame:
     """Execution lines. ``dirty`` pads some codes and blanks others."""
     df = lines_of_orders(t)
