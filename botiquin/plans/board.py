@@ -14,7 +14,7 @@ one row per key.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -130,30 +130,27 @@ def stock_by_code(
 def _by_call(
     df: DataFrame,
     right: DataFrame,
-    keys: Sequence[str],
+    keys: Mapping[str, Column],
     dealt: int = 1,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Left join on ``keys``, of which only the first ``dealt``, id_llamado first, deal rows out; the
-    others are checked within them. ``partitions``, if given, deals both sides out by those keys
-    into that many partitions first.
-
-    The execution side is dealt out by id_llamado from its join with the orders, so the right sides
-    keyed by call reuse that partitioning instead of each shuffling the wide lines again. Plain
-    equality throughout: a missing key matches nothing. With one right row per key no row is
-    multiplied.
+    """Left join of the ``right`` columns named in ``keys`` with the left side's expressions given
+    there, of which only the first ``dealt``, id_llamado first, deal rows out; the others are checked
+    within them. ``partitions``, if given, deals both sides out by those keys into that many
+    partitions first.
+
+    The execution side is dealt out by id_llamado, so the right sides keyed by call reuse that
+    partitioning instead of each shuffling the wide lines again. Plain equality throughout: a missing
+    key matches nothing. With one right row per key no row is multiplied.
     """
     right = right.select(*[F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
+    same = [c == F.col(f"_r{k}") for k, c in keys.items()]
     on = reduce(
-        Column.__and__,
-        [
-            *[F.col(k) == F.col(f"_r{k}") for k in keys[:dealt]],
-            *[F.coalesce(F.col(k) == F.col(f"_r{k}"), F.lit(False)) for k in keys[dealt:]],
-        ],
+        Column.__and__, [*same[:dealt], *[F.coalesce(c, F.lit(False)) for c in same[dealt:]]]
     )
     if partitions:
-        df = df.repartition(partitions, *keys[:dealt])
-        right = right.repartition(partitions, *[f"_r{k}" for k in keys[:dealt]])
+        df = df.repartition(partitions, *[*keys.values()][:dealt])
+        right = right.repartition(partitions, *[f"_r{k}" for k in [*keys][:dealt]])
     return df.join(right, on, "left").drop(*[f"_r{k}" for k in keys])
 
 
@@ -180,8 +177,13 @@ def board(
     dedupe, coverage without stock and unrounded, levels by share of a month's demand.
     ``null_safe_keys`` lets a missing item, supplier or name match a missing one, which plain
     SQL equality does not. ``partitions``, if given, is the number of partitions into which the
-    request join deals both sides out by call id and, with null-safe keys, by tender; those keys
-    are then never null and compared plainly, so the join deals rows out by them.
+    contracts are dealt out by call id and, with null-safe keys, both sides of the request join by
+    call id and tender; those keys are then never null and compared plainly, so the join deals rows
+    out by them.
+
+    The lines go to their calls once. Where items are deduped they are there already, so the code
+    join comes last; the legacy board, which keeps all lines, joins by code first, while the lines
+    are narrow and may be dealt out by code as they come.
     """
     wanted = set(columns)
     execution = inputs.execution
@@ -190,23 +192,59 @@ def board(
     def key(c: Column) -> Column:
         return F.coalesce(c, F.lit("")) if null_safe_keys else c
 
-    df = items.withColumns(
-        {
-            "codigo": trimmed("codigo"),
-            "_licitacion": key(trimmed("licitacion")),
-            "_proveedor": key(trimmed("proveedor")) if "proveedor" in items.columns else F.lit(""),
-            "_item": key(trimmed("item")),
-        }
-    )
-    have: set[str] = set()
-    if inputs.contracts is not None and wanted & _CONTRACT:
-        # Deduped under the id's text form, so that the join deals both sides out anew and adaptive
-        # execution may split a hot id there.
+    quantity = "decimal(18,2)"
+
+    def col(df: DataFrame, name: str, dtype: str) -> Column:
+        return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+
+    def with_stock(df: DataFrame) -> DataFrame:
+        """The only join by code; stock on hand and demand are all that goes on from it."""
+        goods = stock_by_code(inputs.stock, inputs.lots, as_of, stock_row) if wanted & _STOCK else None
+        if goods is not None:
+            df = df.join(goods, "codigo", "left")
+        stock = stock_on_hand(
+            col(df, "stock_sin_vencidos", quantity),
+            col(df, "stock_disponible", quantity),
+            None if legacy else col(df, "stock_fisico", quantity),
+        )
+        return df.withColumns({"_dmp": or_zero(col(df, "dmp", quantity)), "_stock": stock})
+
+    df = items.withColumn("codigo", trimmed("codigo"))
+    if null_safe_keys:
+        df = df.withColumn("_licitacion", key(trimmed("licitacion")))
+    if legacy:
+        df = with_stock(df)
+    line_key = {
+        "id_llamado": F.col("id_llamado"),
+        "_licitacion": F.col("_licitacion") if null_safe_keys else trimmed("licitacion"),
+        "_proveedor": key(trimmed("proveedor")) if "proveedor" in items.columns else F.lit(""),
+        "codigo": F.col("codigo"),
+        "_item": key(trimmed("item")),
+    }
+    by_pending = inputs.orders is not None and "pendiente_entrega" in wanted
+    by_request = inputs.requested is not None and bool(wanted & _REQUEST)
+    if by_pending:
+        pending = pending_delivery(inputs.orders).select(
+            "id_llamado",
+            F.col("licitacion").alias("_licitacion"),
+            F.col("proveedor").alias("_proveedor"),
+            "codigo",
+            "pendiente_entrega",
+        )
+        pending_key = ("id_llamado", "_licitacion", "_proveedor", "codigo")
+        df = _by_call(df, pending, {k: line_key[k] for k in pending_key})
+    contract = inputs.contracts is not None and bool(wanted & _CONTRACT)
+    if contract:
+        # As the only join by call, deduped under the id's text form, so that the join deals both
+        # sides out anew and adaptive execution may split a hot id there. Beside others it is part of
+        # their stage, which is not split, and the contracts are dealt out by the id once.
+        among = by_pending or by_request
         newest_first = _newest_first(inputs.contracts, ["id_llamado"])
         contracts = keep_top(
             inputs.contracts.where(F.col("id_llamado").isNotNull()),
-            [F.col("id_llamado").cast("string")],
+            [F.col("id_llamado") if among else F.col("id_llamado").cast("string")],
             [F.col(c).desc_nulls_last() for c in newest_first],
+            partitions if among else None,
         )
         d = contracts.select(
             "id_llamado",
@@ -217,18 +255,7 @@ def board(
             F.col("precio_unitario").alias("_precio_contrato"),
         )
         df = df.join(d, "id_llamado", "left")
-        have.add("contract")
-    if inputs.orders is not None and "pendiente_entrega" in wanted:
-        pending = pending_delivery(inputs.orders).select(
-            "id_llamado",
-            F.col("licitacion").alias("_licitacion"),
-            F.col("proveedor").alias("_proveedor"),
-            "codigo",
-            "pendiente_entrega",
-        )
-        df = _by_call(df, pending, ["id_llamado", "_licitacion", "_proveedor", "codigo"])
-        have.add("pending")
-    if inputs.requested is not None and wanted & _REQUEST:
+    if by_request:
         r = inputs.requested.select(
             "id_llamado",
             key(trimmed("licitacion")).alias("_licitacion"),
@@ -242,31 +269,19 @@ def board(
         )
         request_key = ["id_llamado", "_licitacion", "codigo", "_item"]
         r = keep_latest(r, request_key, ["_cambio", "_solicitada", "emitir_en", "comentario"])
-        dealt = 2 if null_safe_keys else 1
-        df = _by_call(df, r.drop("_cambio"), request_key, dealt, partitions)
-        have.add("request")
-    # Last, as the only join by code.
-    if wanted & _STOCK:
-        goods = stock_by_code(inputs.stock, inputs.lots, as_of, stock_row)
-        if goods is not None:
-            df = df.join(goods, "codigo", "left")
-
-    def col(name: str, dtype: str) -> Column:
-        return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+        request_key = {k: line_key[k] for k in request_key}
+        if null_safe_keys:
+            df = _by_call(df, r.drop("_cambio"), request_key, 2, partitions)
+        else:
+            df = _by_call(df, r.drop("_cambio"), request_key)
+    if not legacy:
+        df = with_stock(df)
 
-    quantity = "decimal(18,2)"
-    contract = "contract" in have
     df = df.withColumns(
         {
-            "_maxima": or_zero(col("cantidad_maxima", quantity)),
-            "_emitida": or_zero(col("cantidad_emitida", quantity)),
-            "_pedida": or_zero(col("_solicitada", quantity)),
-            "_dmp": or_zero(col("dmp", quantity)),
-            "_stock": stock_on_hand(
-                col("stock_sin_vencidos", quantity),
-                col("stock_disponible", quantity),
-                None if legacy else col("stock_fisico", quantity),
-            ),
+            "_maxima": or_zero(col(df, "cantidad_maxima", quantity)),
+            "_emitida": or_zero(col(df, "cantidad_emitida", quantity)),
+            "_pedida": or_zero(col(df, "_solicitada", quantity)),
         }
     )
     saldo = F.col("_maxima") - F.col("_emitida")
@@ -277,7 +292,7 @@ def board(
         coverage = coverage_months(F.col("_stock") + saldo + F.col("_pedida"), F.col("_dmp"))
         level = stock_level(F.col("_stock"), F.col("_dmp"), F.col("cobertura_meses"))
     df = df.withColumn("cobertura_meses", coverage)
-    price = col("precio_unitario", "decimal(18,4)")
+    price = col(df, "precio_unitario", "decimal(18,4)")
     output = {
         "id_llamado": F.col("id_llamado"),
         "licitacion": F.col("licitacion"),
@@ -287,23 +302,23 @@ def board(
             else F.col("licitacion")
         ),
         "codigo": F.col("codigo"),
-        "producto": col("medicamento", "string"),
-        "proveedor": col("proveedor", "string"),
+        "producto": col(df, "medicamento", "string"),
+        "proveedor": col(df, "proveedor", "string"),
         "cantidad_maxima": F.col("_maxima"),
         "cantidad_emitida": F.col("_emitida"),
         "saldo_contrato": saldo,
-        "porcentaje_emitido": or_zero(col("porcentaje_emitido", quantity)),
+        "porcentaje_emitido": or_zero(col(df, "porcentaje_emitido", quantity)),
         "precio_unitario": F.coalesce(price, F.col("_precio_contrato")) if contract else price,
         "item": F.col("item"),
-        "dirigido_a": F.coalesce(col("dirigido_a", "string"), F.lit("")),
-        "lugar": F.coalesce(col("lugares", "string"), F.lit("")),
-        "vigente": F.coalesce(col("vigente", "string"), F.lit("")),
-        "pendiente_entrega": or_zero(col("pendiente_entrega", "decimal(18,6)")),
+        "dirigido_a": F.coalesce(col(df, "dirigido_a", "string"), F.lit("")),
+        "lugar": F.coalesce(col(df, "lugares", "string"), F.lit("")),
+        "vigente": F.coalesce(col(df, "vigente", "string"), F.lit("")),
+        "pendiente_entrega": or_zero(col(df, "pendiente_entrega", "decimal(18,6)")),
         "stock_actual": F.col("_stock"),
         "dmp_actual": F.col("_dmp"),
         "cantidad_solicitada": F.col("_pedida"),
-        "ver_en_fecha": col("emitir_en", "date"),
-        "comentario": col("comentario", "string"),
+        "ver_en_fecha": col(df, "emitir_en", "date"),
+        "comentario": col(df, "comentario", "string"),
         "cobertura_meses": F.col("cobertura_meses"),
         "nivel_stock": level,
     }

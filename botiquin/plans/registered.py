@@ -91,7 +91,8 @@ def board_full(t: Tables) -> DataFrame:
 
 @query
 def board_legacy(t: Tables) -> DataFrame:
-    return board(roles.board_inputs(t), AS_OF, legacy=True)
+    inputs = roles.board_inputs(t, by_code=True)
+    return board(inputs, AS_OF, legacy=True, partitions=roles.spread(t))
 
 
 @query

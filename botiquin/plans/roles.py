@@ -22,6 +22,11 @@ AS_OF = dt.date(2001, 6, 1)
 ITEM = ("id_llamado", "licitacion", "item")
 # Fixed value: bytes of lineitem's and orders' Parquet files per partition of their join.
 _TABLE_BYTES = 4 * 1024 * 1024
+# Of lines with their suppliers, the columns that execution and orders are made of.
+_SUPPLIED = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_returnflag", "l_linestatus", "l_shipdate", "s_name",
+)
 
 
 class Tables:
@@ -54,30 +59,59 @@ def line_order() -> Column:
     )
 
 
-def lines_of_orders(t: Tables) -> DataFrame:
+def lines_of_orders(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     """Lines with their orders, dealt out by order into partitions that grow with the tables where
     the session's number is too few. Windows and joins keyed by the order reuse that partitioning,
-    so one task's share stays bounded."""
-    items, orders, parts = t.lineitem, t.orders, spread(t)
+    so one task's share stays bounded. ``lines``: lineitem with what was joined to it before."""
+    items, orders, parts = t.lineitem if lines is None else lines, t.orders, spread(t)
     if parts is not None:
         items, orders = items.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
+    return _of_orders(items, orders)
+
+
+def _of_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def with_suppliers(t: Tables, lines: DataFrame) -> DataFrame:
+    return lines.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def supplied_lines_of_orders(t: Tables) -> DataFrame:
+    """Lines with their suppliers and orders, as several roles of one query read them.
+
+    The lines are dealt out by order with the other columns in one, so that no reader's choice of
+    columns or filter changes that exchange: Spark makes it, and the join below it, once for all."""
+    lines, parts = with_suppliers(t, t.lineitem), spread(t)
+    rest = [c for c in _SUPPLIED if c != "l_orderkey"]
+    lines = lines.select("l_orderkey", F.array(F.struct(*rest)).alias("_line"))
+    lines = lines.repartition(*([parts] if parts else []), "l_orderkey")
+    orders = t.orders.repartition(parts, "o_orderkey") if parts else t.orders
+    return _of_orders(lines.select("l_orderkey", F.inline("_line")), orders)
+
+
 def spread(t: Tables) -> int | None:
     """Partitions for lineitem and orders and what derives from them, by the size of their files;
     None where the session's number already suffices."""
     return partitions_for(t.spark, t.lineitem.inputFiles() + t.orders.inputFiles(), _TABLE_BYTES)
 
 
-def execution(t: Tables, names: bool = True, dirty: bool = False) -> DataFrame:
-    """Execution lines. ``dirty`` pads some codes and blanks others."""
-    df = lines_of_orders(t)
-    if names:
-        df = df.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(
-            t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
-        )
+def execution(
+    t: Tables, names: bool = True, dirty: bool = False, supplied: DataFrame | None = None
+) -> DataFrame:
+    """Execution lines. ``dirty`` pads some codes and blanks others.
+
+    With the ``supplied`` lines of orders given, lines come dealt out by the trimmed code, whose text
+    then is the key of the join with part."""
     code = F.col("l_partkey").cast("string")
+    if supplied is not None:
+        df = supplied.join(t.part, F.trim(code) == F.trim(F.col("p_partkey").cast("string")))
+    elif names:
+        df = with_suppliers(
+            t, lines_of_orders(t).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        )
+    else:
+        df = lines_of_orders(t)
     if dirty:
         code = (
             F.when((F.col("l_discount") == 0.1) & (F.col("l_linestatus") == "F"), "  ")
@@ -127,7 +161,7 @@ def stock(t: Tables) -> DataFrame:
 
 def lots(t: Tables) -> DataFrame:
     """A lot per line; only those of accepted lines hold stock."""
-    df = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    df = with_suppliers(t, t.lineitem)
     held = F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).otherwise(0)
     return df.select(
         F.col("l_partkey").cast("string").alias("codigo"),
@@ -137,10 +171,11 @@ def lots(t: Tables) -> DataFrame:
     )
 
 
-def orders(t: Tables) -> DataFrame:
-    df = lines_of_orders(t).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+def orders(t: Tables, supplied: DataFrame | None = None) -> DataFrame:
     """Order lines; closed ones in all six states, padded and in mixed case, and some suppliers
     padded or missing."""
+    if supplied is None:
+        supplied = lines_of_orders(t, with_suppliers(t, t.lineitem))
     closed = F.array(*[F.lit(state) for state in CLOSED_STATES])
     closed = F.get(closed, (F.col("l_linenumber") - 1) % len(CLOSED_STATES))
     state = (
@@ -155,7 +190,7 @@ def orders(t: Tables) -> DataFrame:
     name = F.when(
         F.col("l_linestatus") == "O", F.concat(F.lit(" "), "o_orderpriority", F.lit("  "))
     ).otherwise(F.col("o_orderpriority"))
-    return df.select(
+    return supplied.select(
         age_order().alias("id"),
         F.col("l_orderkey").alias("id_llamado"),
         name.alias("llamado"),
@@ -220,11 +255,13 @@ def requests(t: Tables) -> DataFrame:
     )
 
 
-def board_inputs(t: Tables, names: bool = True) -> BoardInputs:
+def board_inputs(t: Tables, names: bool = True, by_code: bool = False) -> BoardInputs:
+    """``by_code``: the execution lines come with names and dealt out by code, not by call id."""
+    supplied = supplied_lines_of_orders(t) if by_code else None
     return BoardInputs(
-        execution=execution(t, names),
+        execution=execution(t, names, supplied=supplied),
         contracts=contracts(t),
-        orders=orders(t),
+        orders=orders(t, supplied),
         stock=stock(t),
         lots=lots(t),
         requested=requested(t),
