@@ -73,7 +73,8 @@ def whole_board(t: Tables, *columns: str) -> DataFrame:
     """The board, without the joins for names where no asked column needs them."""
     kwargs = {"columns": columns} if columns else {}
     named = not columns or bool({"producto", "proveedor", "pendiente_entrega"} & set(columns))
-    return board(roles.board_inputs(t, named), AS_OF, dedupe_keys=ITEM, **kwargs)
+    inputs = roles.board_inputs(t, named)
+    return board(inputs, AS_OF, dedupe_keys=ITEM, partitions=roles.spread(t), **kwargs)
 
 
 @query

@@ -101,15 +101,15 @@ def execution(
 ) -> DataFrame:
     """Execution lines. ``dirty`` pads some codes and blanks others.
 
-    With the ``supplied`` lines of orders given, lines come dealt out by the trimmed code, whose text
-    then is the key of the join with part."""
+    The join that comes last says by what the lines are dealt out: by order, which is the call id,
+    or, with the ``supplied`` lines of orders given, by the trimmed code, whose text then is the key
+    of the join with part."""
     code = F.col("l_partkey").cast("string")
     if supplied is not None:
         df = supplied.join(t.part, F.trim(code) == F.trim(F.col("p_partkey").cast("string")))
     elif names:
-        df = with_suppliers(
-            t, lines_of_orders(t).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        )
+        named = with_suppliers(t, t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        df = lines_of_orders(t, named)
     else:
         df = lines_of_orders(t)
     if dirty:
