@@ -3,9 +3,10 @@
 Shape of the plan. Every right side is reduced to one row per join key first, with partial
 aggregation on the map side, so no join multiplies rows and no hot key survives to the shuffle on
 that side. Stock and unexpired lots, which share the code as key, become one side. Sides are not
-hinted: a small one is broadcast by its measured size, a large one is sort-merged. Each join has
-a stage of its own, so adaptive skew handling can split a hot key of the execution side there,
-which a left join allows on its left side.
+hinted: a small one is broadcast by its measured size, a large one is sort-merged. The joins by
+call share a stage, so the wide lines go to their calls once. A join that has a stage of its own,
+as contracts without other sides by call have, lets adaptive skew handling split a hot key of the
+execution side there, which a left join allows on its left side.
 
 Only the joins that the asked columns need are made, which is safe because each right side has
 one row per key.
